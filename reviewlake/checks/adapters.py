@@ -29,7 +29,7 @@ def _text(*parts) -> Column:
 
 
 def external_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders`` in the layout of the external bronze table; load days are month starts."""
+    """``orders`` in the layout of the external bronze table; load days are year starts."""
     orders = table(spark, sf_dir, "orders")
     key, made = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
     return orders.select(
@@ -51,7 +51,7 @@ def external_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Aplicativo").alias("content_label"),
         (key % 20).cast("int").alias("vote_count"),
         (made + F.expr("INTERVAL 30 HOURS")).alias("ingestion_ts"),
-        F.date_format(F.date_trunc("month", made), "yyyy-MM-dd").alias("date_load"),
+        F.date_format(F.date_trunc("year", made), "yyyy-MM-dd").alias("date_load"),
         F.lower("o_orderstatus").alias("app_reference"),
     )
 
@@ -77,7 +77,7 @@ ext AS (
            'Aplicativo' AS content_label,
            CAST(o_orderkey % 20 AS INTEGER) AS vote_count,
            o_orderdate + INTERVAL 30 HOUR AS ingestion_ts,
-           strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date_load,
+           strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS date_load,
            lower(o_orderstatus) AS app_reference,
            o_orderdate + INTERVAL 3 HOUR AS updated_utc
     FROM orders

@@ -161,7 +161,7 @@ FROM ext JOIN orders o ON review_id = CAST(o.o_orderkey AS VARCHAR)
 WHERE strftime(o.o_orderdate, '%Y%m') = '199803'""")
 def scan_month_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = a.external_reviews(spark, sf_dir).withColumn(
-        "date_load", F.regexp_replace(F.substring("date_load", 1, 7), "-", ""))
+        "date_load", F.regexp_replace(F.substring("updated_at", 1, 7), "-", ""))
     return scan_month(months, "1998-03-17").select("review_id", "rating", "date_load")
 
 

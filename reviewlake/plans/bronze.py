@@ -18,7 +18,12 @@ from reviewlake.operators import (
 from reviewlake.operators.mapping import CONTROL_COLUMNS
 from reviewlake.plans.run import RunResult, finish, owner_of, utc_now
 from reviewlake.sinks import compact, insert_partitions
-from reviewlake.sources import read_flow_source, table_column_types, table_location
+from reviewlake.sources import (
+    partition_columns,
+    read_flow_source,
+    table_column_types,
+    table_location,
+)
 
 TYPE_ISSUE = "is_type_issue"
 
@@ -77,7 +82,7 @@ def run_bronze(
     partition = {"date_load": day}
     if tag_app and app and app.strip():
         partition["app_reference"] = app.strip().lower()
-    declared = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    declared = partition_columns(spark, table)
     partition = {name: value for name, value in partition.items() if name in declared}
 
     seen = insert_partitions(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reviewlake.session import session_conf
-from reviewlake.sources.tables import month_of, table_location
+from reviewlake.sources.tables import month_of, partition_columns, table_location
 
 
 def stamp_month(df: DataFrame, run_day: str) -> DataFrame:
@@ -78,15 +78,15 @@ def insert_partitions(
         raise ValueError(f"unknown write mode {mode!r}")
     spark = df.sparkSession
     target = spark.table(table).schema
-    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    df = _arranged(df, partition_by, static or {}, rebalance)
+    df = _arranged(df, partition_columns(spark, table), static or {}, rebalance)
     measured = Observation("measured") if measure else None
     if measured:
         df = df.observe(measured, *[column.alias(name) for name, column in measure.items()])
     # try_cast, so that one bad value of an untyped source does not fail the insert.
+    given = {f.name: f.dataType for f in df.schema.fields}
     ordered = df.select(*[
-        F.col(f.name).try_cast(f.dataType).alias(f.name) if df.schema[f.name].dataType != f.dataType
-        else F.col(f.name)
+        F.col(f.name) if given[f.name] == f.dataType
+        else F.col(f.name).try_cast(f.dataType).alias(f.name)
         for f in target.fields
     ])
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):

@@ -60,3 +60,12 @@ def table_location(spark: SparkSession, table: str) -> str:
     """Folder of a catalog table."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location")
     return rows.first()["data_type"]
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    """Partition columns of a catalog table, in order."""
+    names = [row["col_name"] for row in spark.sql(f"DESCRIBE TABLE {table}").collect()]
+    if "# Partition Information" not in names:
+        return []
+    listed = names[names.index("# Partition Information") + 1:]
+    return [name for name in listed if name and not name.startswith("#")]
