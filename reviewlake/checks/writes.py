@@ -43,13 +43,12 @@ def _feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {a.INTERNAL_SQL.replace('SELECT ts AS', 'SELECT event_id, ts AS')}
 SELECT event_id, CASE WHEN date_load = '2024-01-10' THEN 5 ELSE feedback_rating END
            AS feedback_rating, service_id, date_load
-FROM feedback
-WHERE date_load <> '2024-01-10' OR event_id % 2 = 0""")
+FROM feedback""")
 def write_day_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day is replaced, twice; all others stay."""
     root, rows = scratch_dir(spark, "day-partitions"), _feedback(spark, sf_dir)
     write_partitions(rows, root)
-    day = rows.filter((F.col("date_load") == "2024-01-10") & (F.col("event_id") % 2 == 0))
+    day = rows.filter(F.col("date_load") == "2024-01-10")
     corrected = day.withColumn("feedback_rating", F.lit(5)).drop("date_load")
     for _ in range(2):
         write_partitions(corrected, root, static={"date_load": "2024-01-10"})

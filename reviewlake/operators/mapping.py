@@ -64,7 +64,8 @@ def map_columns(
             projected.append(F.lit(None).cast(wanted).alias(spec.name))
             continue
         projected.append(source.try_cast(wanted).alias(spec.name))
-        lossy.append(lossy_cast(source, wanted))
+        if type_issue:
+            lossy.append(lossy_cast(source, wanted))
     if type_issue:
         projected.append(any_of(lossy).alias(type_issue))
     return df.select(*projected, *keep)

@@ -37,14 +37,14 @@ def _as_column(value: Column | str | datetime) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def _clocks(started: Column, ended: Column) -> list[Column]:
+def _clocks(started: Column, ended: Column, prefix: str) -> list[Column]:
     # Epoch micros keep the fraction of a second that a difference of timestamps in seconds drops.
     seconds = (F.unix_micros(ended) - F.unix_micros(started)) / 1000000
     return [
         F.format_string("%.2f s", seconds).alias("total_processing_time"),
         F.struct(
-            F.date_format(started, CLOCK_FORMAT).alias("run_start_ts"),
-            F.date_format(ended, CLOCK_FORMAT).alias("run_end_ts"),
+            F.date_format(started, CLOCK_FORMAT).alias(f"{prefix}_start_ts"),
+            F.date_format(ended, CLOCK_FORMAT).alias(f"{prefix}_end_ts"),
         ).alias("_ts"),
         F.date_format(ended, STAMP_FORMAT).alias("timestamp"),
     ]
@@ -73,13 +73,17 @@ def run_metrics(
     ended: Column | datetime,
     *,
     keep: Sequence[str] = (),
+    clock_prefix: str = "run",
 ) -> DataFrame:
-    """Metrics record of each row of a quality summary; a check passes when its count is 0."""
+    """Metrics record of each row of a quality summary; a check passes when its count is 0.
+
+    ``clock_prefix`` names the two clock fields of ``_ts``, for readers that expect their own.
+    """
     passed = {check: F.col(count) == 0 for check, count in CHECKS.items()}
     passed_count = sum((ok.cast("int") for ok in passed.values()), F.lit(0))
     checks = {check: F.struct(ok.alias("status"), F.col(CHECKS[check]).alias("count"))
               for check, ok in passed.items()}
-    elapsed, clock, stamp = _clocks(_as_column(started), _as_column(ended))
+    elapsed, clock, stamp = _clocks(_as_column(started), _as_column(ended), clock_prefix)
     return summary.select(
         *keep,
         _owner(owner),
@@ -102,6 +106,8 @@ def output_check_metrics(
     app_id: Column | str,
     started: Column | datetime,
     ended: Column | datetime,
+    *,
+    clock_prefix: str = "run",
 ) -> DataFrame:
     """Metrics record of an aggregate flow: it passes when it produced rows.
 
@@ -109,7 +115,7 @@ def output_check_metrics(
     """
     total = F.col("total_records")
     ok = total > 0
-    elapsed, clock, stamp = _clocks(_as_column(started), _as_column(ended))
+    elapsed, clock, stamp = _clocks(_as_column(started), _as_column(ended), clock_prefix)
     message = F.when(ok, ROWS_WRITTEN).otherwise(NO_ROWS)
     return rows.select(
         _owner(owner),

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import contextlib
+import math
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Output files and the data of one shuffle task aim at this size.
+TARGET_BYTES = 256 * 1024 * 1024
+# More reduce tasks than this cost more in shuffle bookkeeping than smaller tasks save.
+MOST_SHUFFLE_TASKS = 20_000
+# The optimizer's estimate for inputs without statistics is near the largest long.
+UNKNOWN_BYTES = 10**18
 
 
 def local_session(cpus: int | str = 8, name: str = "reviewlake", **conf: str) -> SparkSession:
@@ -60,3 +68,28 @@ def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def shuffle_tasks_for(df: DataFrame, task_bytes: int = TARGET_BYTES) -> int:
+    """Reduce tasks that the optimizer's size estimate of the input asks for; runs no job."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate >= UNKNOWN_BYTES:
+        return configured
+    return max(configured, min(math.ceil(estimate / task_bytes), MOST_SHUFFLE_TASKS))
+
+
+@contextlib.contextmanager
+def write_sizing(df: DataFrame, file_bytes: int = TARGET_BYTES) -> Iterator[None]:
+    """Size the shuffles below a write by the data.
+
+    AQE merges small shuffle partitions but splits large ones only in joins and rebalances, so
+    it must start with enough of them; it then merges them up to the size of an output file.
+    """
+    with session_conf(
+        df.sparkSession,
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(
+            shuffle_tasks_for(df, file_bytes)),
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(file_bytes),
+    ):
+        yield

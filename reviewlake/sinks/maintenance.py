@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlake import filesystem
-from reviewlake.functions import any_of
+from reviewlake.session import TARGET_BYTES
 from reviewlake.sources.tables import table_location
 
 logger = logging.getLogger(__name__)
 
-TARGET_FILE_BYTES = 256 * 1024 * 1024
 PARTITION_ROOT_MARK = "="
 _ZKEY, _TIE = "__zkey", "__tie"
 
@@ -33,12 +32,12 @@ def compact(
     partition: Mapping[str, str] | None = None,
     *,
     cluster_by: Sequence[str] = (),
-    target_bytes: int = TARGET_FILE_BYTES,
+    target_bytes: int = TARGET_BYTES,
 ) -> int:
     """Rewrite one partition (or an unpartitioned table) into files of about ``target_bytes``.
 
-    Returns the number of files aimed at; a folder that has no more than these is left alone unless
-    it is to be clustered. Without ``cluster_by`` neighbouring splits are merged and
+    Returns the number of files aimed at; unless it is to be clustered, a folder is left alone where
+    a rewrite would not halve its files. Without ``cluster_by`` neighbouring splits are merged and
     nothing is shuffled; with it rows are range-partitioned and sorted, so that file statistics let
     scans skip files. The new files are written aside, counted, and then take the place of the old
     ones by two renames: a run that dies on the way never leaves a half-written partition, and if it
@@ -60,7 +59,7 @@ def compact(
     if partitioned_below:
         raise ValueError(f"{folder} is partitioned by {partitioned_below}; name one partition")
     current = [n for n in filesystem.child_names(spark, folder) if not n.startswith(("_", "."))]
-    if not cluster_by and len(current) <= files:
+    if not cluster_by and len(current) < 2 * files:
         return len(current)
     run = uuid.uuid4().hex[:12]
     staged, replaced = f"{parent}/_staged-{run}-{label}", f"{parent}/_replaced-{run}-{label}"
@@ -159,13 +158,15 @@ def drop_table_partitions(
     spark: SparkSession, table: str, column: str, condition: Callable[[str], bool]
 ) -> list[str]:
     """The same for a catalog table: its partition entries go together with their files."""
-    location = table_location(spark, table)
-    for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
+    specs = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
         values = dict(part.split(PARTITION_ROOT_MARK, 1) for part in row[0].split("/"))
         if condition(values[column]):
             spec = ", ".join(f"`{name}` = '{value}'" for name, value in values.items())
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    dropped = drop_partitions(spark, location, column, condition)
+            specs.append(f"PARTITION ({spec})")
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+    dropped = drop_partitions(spark, table_location(spark, table), column, condition)
     spark.catalog.refreshTable(table)
     return dropped
 
@@ -181,15 +182,14 @@ def purge_landing_day(
     folders: Iterable[str],
     *,
     metrics: DataFrame | None = None,
-    require_success: Column | None = None,
+    run: Column | None = None,
 ) -> list[str]:
     """Delete the landing folders of a day; returns those that existed.
 
-    With ``metrics`` and a condition the raw files are only deleted once a run without errors that
-    meets the condition is on record: files whose load failed must stay.
+    With ``metrics`` the raw files are only deleted once a run that meets the condition ``run`` is on
+    record. A run that fails leaves no record, so its files stay; what its quality checks found does
+    not matter.
     """
-    if metrics is not None:
-        wanted = any_of([require_success]) if require_success is not None else F.lit(True)
-        if metrics.filter(wanted & (F.col("error_count") == 0)).isEmpty():
-            raise RuntimeError("no successful run on record, raw files are kept")
+    if metrics is not None and metrics.filter(F.lit(True) if run is None else run).isEmpty():
+        raise RuntimeError("no finished run on record, raw files are kept")
     return [folder for folder in folders if filesystem.delete(spark, folder)]

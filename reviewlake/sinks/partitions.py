@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from reviewlake.session import session_conf
+from reviewlake.session import TARGET_BYTES, session_conf, write_sizing
 from reviewlake.sources.tables import month_of, partition_columns, table_location
 
 
@@ -49,6 +49,7 @@ def write_partitions(
     static: Mapping[str, str] | None = None,
     file_format: str = "parquet",
     rebalance: bool | None = None,
+    file_bytes: int = TARGET_BYTES,
 ) -> None:
     """Write to a partitioned folder.
 
@@ -56,8 +57,9 @@ def write_partitions(
     added from it.
     """
     df = _arranged(df, partition_by, static or {}, rebalance)
-    (df.write.format(file_format).mode(mode).partitionBy(*partition_by)
-     .option("partitionOverwriteMode", "dynamic").save(path))
+    with write_sizing(df, file_bytes):
+        (df.write.format(file_format).mode(mode).partitionBy(*partition_by)
+         .option("partitionOverwriteMode", "dynamic").save(path))
 
 
 def insert_partitions(
@@ -67,6 +69,7 @@ def insert_partitions(
     mode: str = "overwrite",
     static: Mapping[str, str] | None = None,
     rebalance: bool | None = None,
+    file_bytes: int = TARGET_BYTES,
     measure: Mapping[str, Column] | None = None,
 ) -> dict[str, Any]:
     """Write to a catalog table, matching columns by name and partitioning as the table declares.
@@ -89,7 +92,8 @@ def insert_partitions(
         else F.col(f.name).try_cast(f.dataType).alias(f.name)
         for f in target.fields
     ])
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+    dynamic = session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic")
+    with dynamic, write_sizing(ordered, file_bytes):
         ordered.write.insertInto(table, overwrite=mode == "overwrite")
     return dict(measured.get) if measured else {}
 
@@ -111,20 +115,22 @@ def write_full(
     """
     if on_empty not in ("skip", "write"):
         raise ValueError(f"unknown treatment of empty input: {on_empty!r}")
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if on_empty == "skip" and held.isEmpty():
-            return False
-        writer = held.write.format(file_format).mode(mode)
-        # Replacing a table drops it; naming its folder keeps it where it was created.
-        if as_table and df.sparkSession.catalog.tableExists(target):
-            writer = writer.option("path", table_location(df.sparkSession, target))
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(target) if as_table else writer.save(target)
-        return True
-    finally:
-        held.unpersist()
+    spark = df.sparkSession
+    with write_sizing(df):
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if on_empty == "skip" and held.isEmpty():
+                return False
+            writer = held.write.format(file_format).mode(mode)
+            # Replacing a table drops it; naming its folder keeps it where it was created.
+            if as_table and spark.catalog.tableExists(target):
+                writer = writer.option("path", table_location(spark, target))
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.saveAsTable(target) if as_table else writer.save(target)
+            return True
+        finally:
+            held.unpersist()
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:

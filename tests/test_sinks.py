@@ -86,16 +86,30 @@ def test_known_partition_is_written_without_a_shuffle(spark, lake):
 
 def test_hot_partition_is_split_over_tasks(spark, lake):
     """Most rows fall into one partition: it is written by several tasks, all rows arrive."""
-    from reviewlake.session import session_conf
     df = spark.range(120_000, numPartitions=8).select(
         F.sha2(F.col("id").cast("string"), 512).alias("text"),
         F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 5).cast("string")).alias("p"))
-    with session_conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="500KB"):
-        write_partitions(df, lake, ["p"])
+    write_partitions(df, lake, ["p"], file_bytes=500_000)
     assert len(parquet_files(f"{lake}/p=hot")) > 2
     assert spark.read.parquet(lake).count() == 120_000
 
 
+def test_shuffles_grow_with_the_data(spark):
+    from reviewlake.session import MOST_SHUFFLE_TASKS, shuffle_tasks_for, write_sizing
+    small, large = spark.range(10), spark.range(10**12)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_tasks_for(small) == configured
+    assert shuffle_tasks_for(large, 2**30) == -(-8 * 10**12 // 2**30)
+    assert shuffle_tasks_for(large, 1000) == MOST_SHUFFLE_TASKS
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with write_sizing(large, 2**30):
+        assert spark.conf.get(key) == str(shuffle_tasks_for(large, 2**30))
+        planned = large.repartition("id").groupBy("id").count()
+        assert f"hashpartitioning(id" in plan_of(planned)
+        assert f", {shuffle_tasks_for(large, 2**30)})" in plan_of(planned)
+    assert spark.conf.get(key, None) is None
+
+
 def test_insert_matches_names_and_casts(spark, lake, database):
     name = create_table(spark, database, "t", TABLES["review_kpis"], f"{lake}/t")
     row = spark.sql("SELECT '2024' AS review_year, 'A' AS app_reference, '01' AS review_month,"
@@ -259,16 +273,14 @@ def test_table_partitions_are_dropped_with_their_files(spark, lake, database):
     assert os.listdir(f"{lake}/t").count("date_load=d1") == 0
 
 
-def test_purge_needs_a_successful_run(spark, lake):
+def test_purge_needs_a_finished_run(spark, lake):
     os.makedirs(f"{lake}/d1/app")
-    def metrics(n):
-        return output_check_metrics(spark.range(n).agg(F.count("*").alias("total_records")),
-                                    owner_of("d", "p", "bronze", "raw"), "app", utc_now(), utc_now())
+    done = output_check_metrics(spark.range(0).agg(F.count("*").alias("total_records")),
+                                owner_of("d", "p", "bronze", "raw"), "app", utc_now(), utc_now())
     with pytest.raises(RuntimeError, match="kept"):
-        purge_landing_day(spark, [f"{lake}/d1"], metrics=metrics(0))
+        purge_landing_day(spark, [f"{lake}/d1"], metrics=done.filter("false"))
     with pytest.raises(RuntimeError, match="kept"):
-        purge_landing_day(spark, [f"{lake}/d1"], metrics=metrics(1),
-                          require_success=F.col("app_id") == "other")
-    assert purge_landing_day(spark, [f"{lake}/d1/app", f"{lake}/d1", f"{lake}/d2"],
-                             metrics=metrics(1)) == [f"{lake}/d1/app", f"{lake}/d1"]
+        purge_landing_day(spark, [f"{lake}/d1"], metrics=done, run=F.col("app_id") == "other")
+    assert purge_landing_day(spark, [f"{lake}/d1/app", f"{lake}/d1", f"{lake}/d2"], metrics=done,
+                             run=F.col("app_id") == "app") == [f"{lake}/d1/app", f"{lake}/d1"]
     assert not os.path.exists(f"{lake}/d1")
