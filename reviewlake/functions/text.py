@@ -16,8 +16,12 @@ IDENTIFIER_NOISE = r"[./\-\s]"
 
 
 def fold_accents(text: Column, legacy_map: bool = False) -> Column:
-    """Replace accented letters; ``legacy_map`` repeats the shifted table of older results."""
-    return F.translate(text, ACCENTED, UNACCENTED_LEGACY if legacy_map else UNACCENTED)
+    """Replace accented letters; ``legacy_map`` repeats the shifted table of older results.
+
+    Text of one byte per letter is plain ASCII and passes unread.
+    """
+    folded = F.translate(text, ACCENTED, UNACCENTED_LEGACY if legacy_map else UNACCENTED)
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
 
 
 def strip_symbols(text: Column) -> Column:

@@ -116,7 +116,9 @@ def write_full(
     if on_empty not in ("skip", "write"):
         raise ValueError(f"unknown treatment of empty input: {on_empty!r}")
     spark = df.sparkSession
-    with write_sizing(df):
+    # Lets AQE merge the small partitions of held data too; else each becomes a file.
+    merging = session_conf(spark, spark__sql__optimizer__canChangeCachedPlanOutputPartitioning="true")
+    with merging, write_sizing(df):
         held = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if on_empty == "skip" and held.isEmpty():

@@ -151,6 +151,14 @@ def test_full_write_replaces_the_schema(spark, lake, database):
     assert spark.table(name).count() == 0
 
 
+def test_full_write_merges_small_partitions(spark, lake):
+    from reviewlake.session import session_conf
+    with session_conf(spark, spark__sql__shuffle__partitions="50"):
+        counts = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count()
+        write_full(counts, f"{lake}/t", as_table=False)
+    assert len(parquet_files(f"{lake}/t")) < 5
+
+
 def test_tables_are_created_once(spark, lake, database):
     for label, spec in TABLES.items():
         name = create_table(spark, database, label, spec, f"{lake}/{label}")
