@@ -27,7 +27,7 @@ EXTERNAL_SYSTEM = "apple_reviews"
 INTERNAL_SYSTEM = "internaldb_reviews"
 FEED_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 
-# Column order of the unified layout.
+# Columns of the unified layout, in order.
 UNIFIED_COLUMNS = (
     "review_id", "client_id", "review_date", "review_rating", "review_title", "review_text",
     "review_version", "source_channel", "source_system", "segment", "service_type",

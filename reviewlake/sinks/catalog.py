@@ -64,6 +64,7 @@ def _parent(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[0]
 
 
+# Names and types of the columns of the five tables.
 EXTERNAL_REVIEWS = TableSpec(
     comment="App-store reviews as received",
     # One app's run replaces its own rows only, so apps of a day can be loaded side by side.

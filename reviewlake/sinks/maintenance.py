@@ -69,7 +69,7 @@ def compact(
     arranged = clustered(source, cluster_by, files) if cluster_by else source.coalesce(files)
     arranged.write.mode("errorifexists").parquet(staged)
 
-    before, after = source.count(), spark.read.parquet(staged).count()
+    before, after = source.count(), spark.read.schema(source.schema).parquet(staged).count()
     if before != after:
         filesystem.delete(spark, staged)
         raise RuntimeError(f"{folder} changed while it was rewritten: {before} rows, then {after}")

@@ -58,8 +58,8 @@ def table_column_types(spark: SparkSession, table: str | None) -> dict[str, T.Da
 
 def table_location(spark: SparkSession, table: str) -> str:
     """Folder of a catalog table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location")
-    return rows.first()["data_type"]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(row["data_type"] for row in described if row["col_name"] == "Location")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
