@@ -71,11 +71,15 @@ def map_columns(
     return df.select(*projected, *keep)
 
 
-def app_reference_column(schema: T.StructType, app: str | None = None) -> Column:
-    """The app a row belongs to: the run's argument, else the row's own value, else ``na``."""
+def app_reference_column(
+    schema: T.StructType, app: str | None = None, folder: Column | None = None
+) -> Column:
+    """The app a row belongs to: the run's argument or folder, else the row's value, else ``na``."""
     candidates = []
     if app and app.strip():
         candidates.append(F.lit(app.strip().lower()))
+    if folder is not None:
+        candidates.append(F.trim(F.lower(folder)))
     if "app_reference" in schema.fieldNames():
         candidates.append(F.trim(F.lower(F.col("app_reference"))))
     return F.coalesce(*candidates, F.lit(UNKNOWN_APP))

@@ -19,6 +19,7 @@ from reviewlake.operators.mapping import CONTROL_COLUMNS
 from reviewlake.plans.run import RunResult, finish, owner_of, utc_now
 from reviewlake.sinks import compact, insert_partitions
 from reviewlake.sources import (
+    app_folder,
     partition_columns,
     read_flow_source,
     table_column_types,
@@ -26,6 +27,7 @@ from reviewlake.sources import (
 )
 
 TYPE_ISSUE = "is_type_issue"
+PATH = "__path"
 
 
 def bronze_rows(
@@ -40,9 +42,16 @@ def bronze_rows(
     missing: str = "error",
     type_issue: str | None = None,
 ) -> DataFrame:
-    """Raw rows in the layout of the target table. ``tag_app`` sets the app as a control column."""
-    skip = (*CONTROL_COLUMNS, "app_reference") if tag_app else CONTROL_COLUMNS
-    keep = [app_reference_column(raw.schema, app).alias("app_reference")] if tag_app else []
+    """Raw rows in the layout of the target table.
+
+    ``tag_app`` sets the app as a control column: from the argument, else from the folder of the
+    row's file where the raw rows carry its path.
+    """
+    skip, keep = CONTROL_COLUMNS, []
+    if tag_app:
+        folder = app_folder(F.col(PATH), day) if PATH in raw.columns else None
+        skip = (*CONTROL_COLUMNS, "app_reference")
+        keep = [app_reference_column(raw.schema, app, folder).alias("app_reference")]
     mapped = map_columns(raw, config.target, config.mapping, table_types=table_types,
                          missing=missing, skip=skip, keep=keep, type_issue=type_issue)
     return with_control_columns(mapped, day, run_ts)
@@ -70,17 +79,20 @@ def run_bronze(
 
     The raw files are parsed once, by the write. Quality is measured on the partition written, which
     is columnar and pruned to key and rule columns. ``overwrite`` makes a repeated run replace its
-    own rows, ``append`` adds them again.
+    own rows, ``append`` adds them again. With ``tag_app`` and no ``app`` one run loads the folders of
+    all apps of the day, each row tagged with its folder.
     """
     started = utc_now()
-    raw = read_flow_source(spark, config, landing_root, day, [app] if app else [])
+    one_app = bool(app and app.strip())
+    raw = read_flow_source(spark, config, landing_root, day, [app] if one_app else [],
+                           path_column=PATH if tag_app and not one_app else None)
     rows = bronze_rows(
         raw, config, day, app=app, tag_app=tag_app, run_ts=run_ts or started, missing=missing,
         table_types=table_column_types(spark, table),
         type_issue=TYPE_ISSUE if strict_types else None,
     )
     partition = {"date_load": day}
-    if tag_app and app and app.strip():
+    if tag_app and one_app:
         partition["app_reference"] = app.strip().lower()
     declared = partition_columns(spark, table)
     partition = {name: value for name, value in partition.items() if name in declared}

@@ -8,7 +8,13 @@ from reviewlake.sources.control import (
     type_config_strings,
 )
 from reviewlake.sources.feed import flatten_feed, read_feed_pages
-from reviewlake.sources.landing import existing_paths, landing_paths, read_flow_source, read_landing
+from reviewlake.sources.landing import (
+    app_folder,
+    existing_paths,
+    landing_paths,
+    read_flow_source,
+    read_landing,
+)
 from reviewlake.sources.tables import (
     partition_columns,
     read_partitioned,
@@ -20,8 +26,8 @@ from reviewlake.sources.tables import (
 )
 
 __all__ = [
-    "config_from_documents", "existing_paths", "explode_rules", "flatten_feed", "landing_paths",
-    "latest_config", "load_flow_config", "partition_columns", "read_feed_pages", "read_flow_source", "read_landing",
-    "read_partitioned", "scan_days_back", "scan_month", "select_tagged", "table_column_types",
-    "table_location", "type_config_strings",
+    "app_folder", "config_from_documents", "existing_paths", "explode_rules", "flatten_feed",
+    "landing_paths", "latest_config", "load_flow_config", "partition_columns", "read_feed_pages",
+    "read_flow_source", "read_landing", "read_partitioned", "scan_days_back", "scan_month",
+    "select_tagged", "table_column_types", "table_location", "type_config_strings",
 ]

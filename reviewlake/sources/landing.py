@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlake import filesystem
@@ -40,20 +42,31 @@ def read_landing(
     schema: T.StructType,
     paths: Sequence[str],
     options: Mapping[str, str] | None = None,
+    *,
+    path_column: str | None = None,
 ) -> DataFrame:
     """Read every file below the given folders in one scan.
 
     A missing folder holds no rows and is not an error. Any other failure is: a folder that cannot
-    be read must not look like a quiet day.
+    be read must not look like a quiet day. ``path_column`` adds the path of each row's file.
     """
     file_format = file_format.lower()
     found = existing_paths(spark, paths)
     if not found:
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn(path_column, F.lit("")) if path_column else empty
     reader = spark.read.format(file_format).schema(schema).option("recursiveFileLookup", "true")
     if file_format == "csv":
         reader = reader.option("header", "true")
-    return reader.options(**(options or {})).load(found)
+    rows = reader.options(**(options or {})).load(found)
+    return rows.select("*", F.col("_metadata.file_path").alias(path_column)) if path_column else rows
+
+
+def app_folder(path: Column, day: str) -> Column:
+    """Name of the folder below the day that a file lies in; NULL if it lies in the day itself."""
+    # Spark gives paths percent-encoded; a plus sign stands for itself there.
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.nullif(F.regexp_extract(decoded, f"/{re.escape(day)}/([^/]+)/", 1), F.lit(""))
 
 
 def read_flow_source(
@@ -62,8 +75,11 @@ def read_flow_source(
     root: str,
     days: str | Iterable[str],
     apps: Iterable[str] = (),
+    *,
+    path_column: str | None = None,
 ) -> DataFrame:
     """The landing files that a flow declares."""
     directory = config.source["directory"].strip("/")
     paths = landing_paths(f"{root.rstrip('/')}/{directory}", days, apps)
-    return read_landing(spark, config.source["format"], config.expected_schema, paths)
+    return read_landing(spark, config.source["format"], config.expected_schema, paths,
+                        path_column=path_column)

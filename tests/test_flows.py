@@ -75,6 +75,20 @@ def test_bronze_of_two_apps_is_repeatable(spark, lake, tables, landed):
     assert {r.ingestion_ts.date() for r in table.collect()} != {None}
 
 
+def test_one_run_loads_all_apps(spark, lake, tables, landed):
+    """Rows carry their folder's name, whatever letters it has; files of the day itself have none."""
+    land(f"{lake}/raw/feed/reviews/{DAY}/Ção +1/deep/p1.json", review(20))
+    land(f"{lake}/raw/feed/reviews/{DAY}/stray.json", review(21))
+    result = load_app(spark, lake, tables, None)
+    table = spark.table(tables["external_reviews"])
+    assert sorted(rows(table.select("app_reference", "review_id"))) == [
+        ("alpha", "1"), ("alpha", "2"), ("alpha", "3"), ("beta", "9"), ("na", "21"), ("ção +1", "20")]
+    assert result.partition == {"date_load": DAY}
+    load_app(spark, lake, tables, "beta")
+    assert spark.table(tables["external_reviews"]).count() == 6
+    assert load_app(spark, f"{lake}/void", tables, " ").metrics.first().total_records == 6
+
+
 def test_bronze_append_repeats_rows(spark, lake, tables, landed):
     for _ in range(2):
         load_app(spark, lake, tables, "beta", mode="append")
