@@ -17,6 +17,7 @@ from reviewlake.operators import (
     flag_type_issues,
     metrics_payload,
     operations_dashboard,
+    output_check_metrics,
     prepare_for_kpis,
     quality_summary,
     review_kpis,
@@ -25,6 +26,8 @@ from reviewlake.operators import (
 )
 from reviewlake.plans import silver_rows
 from reviewlake.plans.run import owner_of
+from reviewlake.session import scratch_dir
+from reviewlake.sinks import append_metrics
 
 KEY = ["client_identification", "app_reference"]
 REQUIRED = ["feedback_comment", "client_identification"]
@@ -166,8 +169,10 @@ SELECT 'bronze' AS layer_lake, app_reference AS app_id, 3 - success_count AS err
        'raw' AS layer_source, CAST(NULL AS VARCHAR) AS main_check
 FROM runs""")
 def metrics_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The JSON form, with some of its fields picked out again."""
-    payload = metrics_payload(_runs(spark, sf_dir, "bronze", ["app_reference"]))
+    """Records appended to a metrics table and read as JSON, some fields picked out again."""
+    path = scratch_dir(spark, "metrics")
+    append_metrics(_runs(spark, sf_dir, "bronze", ["app_reference"]), path)
+    payload = metrics_payload(spark.read.parquet(path))
 
     def field(path: str, name: str) -> Column:
         return F.get_json_object("payload", f"$.{path}").alias(name)
@@ -182,6 +187,42 @@ def metrics_json_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@checked("output_check_metrics", f"""
+WITH {a.UNIFIED_SQL},
+rated AS (SELECT * FROM unified WHERE review_rating BETWEEN 1 AND 5), kpis AS ({a.kpi_sql('rated')}),
+apps AS (SELECT DISTINCT app_reference FROM unified)
+SELECT 'gold' AS layer_lake, app_reference AS app_id, count(k.review_month) AS total_records,
+       count(k.review_month) AS valid_count,
+       CASE WHEN count(k.review_month) > 0 THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END
+           AS valid_percentage,
+       CAST(0 AS BIGINT) AS invalid_count, count(k.review_month) > 0 AS status,
+       CASE WHEN count(k.review_month) > 0 THEN 'Dados agregados com sucesso.'
+            ELSE 'Nenhum registro a ser gravado.' END AS message,
+       (count(k.review_month) > 0)::INTEGER AS success_count,
+       (count(k.review_month) = 0)::INTEGER AS error_count
+FROM apps LEFT JOIN (SELECT * FROM kpis WHERE segment = 'PF') k USING (app_reference)
+GROUP BY app_reference""")
+def output_check_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per app over its indicators; external apps have none for private clients."""
+    reviews = unified(spark, sf_dir)
+    kpis = review_kpis(prepare_for_kpis(filter_rating(reviews))).filter(F.col("segment") == "PF")
+    found = kpis.groupBy("app_reference").agg(F.count("*").alias("n")).unionByName(
+        reviews.groupBy("app_reference").agg(F.lit(0).cast("bigint").alias("n")))
+    totals = found.groupBy("app_reference").agg(F.sum("n").alias("total_records"))
+    started = F.to_timestamp(F.lit("2024-02-10 06:00:00"))
+    records = output_check_metrics(totals, owner_of("reviews", "lake", "gold", "silver"),
+                                   F.col("app_reference"), started, started)
+    check = F.col("validation_results.main_check")
+    return records.select(
+        "owner.layer_lake", "app_id", "total_records",
+        F.col("valid_data.count").alias("valid_count"),
+        F.col("valid_data.percentage").alias("valid_percentage"),
+        F.col("invalid_data.count").alias("invalid_count"),
+        check["status"].alias("status"), check["message"].alias("message"),
+        "success_count", "error_count",
+    )
+
+
 @checked("ops_dashboard", f"""
 WITH {RUNS_SQL}
 SELECT CASE app_reference WHEN 'app_0' THEN 'gold' WHEN 'app_1' THEN 'silver' ELSE 'bronze' END

@@ -24,6 +24,7 @@ from reviewlake.sources import (
     scan_days_back,
     scan_month,
     select_tagged,
+    type_config_strings,
 )
 from reviewlake.sources.feed import FEED_FIELDS
 
@@ -251,6 +252,35 @@ def load_config_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@checked("load_config_strings", """
+SELECT CAST(p_size AS DOUBLE) AS version, 'table_' || p_partkey AS table_name_target,
+       'id:BIGINT' AS expected, lower(p_type) AS source_directory, 'json' AS source_format,
+       CAST(0 AS INTEGER) AS fallback_settings, '2024-01-01 00:00:00.000000' AS last_modified
+FROM part""")
+def load_config_strings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows flattened to JSON text, with settings as lists of pairs."""
+    directory = F.concat(F.lit('[["format","json"],["directory","'), F.lower("p_type"), F.lit('"]]'))
+    flat = table(spark, sf_dir, "part").select(
+        F.col("p_size").cast("string").alias("version"),
+        F.lit("raw").alias("source_layer"),
+        F.concat(F.lit("table_"), F.col("p_partkey").cast("string")).alias("table_name_target"),
+        F.lit('[{"name_column":"id","type_column":"BIGINT","other":""}]').alias("schema_expected"),
+        *[F.lit("[]").alias(name) for name in ("schema_target", "schema_depara", "rule_control")],
+        directory.alias("source_config"),
+        *[F.lit("[]").alias(name) for name in ("target_config", "fallback_config")],
+        F.lit("2024-01-01").alias("last_modified"),
+    )
+    first = F.col("schema_expected")[0]
+    return type_config_strings(flat).select(
+        "version", "table_name_target",
+        F.concat(first["name_column"], F.lit(":"), first["type_column"]).alias("expected"),
+        F.col("source_config")["directory"].alias("source_directory"),
+        F.col("source_config")["format"].alias("source_format"),
+        F.size("fallback_config").alias("fallback_settings"),
+        a.stamp("last_modified"),
+    )
+
+
 @checked("config_rules", """
 SELECT o_orderstatus AS source_layer, 'flow_' || o_orderkey AS table_name_target,
        unnest(['max_value', 'not_empty', 'min_value']) AS rule,

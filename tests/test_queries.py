@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import connect, differences
+from tests.conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -27,4 +28,9 @@ def test_entry_returns_rows_with_a_stable_schema(spark):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(name, spark, sf_dir, con):
-    assert differences(queries()[name](spark, sf_dir), con, oracle_sql()[name]) == ""
+    df = queries()[name](spark, sf_dir)
+    assert differences(df, con, oracle_sql()[name]) == ""
+    plan = plan_of(df)
+    for operator in ("PythonUDF", "ArrowEval", "MapInPandas", "CartesianProduct",
+                     "BroadcastNestedLoopJoin", "RoundRobinPartitioning"):
+        assert operator not in plan
