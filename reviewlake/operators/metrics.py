@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# Partition column of the metrics table, not part of a record.
+RUN_ID = "run_id"
 CHECKS = {
     "duplicate_check": "duplicate_count",
     "null_check": "null_count",
@@ -139,7 +141,7 @@ def metrics_payload(metrics: DataFrame) -> DataFrame:
         "app_id",
         "timestamp",
         "error_count",
-        F.to_json(F.struct("*")).alias("payload"),
+        F.to_json(F.struct(*[c for c in metrics.columns if c != RUN_ID])).alias("payload"),
     )
 
 

@@ -7,6 +7,7 @@ ignores it and drops the other partitions) nor ``saveAsTable`` (replaces the who
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -14,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from reviewlake.operators.metrics import RUN_ID
 from reviewlake.session import TARGET_BYTES, session_conf, write_sizing
 from reviewlake.sources.tables import month_of, partition_columns, table_location
 
@@ -136,5 +138,11 @@ def write_full(
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append run records to the metrics table; a handful of rows, so one file per run."""
-    metrics.coalesce(1).write.mode("append").parquet(path)
+    """Add run records to the metrics table; a handful of rows, so one file per run.
+
+    Every call fills a partition of its own: runs of several apps end at the same time, and plain
+    appends to one folder share a work folder that the first to finish removes.
+    """
+    own = metrics.coalesce(1).withColumn(RUN_ID, F.lit(f"run-{uuid.uuid4().hex}"))
+    (own.write.mode("overwrite").partitionBy(RUN_ID)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))

@@ -75,6 +75,16 @@ def test_bronze_of_two_apps_is_repeatable(spark, lake, tables, landed):
     assert {r.ingestion_ts.date() for r in table.collect()} != {None}
 
 
+def test_apps_can_be_loaded_side_by_side(spark, lake, tables, landed):
+    """Runs of one day that overlap in time keep each other's rows and records."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(load_app, spark, lake, tables, app) for app in ("alpha", "beta")]
+        assert [run.result().partition["app_reference"] for run in runs] == ["alpha", "beta"]
+    assert spark.table(tables["external_reviews"]).count() == 4
+    assert spark.read.parquet(f"{lake}/metrics").count() == 2
+
+
 def test_one_run_loads_all_apps(spark, lake, tables, landed):
     """Rows carry their folder's name, whatever letters it has; files of the day itself have none."""
     land(f"{lake}/raw/feed/reviews/{DAY}/Ção +1/deep/p1.json", review(20))
@@ -119,7 +129,7 @@ def test_bronze_internal_reads_the_nested_client(spark, lake, tables, landed):
 
 
 def test_a_day_without_files_writes_nothing(spark, lake, tables):
-    result = load_app(spark, lake, tables, "alpha")
+    result = load_app(spark, lake, tables, "alpha", strict_types=True)
     assert spark.table(tables["external_reviews"]).isEmpty()
     metrics = result.metrics.first()
     assert (metrics.total_records, metrics.error_count) == (0, 0)
@@ -177,7 +187,8 @@ def test_whole_flow_twice(spark, lake, tables, landed):
                  operations_dashboard(spark.read.parquet(f"{lake}/metrics")).collect()}
     assert dashboard == {"bronze": 6, "silver": 2, "gold": 2}
     payloads = metrics_payload(spark.read.parquet(f"{lake}/metrics"))
-    assert all(json.loads(r.payload)["app_id"] for r in payloads.collect())
+    records = [json.loads(r.payload) for r in payloads.collect()]
+    assert len(records) == 10 and all(r["app_id"] and "run_id" not in r for r in records)
 
 
 def test_gold_keeps_its_table_when_the_snapshot_is_empty(spark, lake, tables, landed):

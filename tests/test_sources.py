@@ -120,6 +120,11 @@ def test_export_keeps_letters_nulls_and_micros(spark, lake):
     assert json.loads(line) == {"text": "ação", "gap": None, "at": "2024-01-01T00:00:00.123456Z"}
 
 
+def test_export_of_nothing(spark, lake):
+    assert export_documents(spark.range(3).filter("id < 0"), f"{lake}/a") == 0
+    assert export_documents(spark.createDataFrame([], "_id INT, a INT"), f"{lake}/b") == 0
+
+
 def test_scans_prune_partitions(spark, lake):
     days = spark.createDataFrame(
         [(1, "2023-12-31"), (2, "2024-01-01"), (3, "2024-01-31"), (4, None)], "id INT, date_load STRING")
