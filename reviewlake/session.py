@@ -6,6 +6,7 @@ import contextlib
 import math
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -53,21 +54,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_borrowed: dict[tuple[int, str], tuple[int, str | None]] = {}
+_lock = threading.Lock()
+
+
 @contextlib.contextmanager
 def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Set SQL options (``__`` stands for a dot) for one block and restore them after it."""
+    """Set SQL options (``__`` stands for a dot) for one block and restore them after it.
+
+    Blocks of several threads may overlap: the last to end restores the first value. Inside an
+    overlap a thread may see another's value, so only options that do not affect results belong here.
+    """
     keys = {name.replace("__", "."): value for name, value in settings.items()}
-    before = {key: spark.conf.get(key, None) for key in keys}
-    try:
+    with _lock:
         for key, value in keys.items():
+            users, original = _borrowed.get((id(spark), key), (0, spark.conf.get(key, None)))
+            _borrowed[id(spark), key] = users + 1, original
             spark.conf.set(key, value)
+    try:
         yield
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        with _lock:
+            for key in keys:
+                users, original = _borrowed.pop((id(spark), key))
+                if users > 1:
+                    _borrowed[id(spark), key] = users - 1, original
+                elif original is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, original)
 
 
 def shuffle_tasks_for(df: DataFrame, task_bytes: int = TARGET_BYTES) -> int:

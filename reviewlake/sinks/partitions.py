@@ -94,9 +94,12 @@ def insert_partitions(
         else F.col(f.name).try_cast(f.dataType).alias(f.name)
         for f in target.fields
     ])
-    dynamic = session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic")
-    with dynamic, write_sizing(ordered, file_bytes):
-        ordered.write.insertInto(table, overwrite=mode == "overwrite")
+    # The mode is an option of this one statement: as a session setting, a write in another thread
+    # could lose it half-way and replace the whole table.
+    verb = "OVERWRITE" if mode == "overwrite" else "INTO"
+    with write_sizing(ordered, file_bytes):
+        spark.sql(f"INSERT {verb} {table} WITH ('partitionOverwriteMode' = 'dynamic')"
+                  " SELECT * FROM {rows}", rows=ordered)
     return dict(measured.get) if measured else {}
 
 

@@ -124,13 +124,42 @@ def test_insert_matches_names_and_casts(spark, lake, database):
         insert_partitions(row, name, mode="replace")
 
 
-def test_insert_restores_the_session(spark, lake, database):
+def test_writes_restore_the_session(spark, lake, database):
     name = create_table(spark, database, "t", TABLES["internal_reviews"], f"{lake}/t")
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    empty = spark.table(name).filter("false")
-    insert_partitions(empty, name)
-    assert spark.conf.get(key) == before
+    keys = ["spark.sql.sources.partitionOverwriteMode",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = [spark.conf.get(key, None) for key in keys]
+    insert_partitions(spark.table(name).filter("false"), name)
+    assert [spark.conf.get(key, None) for key in keys] == before
+
+
+def test_overlapping_settings_end_as_they_began(spark):
+    from reviewlake.session import session_conf
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    first = session_conf(spark, **{key.replace(".", "__"): "10"})
+    second = session_conf(spark, **{key.replace(".", "__"): "20"})
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "20"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key, None) is None
+
+
+def test_tables_are_replaced_by_partition_even_side_by_side(spark, lake, database):
+    """Writers of different partitions at the same time leave each other's rows alone."""
+    from concurrent.futures import ThreadPoolExecutor
+    name = create_table(spark, database, "t", TABLES["internal_reviews"], f"{lake}/t")
+    columns = {c: F.lit(None) for c in spark.table(name).columns if c != "date_load"}
+
+    def write(day):
+        insert_partitions(spark.range(5).select(F.lit(day).alias("date_load")).withColumns(columns), name)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, [f"d{i % 4}" for i in range(4)]))
+    list(map(write, ["d0", "d1"]))
+    assert spark.table(name).groupBy("date_load").count().filter("count = 5").count() == 4
 
 
 def test_month_stamp(spark):
