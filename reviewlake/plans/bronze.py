@@ -112,4 +112,5 @@ def run_bronze(
                               type_issues_seen=int(seen.get("type_issues") or 0))
     metrics = run_metrics(summary, owner_of(domain, project, "bronze", config.source_layer),
                           config.target_table, started, utc_now())
-    return finish(RunResult(table, partition, metrics), metrics_path)
+    keys = written.select(*[c for c in config.primary_key if c in written.columns])
+    return finish(RunResult(table, partition, metrics), metrics_path, keys)

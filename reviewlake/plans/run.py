@@ -29,7 +29,10 @@ def owner_of(domain: str, project: str, layer: str, layer_source: str) -> dict[s
     return {"dominio": domain, "projeto": project, "layer_lake": layer, "layer_source": layer_source}
 
 
-def finish(result: RunResult, metrics_path: str | None) -> RunResult:
+def finish(
+    result: RunResult, metrics_path: str | None, measured: DataFrame | None = None
+) -> RunResult:
+    """Put the record of a run on file; ``measured`` are the keys its duplicate count shuffles."""
     if metrics_path:
-        append_metrics(result.metrics, metrics_path)
+        append_metrics(result.metrics, metrics_path, measured=measured)
     return result

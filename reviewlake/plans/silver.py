@@ -95,4 +95,5 @@ def run_silver(
     summary = quality_summary(written, config.primary_key, config.required_columns)
     metrics = run_metrics(summary, owner_of(domain, project, "silver", config.source_layer),
                           config.target_table, started, utc_now())
-    return finish(RunResult(table, partition, metrics), metrics_path)
+    keys = written.select(*[c for c in config.primary_key if c in written.columns])
+    return finish(RunResult(table, partition, metrics), metrics_path, keys)

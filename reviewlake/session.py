@@ -86,7 +86,7 @@ def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
 
 
 def shuffle_tasks_for(df: DataFrame, task_bytes: int = TARGET_BYTES) -> int:
-    """Reduce tasks that the optimizer's size estimate of the input asks for; runs no job."""
+    """Reduce tasks that the optimizer's size estimate of the rows asks for; runs no job."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if estimate >= UNKNOWN_BYTES:
@@ -95,16 +95,18 @@ def shuffle_tasks_for(df: DataFrame, task_bytes: int = TARGET_BYTES) -> int:
 
 
 @contextlib.contextmanager
-def write_sizing(df: DataFrame, file_bytes: int = TARGET_BYTES) -> Iterator[None]:
-    """Size the shuffles below a write by the data.
-
-    AQE merges small shuffle partitions but splits large ones only in joins and rebalances, so
-    it must start with enough of them; it then merges them up to the size of an output file.
+def write_sizing(
+    spark: SparkSession, shuffled: DataFrame | None = None, file_bytes: int = TARGET_BYTES
+) -> Iterator[None]:
+    """Size the shuffles below a write by the rows they move.
+
+    AQE merges small shuffle partitions but splits large ones only in joins and rebalances, so it
+    must start with enough of them; it then merges them up to the size of an output file. Without
+    ``shuffled``, as for aggregates that come out small, the session's own number stands.
     """
-    with session_conf(
-        df.sparkSession,
-        spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(
-            shuffle_tasks_for(df, file_bytes)),
-        spark__sql__adaptive__advisoryPartitionSizeInBytes=str(file_bytes),
-    ):
+    settings = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": str(file_bytes)}
+    if shuffled is not None:
+        settings["spark__sql__adaptive__coalescePartitions__initialPartitionNum"] = str(
+            shuffle_tasks_for(shuffled, file_bytes))
+    with session_conf(spark, **settings):
         yield

@@ -59,7 +59,7 @@ def write_partitions(
     added from it.
     """
     df = _arranged(df, partition_by, static or {}, rebalance)
-    with write_sizing(df, file_bytes):
+    with write_sizing(df.sparkSession, df, file_bytes):
         (df.write.format(file_format).mode(mode).partitionBy(*partition_by)
          .option("partitionOverwriteMode", "dynamic").save(path))
 
@@ -97,7 +97,7 @@ def insert_partitions(
     # The mode is an option of this one statement: as a session setting, a write in another thread
     # could lose it half-way and replace the whole table.
     verb = "OVERWRITE" if mode == "overwrite" else "INTO"
-    with write_sizing(ordered, file_bytes):
+    with write_sizing(spark, ordered, file_bytes):
         spark.sql(f"INSERT {verb} {table} WITH ('partitionOverwriteMode' = 'dynamic')"
                   " SELECT * FROM {rows}", rows=ordered)
     return dict(measured.get) if measured else {}
@@ -123,7 +123,7 @@ def write_full(
     spark = df.sparkSession
     # Lets AQE merge the small partitions of held data too; else each becomes a file.
     merging = session_conf(spark, spark__sql__optimizer__canChangeCachedPlanOutputPartitioning="true")
-    with merging, write_sizing(df):
+    with merging, write_sizing(spark):
         held = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if on_empty == "skip" and held.isEmpty():
@@ -140,12 +140,14 @@ def write_full(
             held.unpersist()
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
+def append_metrics(metrics: DataFrame, path: str, *, measured: DataFrame | None = None) -> None:
     """Add run records to the metrics table; a handful of rows, so one file per run.
 
-    Every call fills a partition of its own: runs of several apps end at the same time, and plain
-    appends to one folder share a work folder that the first to finish removes.
+    ``measured`` holds the key columns whose repetition the records count; the shuffle of the count
+    is sized by them. Every call fills a partition of its own: runs of several apps end at the same
+    time, and plain appends to one folder share a work folder that the first to finish removes.
     """
     own = metrics.coalesce(1).withColumn(RUN_ID, F.lit(f"run-{uuid.uuid4().hex}"))
-    (own.write.mode("overwrite").partitionBy(RUN_ID)
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    with write_sizing(metrics.sparkSession, measured):
+        (own.write.mode("overwrite").partitionBy(RUN_ID)
+         .option("partitionOverwriteMode", "dynamic").parquet(path))
