@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from reviewlake.checks.registry import ORACLES, QUERIES
 from tests.compare import connect, differences
 from tests.conftest import plan_of
 
@@ -15,7 +16,7 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_returns_rows_with_a_stable_schema(spark):
@@ -26,10 +27,10 @@ def test_entry_returns_rows_with_a_stable_schema(spark):
     assert not df.isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, sf_dir, con):
-    df = queries()[name](spark, sf_dir)
-    assert differences(df, con, oracle_sql()[name]) == ""
+    df = QUERIES[name](spark, sf_dir)
+    assert differences(df, con, ORACLES[name]) == ""
     plan = plan_of(df)
     for operator in ("PythonUDF", "ArrowEval", "MapInPandas", "CartesianProduct",
                      "BroadcastNestedLoopJoin", "RoundRobinPartitioning"):
