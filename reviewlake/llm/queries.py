@@ -1,4 +1,4 @@
 """All registered queries of this subpackage."""
 
-from reviewlake.llm import mixing  # noqa: F401 (it registers)
+from reviewlake.llm import licenses, mixing, urls  # noqa: F401 (they register)
 from reviewlake.llm.common import ORACLES, QUERIES  # noqa: F401
