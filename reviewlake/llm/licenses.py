@@ -1,7 +1,7 @@
 """Licence scan by a positional index of rare tokens.
 
-The index holds, for every word of the licence templates, where it stands in which template. How rare
-a word is comes from its document frequency over the whole input. For each file the rarest licence
+The index holds the rarest words of each licence template and where they stand in it. How rare a word
+is comes from its document frequency over the whole input. For each file the rarest licence
 words it holds are looked up; every posting says where the template would have to start, so postings
 that agree on a start support one place. A place counts when enough of the template's words stand at
 their positions and its mandatory key phrase stands complete. The short base phrases are looked up by
@@ -12,6 +12,7 @@ All of it is array expressions within a row: no shuffle beyond the counts of the
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +71,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def rarity(documents: DataFrame, vocabulary: list[str]) -> list[str]:
     """The vocabulary, rarest first, by the number of documents that hold a word; ties by the word.
 
@@ -88,14 +94,15 @@ def scan_licenses(
     base: tuple = BASE,
     templates: tuple = TEMPLATES,
     rare_words: int = 16,
+    posted_words: int = 3,
     least_aligned: float = 0.6,
 ) -> DataFrame:
     """The documents with ``scan``: n_words, base (places), found (places), score.
 
     ``base`` and ``found`` are arrays of (label, word, aligned): the label, the word at which the place
     starts, counted from 0, and the share of the template's words found in their positions. Of the
-    method's own places, those start where one of the file's ``rare_words`` rarest licence words
-    points to. ``score`` is the largest share of any place of the method; a file with base places alone
+    method's own places, those start where one of the file's ``rare_words`` rarest posted words points
+    to; posted are the ``posted_words`` rarest words of each template. ``score`` is the largest share of any place of the method; a file with base places alone
     scores 0.5, one without places 0.
 
     - Null or empty text: no words, no places, score 0. An empty table gives an empty result.
@@ -115,62 +122,64 @@ def scan_licenses(
     # Postings by rank: template and position in one number.
     wide = 1 << 20
 
-    def postings(chosen) -> Column:
-        lists = [[t * wide + p for t, tpl in chosen for p, w in enumerate(tpl.words) if w == word]
-                 for word in ranked]
-        return F.array(*(F.array(*map(F.lit, x)) if x else F.array().cast("array<int>") for x in lists))
+    def postings(chosen: list[tuple[int, Template]], most: int) -> list[list[int]]:
+        """For each word by rank where it stands in the templates of which it is a rarest word."""
+        rarest = {t: sorted(set(tpl.words), key=rank.get)[:most] for t, tpl in chosen}
+        return [[t * wide + p for t, tpl in chosen if word in rarest[t] for p, w in enumerate(tpl.words) if w == word]
+                for word in ranked]
 
     numbered = list(enumerate(every))
     # A base phrase is posted under its rarest word only: one posting per place.
-    rarest = {t: min(tpl.words, key=rank.get) for t, tpl in numbered[: len(plain)]}
-    base_lists = [[t * wide + tpl.words.index(word) for t, tpl in numbered[: len(plain)] if rarest[t] == word]
-                  for word in ranked]
-    base_postings = F.array(*(F.array(*map(F.lit, x)) if x else F.array().cast("array<int>") for x in base_lists))
-    own_postings = postings(numbered[len(plain):])
-
-    hits = F.transform(
-        F.filter(F.transform(F.col("words"), lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                 lambda x: F.lower(x["w"]).isin(vocabulary)),
-        lambda x: F.struct((F.array_position(_strings(ranked), lower_ascii(x["w"])) - 1).cast("int").alias("r"),
-                           x["i"].alias("i")))
-    hits = F.filter(hits, lambda x: x["r"] >= 0)
-    top = F.slice(F.array_sort(F.array_distinct(F.transform(F.col("hits"), lambda h: h["r"]))), 1, rare_words)
-
-    def places(found: Column, lists: Column) -> Column:
+    base_lists, own_lists = postings(numbered[:len(plain)], 1), postings(numbered[len(plain):], posted_words)
+    posted = [word for word, x, y in zip(ranked, base_lists, own_lists, strict=True) if x or y]
+    own_ranks = F.array(*(F.lit(i) for i, x in enumerate(own_lists) if x))
+    base_postings, own_postings = (
+        F.array(*(F.array(*map(F.lit, x)) if x else F.array().cast("array<int>") for x in lists))
+        for lists in (base_lists, own_lists))
+
+    def hits_of(words: Column) -> Column:
+        """Rank and place of every posted word."""
+        placed = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+                          lambda x: F.lower(x["w"]).isin(posted))
+        ranks = F.transform(placed, lambda x: F.struct(
+            (F.array_position(_strings(ranked), lower_ascii(x["w"])) - 1).cast("int").alias("r"), x["i"].alias("i")))
+        return F.filter(ranks, lambda x: x["r"] >= 0)
+
+    def places(hits: Column, lists: Column) -> Column:
         """Template and start, in one number, to which the postings of the words point."""
-        starts = F.flatten(F.transform(found, lambda h: F.transform(
+        starts = F.flatten(F.transform(hits, lambda h: F.transform(
             F.get(lists, h["r"]),
             lambda p: F.shiftright(p, 20).cast("long") * (1 << 40) + (h["i"] - p.bitwiseAND(wide - 1)).cast("long"))))
         return F.array_distinct(F.filter(starts, lambda s: s.bitwiseAND((1 << 40) - 1) < (1 << 39)))
 
-    def judged(starts: Column) -> Column:
+    def judged(words: Column, starts: Column) -> Column:
         def one(s: Column) -> Column:
             t, start = F.shiftright(s, 40).cast("int"), s.bitwiseAND((1 << 40) - 1).cast("int")
-            text = F.get(texts, t)
-            match = F.transform(text, lambda w, j: F.coalesce(
-                lower_ascii(F.get(F.col("words"), start + j)) == w, F.lit(False)))
-            first, last = F.get(firsts, t), F.get(lasts, t)
-            return F.struct(
+            text, first, last = F.get(texts, t), F.get(firsts, t), F.get(lasts, t)
+            match = F.transform(text, lambda w, j: F.coalesce(lower_ascii(F.get(words, start + j)) == w, F.lit(False)))
+            return once(match, lambda m: F.struct(
                 F.get(labels, t).alias("label"), start.cast("long").alias("word"),
-                (F.size(F.filter(match, lambda m: m)) / F.size(text)).alias("aligned"),
-                F.forall(F.slice(match, first + 1, last - first + 1), lambda m: m).alias("keyed"))
+                (F.size(F.filter(m, lambda x: x)) / F.size(text)).alias("aligned"),
+                F.forall(F.slice(m, first + 1, last - first + 1), lambda x: x).alias("keyed")))
 
         return F.transform(starts, one)
 
-    scanned = (
-        documents.select(F.struct("*").alias("row"), words_of(F.col("text")).alias("words"))
-        .withColumn("hits", hits)
-        .withColumn("base", places(F.col("hits"), base_postings))
-        .withColumn("top", top)
-        .withColumn("own", places(F.filter("hits", lambda h: F.array_contains("top", h["r"])), own_postings))
-        .withColumn("base", F.filter(judged(F.col("base")), lambda x: x["aligned"] == 1))
-        .withColumn("own", F.filter(judged(F.col("own")), lambda x: x["keyed"] & (x["aligned"] >= least_aligned)))
-    )
-    score = F.greatest(F.coalesce(F.array_max(F.transform("own", lambda x: x["aligned"])), F.lit(0.0)),
-                       F.when(F.size("base") > 0, 0.5).otherwise(0.0))
-    return scanned.select("row.*", F.struct(
-        F.size("words").cast("long").alias("n_words"), "base", F.col("own").alias("found"),
-        score.alias("score")).alias("scan"))
+    def found(words: Column, hits: Column) -> Column:
+        ranks = F.array_intersect(F.transform(hits, lambda h: h["r"]), own_ranks)
+        top = F.slice(F.array_sort(ranks), 1, rare_words)
+        rare = once(top, lambda some: F.filter(hits, lambda h: F.array_contains(some, h["r"])))
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.filter(judged(words, places(hits, base_postings)), lambda x: x["aligned"] == 1).alias("base"),
+            F.filter(judged(words, places(rare, own_postings)),
+                     lambda x: x["keyed"] & (x["aligned"] >= least_aligned)).alias("found"))
+
+    scanned = documents.select(F.struct("*").alias("row"), once(
+        words_of(F.col("text")), lambda words: once(hits_of(words), lambda hits: once(
+            found(words, hits), lambda x: x.withField("score", F.greatest(
+                F.coalesce(F.array_max(F.transform(x["found"], lambda y: y["aligned"])), F.lit(0.0)),
+                F.when(F.size(x["base"]) > 0, 0.5).otherwise(0.0)))))).alias("scan"))
+    return scanned.select("row.*", "scan")
 
 
 def _joined(labels: Column) -> Column:
@@ -193,10 +202,12 @@ e AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i
 h AS (SELECT * FROM e WHERE w IN (SELECT w FROM tw)),
 f AS (SELECT v.w, row_number() OVER (ORDER BY count(DISTINCT doc_id), v.w) AS r
       FROM (SELECT DISTINCT w FROM tw) v LEFT JOIN h ON h.w = v.w GROUP BY v.w),
+rare AS (SELECT t, w FROM (SELECT t, w, row_number() OVER (PARTITION BY t ORDER BY r) AS k
+         FROM (SELECT DISTINCT t, w FROM tw WHERE t >= {len(base)}) JOIN f USING (w)) WHERE k <= 3),
 top AS (SELECT doc_id, w FROM (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY r) AS k
-        FROM (SELECT DISTINCT doc_id, w, r FROM h JOIN f USING (w))) WHERE k <= 16),
+        FROM (SELECT DISTINCT doc_id, w, r FROM h JOIN f USING (w) WHERE w IN (SELECT w FROM rare))) WHERE k <= 16),
 c AS (SELECT DISTINCT h.doc_id, tw.t, tw.label, tw.n, h.i - tw.p AS s FROM h JOIN tw USING (w)
-      WHERE h.i >= tw.p AND (tw.t < {len(base)} OR (h.doc_id, h.w) IN (SELECT (doc_id, w) FROM top))),
+      WHERE h.i >= tw.p AND (tw.t < {len(base)} OR ((h.doc_id, h.w) IN (SELECT (doc_id, w) FROM top) AND (tw.t, tw.w) IN (SELECT (t, w) FROM rare)))),
 m AS (SELECT c.doc_id, c.t, c.label, c.s, count(*) / any_value(c.n) AS aligned,
              count(*) FILTER (WHERE tw.key) = (SELECT count(*) FROM tw x WHERE x.t = c.t AND x.key) AS keyed
       FROM c JOIN tw ON tw.t = c.t JOIN h ON h.doc_id = c.doc_id AND h.i = c.s + tw.p AND h.w = tw.w
