@@ -1,4 +1,4 @@
 """All registered queries of this subpackage."""
 
-from reviewlake.llm import bpe, licenses, mixing, neardup, suffixes, toxicity, urls  # noqa: F401 (they register)
+from reviewlake.llm import bpe, licenses, mixing, neardup, phrases, suffixes, toxicity, urls  # noqa: F401 (they register)
 from reviewlake.llm.common import ORACLES, QUERIES  # noqa: F401
