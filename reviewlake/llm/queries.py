@@ -1,4 +1,15 @@
 """All registered queries of this subpackage."""
 
-from reviewlake.llm import bpe, licenses, mixing, neardup, phrases, suffixes, toxicity, urls  # noqa: F401 (they register)
+from reviewlake.llm import (  # noqa: F401 (they register)
+    bpe,
+    licenses,
+    mixing,
+    neardup,
+    nearest,
+    phrases,
+    products,
+    suffixes,
+    toxicity,
+    urls,
+)
 from reviewlake.llm.common import ORACLES, QUERIES  # noqa: F401
