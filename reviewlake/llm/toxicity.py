@@ -228,23 +228,28 @@ def token_at(token: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _rates(seen: Read, label: np.ndarray, rows: np.ndarray, prior: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of toxicity by word and by character sequence, from the given texts."""
-    of_text = np.repeat(np.arange(len(label)), seen.counts())
-    chosen = rows[of_text]
-    pairs = np.unique(of_text[chosen] * np.int64(len(seen.word_slots)) + seen.token[chosen])
-    text, word = pairs // len(seen.word_slots), pairs % len(seen.word_slots)
-    rate = max(1e-3, float(label[rows].mean()))
-
-    def odds(keys: np.ndarray, texts: np.ndarray) -> np.ndarray:
-        once = np.unique(texts.astype(np.int64) << TABLE_BITS | keys)
-        slot, toxic = once & ((1 << TABLE_BITS) - 1), label[once >> TABLE_BITS]
-        yes = np.bincount(slot, toxic, 1 << TABLE_BITS)
-        every = np.bincount(slot, minlength=1 << TABLE_BITS)
-        share = (yes + prior * rate) / (every + prior)
-        return np.log(share / (1 - share)).astype(np.float32)
-
-    number = np.diff(seen.grams_of)[word]
-    grams = spread(seen.grams_of[:-1][word], number)
-    return odds(seen.word_slots[word], text), odds(seen.gram_slots[grams], np.repeat(text, number))
+    rate, slots = max(1e-3, float(label[rows].mean())), 1 << TABLE_BITS
+    tables = np.zeros((4, slots), np.float32)
+
+    def add(kind: int, slot: np.ndarray, text: np.ndarray) -> None:
+        """Counts each text once for every slot it holds: the toxic ones and all."""
+        once = np.unique(text.astype(np.int64) << TABLE_BITS | slot)
+        slot = once & (slots - 1)
+        np.add.at(tables[kind], slot, label[once >> TABLE_BITS].astype(np.float32))
+        np.add.at(tables[kind + 1], slot, 1)
+
+    for first in range(0, len(label), 100):  # a hundred texts at a time, to bound what is held
+        last = min(first + 100, len(label))
+        text = np.repeat(np.arange(first, last), seen.counts()[first:last])
+        word = seen.token[seen.of[first]:seen.of[last]]
+        text, word = text[rows[text]], word[rows[text]]
+        pairs = np.unique(text * np.int64(len(seen.hashes)) + word)
+        text, word = pairs // len(seen.hashes), pairs % len(seen.hashes)
+        number = np.diff(seen.grams_of)[word]
+        add(0, _slot(seen.hashes[word]), text)
+        add(2, seen.gram_slots[spread(seen.grams_of[:-1][word], number)], np.repeat(text, number))
+    share = [(tables[k] + prior * rate) / (tables[k + 1] + prior) for k in (0, 2)]
+    return tuple(np.log(x / (1 - x)).astype(np.float32) for x in share)
 
 
 def train(texts: pa.Array, labels: np.ndarray, epochs: int = 6, seed: int = 3) -> ToxicityModel:
@@ -253,7 +258,9 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 6, seed: int = 3) -
     The network chooses it among those few that the inputs call worst, and learns a random one of each
     clean text besides.
     """
-    label = np.asarray(labels, np.float64)
+    # Copies would count as evidence for every rare word in them.
+    once = sorted({x: i for i, x in enumerate(texts.to_pylist())}.values())
+    texts, label = texts.take(pa.array(once, pa.int64())), np.asarray(labels, np.float64)[once]
     if not len(label) or label.min() == label.max():
         return ToxicityModel(float(label.mean()) if len(label) else 0.0)
     seen, random = joined([read(some) for _, _, some in slices(texts)]), np.random.default_rng(seed)
@@ -320,7 +327,7 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit_toxicity(documents: DataFrame, labels: DataFrame, sample: int = 6_000, seed: int = 3) -> ToxicityModel:
+def fit_toxicity(documents: DataFrame, labels: DataFrame, sample: int = 5_000, seed: int = 3) -> ToxicityModel:
     """A model from at most ``sample`` labelled texts that are not held out, chosen by a hash of the id.
 
     Null labels and labels of unknown documents are left out; of repeated ids any text may be taken.
