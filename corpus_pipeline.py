@@ -1,15 +1,77 @@
-"""The corpus pipeline: toxicity, near copies, repeated passages, mixture, encoding."""
+"""The corpus pipeline: toxicity, near copies, repeated passages, mixture, encoding.
+
+Each stage takes all that the one before kept, written as Parquet and read again; the result of a stage
+is what its decision leaves of the documents, in their own columns. The last stage gives tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reviewlake.llm.bpe import encoded, ids_text, vocabulary
+from reviewlake.llm.common import cut, table
+from reviewlake.llm.mixing import mix_sources
+from reviewlake.llm.neardup import one_of_each
+from reviewlake.llm.suffixes import remove_repeats
+from reviewlake.llm.toxicity import fit_toxicity, toxicity_score
+
+# Texts at least as similar are copies; passages at least as long are kept where they come first.
+SIMILAR_PERCENT = 80
+PASSAGE_BYTES = 200
+WEIGHTS = (5, 2, 1)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the model learns from labelled ones among them."""
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.filter(toxicity_score(F.col("text"), model) < 0.5)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs, SIMILAR_PERCENT)
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without passages that an earlier document or an earlier part of it holds."""
+    done = remove_repeats(docs, PASSAGE_BYTES, keep="first", as_text=True)
+    text = F.when(F.size("repeats.removed") > 0, F.col("repeats.kept")).otherwise(F.col("text"))
+    return done.withColumn("text", text).withColumn(
+        "n_chars", F.when(F.size("repeats.removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mixture takes it."""
+    mixed = mix_sources(docs, WEIGHTS)
+    times = F.explode(F.sequence(F.lit(1), F.col("mix.repeats").cast("int")))
+    return mixed.filter("mix.repeats > 0").withColumn("time", times).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, their number, and digests of ids and of the text decoded from them."""
+    tokens = docs.select("doc_id", "lang", "source", encoded(F.col("text"), vocabulary()).alias("tokens"))
+    return tokens.select(
+        "doc_id", "lang", "source", F.size("tokens.ids").cast("long").alias("n_tokens"), F.col("tokens.ids").alias("ids"),
+        F.sha2(ids_text(F.col("tokens.ids")), 256).alias("ids_sha256"),
+        F.sha2("tokens.decoded", 256).alias("decoded_sha256"))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("repeated passages", drop_passages),
+    ("mixture", mix),
+    ("encoding", encode),
+]
+# SQL cannot express the trained model or the tokenizer; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -80,8 +80,8 @@ def compare(depth: int):
     return shard
 
 
-def _removal(min_bytes: int, keep: str):
-    @F.arrow_udf("removed array<struct<a int, b int>>, kept binary")
+def _removal(min_bytes: int, keep: str, as_text: bool):
+    @F.arrow_udf(f"removed array<struct<a int, b int>>, kept {'string' if as_text else 'binary'}")
     def remove(texts: pa.Array, ids: pa.Array, found: pa.Array) -> pa.Array:
         out = []
         for text, own, spots in zip(texts, ids, found, strict=True):
@@ -97,9 +97,9 @@ def _removal(min_bytes: int, keep: str):
                 gone |= _repeated_within(data, starts_of(spots, lambda x: x["count"] > 1, min_bytes, len(data)), min_bytes)
             edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
             out.append({"removed": [{"a": int(a), "b": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)],
-                        "kept": data[~gone].tobytes()})
+                        "kept": data[~gone].tobytes().decode(errors="ignore") if as_text else data[~gone].tobytes()})
         return pa.array(out, pa.struct([("removed", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-                                        ("kept", pa.binary())]))
+                                        ("kept", pa.string() if as_text else pa.binary())]))
 
     return remove
 
@@ -117,9 +117,11 @@ def _repeated_within(data: np.ndarray, suspect: np.ndarray, depth: int) -> np.nd
     return np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(documents: DataFrame, min_bytes: int = 400, keep: str = "none") -> DataFrame:
+def remove_repeats(documents: DataFrame, min_bytes: int = 400, keep: str = "none", as_text: bool = False) -> DataFrame:
     """The documents with ``repeats``: removed (byte ranges) and kept (the remaining bytes).
 
+    With ``as_text`` what is kept is text; bytes of a character that a cut has split are dropped.
+
     A byte goes if a string of ``min_bytes`` bytes that covers it starts anywhere else (``keep="none"``),
     or starts in a document with a smaller doc_id or earlier in the same one (``keep="first"``). Strings
     are judged on the input.
@@ -137,10 +139,10 @@ def remove_repeats(documents: DataFrame, min_bytes: int = 400, keep: str = "none
     joined = documents.select(F.struct("*").alias("row"), "doc_id", text.alias("text"), *text_keys(text)).join(
         found, ["k1", "k2"], "left")
     some = F.when(F.col("found").isNotNull(), F.col("text"))
-    done = joined.withColumn("done", _removal(min_bytes, keep)(some, F.col("doc_id").cast("long"), F.col("found")))
+    done = joined.withColumn("done", _removal(min_bytes, keep, as_text)(some, F.col("doc_id").cast("long"), F.col("found")))
     return done.select("row.*", F.struct(
         F.coalesce("done.removed", F.array().cast("array<struct<a int, b int>>")).alias("removed"),
-        F.coalesce("done.kept", F.col("text").cast("binary")).alias("kept")).alias("repeats"))
+        F.coalesce("done.kept", F.col("text").cast("string" if as_text else "binary")).alias("kept")).alias("repeats"))
 
 
 @registered("op9_suffix_dedup")
