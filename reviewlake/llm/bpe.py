@@ -10,11 +10,12 @@ the encodings of recent words in a cache of fixed size.
 
 from __future__ import annotations
 
-import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from reviewlake.llm.common import registered, table
 SPACE = r"\t-\r \x85\xa0  -     　"
 CHUNK = regex.compile(rf"[^{SPACE}]+")
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
-# Words kept in each half of a task's cache.
-CACHED = 120_000
+# Words, and chunks between white space, kept in each half of a task's caches.
+CACHED_WORDS, CACHED_CHUNKS = 250_000, 120_000
 
 SCHEMA = "ids array<int>, decoded string"
 _ARROW = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
@@ -43,10 +44,28 @@ def byte_letters() -> list[str]:
     return [letter[b] for b in range(256)]
 
 
+class Recent(dict):
+    """Results of a function for recent arguments: at most twice ``most`` of them."""
+
+    def __init__(self, most: int, compute):
+        super().__init__()
+        self.most, self.compute, self.old = most, compute, {}
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordBpe:
-    """One vocabulary file and a bounded cache of encoded words."""
+    """One vocabulary file and bounded caches of what has been encoded lately."""
 
-    def __init__(self, path: str, cached: int = CACHED):
+    def __init__(self, path: str, words: int = CACHED_WORDS, chunks: int = CACHED_CHUNKS):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -57,71 +76,75 @@ class WordBpe:
         self.special_pattern = regex.compile("|".join(regex.escape(s) for s in self.special) or r"(?!)")
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.word_pattern = regex.compile(pattern.replace(r"\s", SPACE))
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+        # Pairs of ids in one number; what a merge makes is listed by rank.
+        self.ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
+        self.made = [vocab[a + b] for a, b in model["merges"]]
         letters = byte_letters()
         self.inner, self.last = [vocab[c] for c in letters], [vocab[c + self.end] for c in letters]
-        self.cached, self.young, self.old = cached, {}, {}
+        self.words, self.chunks = Recent(words, self.merged), Recent(chunks, self.chunk)
 
     def merged(self, word: str) -> list[int]:
         """The ids of one word."""
         data = word.encode("utf-8", "surrogatepass")
-        ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-        n, merges = len(ids), self.merges
+        inner, ranks, made = self.inner, self.ranks.get, self.made
+        ids = [inner[b] for b in data]
+        ids[-1] = self.last[data[-1]]
+        n = len(ids)
+        if n == 1:
+            return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(m[0], i, m[1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
-        heapq.heapify(heap)
+        # A heap entry is a rank and the place of the left symbol in one number.
+        heap = [rank << 32 | i for i in range(n - 1) if (rank := ranks(ids[i] << 32 | ids[i + 1])) is not None]
+        heapify(heap)
         while heap:
-            _, i, new = heapq.heappop(heap)
+            top = heappop(heap)
+            i, new = top & 0xFFFFFFFF, made[top >> 32]
             j = after[i]
-            if ids[i] < 0 or j >= n:
+            if j >= n or ids[i] < 0:
                 continue
-            now = merges.get((ids[i], ids[j]))
-            if now is None or now[1] != new:  # stale: a neighbour has been merged meanwhile
+            rank = ranks(ids[i] << 32 | ids[j])
+            if rank is None or made[rank] != new:  # stale: a neighbour has been merged meanwhile
                 continue
             ids[i], ids[j] = new, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if m := merges.get((new, ids[k])):
-                    heapq.heappush(heap, (m[0], i, m[1]))
+                rank = ranks(new << 32 | ids[k])
+                if rank is not None:
+                    heappush(heap, rank << 32 | i)
             h = before[i]
-            if h >= 0 and (m := merges.get((ids[h], new))):
-                heapq.heappush(heap, (m[0], h, m[1]))
+            if h >= 0:
+                rank = ranks(ids[h] << 32 | new)
+                if rank is not None:
+                    heappush(heap, rank << 32 | h)
         return [x for x in ids if x >= 0]
 
-    def chunk(self, text: str) -> tuple[tuple[int, ...], str]:
-        """Ids and decoded text of what stands between white space."""
-        found = self.young.get(text)
-        if found is None:
-            found = self.old.get(text)
-            if found is None:
-                # Lower case letter by letter: no final form at the end of a word.
-                plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-                ids = [i for word in self.word_pattern.findall(plain) for i in self.merged(word)]
-                found = tuple(ids), self.decode(ids)
-            if len(self.young) >= self.cached:
-                self.old, self.young = self.young, {}
-            self.young[text] = found
-        return found
+    def chunk(self, text: str) -> tuple[bytes, str]:
+        """Ids, as 32-bit numbers on end, and decoded text of what stands between white space."""
+        plain = text if text.isascii() else unicodedata.normalize("NFC", text)
+        # Lower case letter by letter: no final form at the end of a word.
+        plain = plain.replace("Σ", "σ").lower()
+        if plain.isalpha():
+            ids = self.words[plain]
+        else:
+            ids = [i for word in self.word_pattern.findall(plain) for i in self.words[word]]
+        return array("i", ids).tobytes(), self.decode(ids)
 
     def decode(self, ids) -> str:
         strings = self.strings
         return " ".join([strings[i] for i in ids])
 
-    def chunks(self, text: str) -> Iterator[tuple[tuple[int, ...], str]]:
-        at = 0
+    def encode(self, text: str) -> tuple[bytes, str]:
+        chunks = self.chunks
+        parts, at = [], 0
         for match in self.special_pattern.finditer(text) if "<" in text else ():
-            yield from map(self.chunk, CHUNK.findall(text[at:match.start()]))
+            parts += [chunks[c] for c in CHUNK.findall(text[at:match.start()])]
             token = self.special[match.group()]
-            yield (token,), self.strings[token]
+            parts.append((array("i", [token]).tobytes(), self.strings[token]))
             at = match.end()
         rest = text[at:] if at else text
-        yield from map(self.chunk, CHUNK.findall(rest) if SEPARATORS.search(rest) else rest.split())
-
-    def encode(self, text: str) -> tuple[np.ndarray, str]:
-        parts = list(self.chunks(text))
-        ids = [i for part, _ in parts for i in part]
-        return np.array(ids, dtype=np.int32), " ".join([decoded for _, decoded in parts])
+        parts += [chunks[c] for c in (CHUNK.findall(rest) if SEPARATORS.search(rest) else rest.split())]
+        return b"".join([ids for ids, _ in parts]), " ".join([decoded for _, decoded in parts])
 
 
 @lru_cache(maxsize=2)
@@ -144,8 +167,8 @@ def encoded(text: Column, path: str) -> Column:
             # Slices bound what a task holds at once, however long the batch.
             for start in range(0, max(1, len(batch)), 256):
                 done = [bpe.encode(x.as_py() or "") for x in batch[start:start + 256]]
-                ends = np.cumsum([0] + [len(ids) for ids, _ in done]).astype(np.int32)
-                flat = np.concatenate([ids for ids, _ in done]) if done else np.zeros(0, np.int32)
+                ends = np.cumsum([0] + [len(ids) // 4 for ids, _ in done]).astype(np.int32)
+                flat = np.frombuffer(b"".join([ids for ids, _ in done]), np.int32)
                 pieces.append(pa.StructArray.from_arrays(
                     [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                      pa.array([decoded for _, decoded in done], pa.string())], names=["ids", "decoded"]))
