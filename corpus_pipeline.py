@@ -35,18 +35,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without passages that an earlier document or an earlier part of it holds."""
-    done = remove_repeats(docs, PASSAGE_BYTES, keep="first", as_text=True)
-    text = F.when(F.size("repeats.removed") > 0, F.col("repeats.kept")).otherwise(F.col("text"))
-    return done.withColumn("text", text).withColumn(
-        "n_chars", F.when(F.size("repeats.removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
+    done = remove_repeats(whole, PASSAGE_BYTES, keep="first", as_text=True)
+    cuts = F.size("repeats.removed") > 0
+    changed = {"text": F.when(cuts, F.col("repeats.kept")).otherwise(F.col("doc.text")),
+               "n_chars": F.when(cuts, F.length("repeats.kept").cast("long")).otherwise(F.col("doc.n_chars"))}
+    return done.select(*(changed.get(c, F.col(f"doc.{c}")).alias(c) for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mixture takes it."""
-    mixed = mix_sources(docs, WEIGHTS)
+    mixed = mix_sources(docs.select(F.struct("*").alias("doc"), "doc_id", "source", "text"), WEIGHTS)
     times = F.explode(F.sequence(F.lit(1), F.col("mix.repeats").cast("int")))
-    return mixed.filter("mix.repeats > 0").withColumn("time", times).select(*docs.columns)
+    return mixed.filter("mix.repeats > 0").select("doc", times.alias("time")).select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

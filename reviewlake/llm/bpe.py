@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import registered, table
+from reviewlake.llm.common import registered, row_but, table
 
 # White space by its Unicode property; Python's own classes hold four separators more.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -183,7 +183,7 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     Rows are encoded one by one: repeated rows and null or repeated ids are kept, an empty table gives
     an empty result, other columns pass through unchanged.
     """
-    return documents.select(F.struct("*").alias("row"), encoded(F.col("text"), path).alias("tokens")).select(
+    return documents.select(row_but(documents, "tokens"), encoded(F.col("text"), path).alias("tokens")).select(
         "row.*", "tokens")
 
 

@@ -45,6 +45,11 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_but(df: DataFrame, name: str) -> Column:
+    """All columns as ``row``, for an operator that adds ``name``; one of that name gives way."""
+    return F.struct(*(df[c] for c in df.columns if c != name)).alias("row")
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

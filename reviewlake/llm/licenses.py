@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import lower_ascii, registered, table
+from reviewlake.llm.common import lower_ascii, registered, row_but, table
 
 # Capitals are lower-cased later, word by word, so here they belong to words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -174,7 +174,7 @@ def scan_licenses(
             F.filter(judged(words, places(rare, own_postings)),
                      lambda x: x["keyed"] & (x["aligned"] >= least_aligned)).alias("found"))
 
-    scanned = documents.select(F.struct("*").alias("row"), once(
+    scanned = documents.select(row_but(documents, "scan"), once(
         words_of(F.col("text")), lambda words: once(hits_of(words), lambda hits: once(
             found(words, hits), lambda x: x.withField("score", F.greatest(
                 F.coalesce(F.array_max(F.transform(x["found"], lambda y: y["aligned"])), F.lit(0.0)),
@@ -230,7 +230,7 @@ FROM d LEFT JOIN g USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN q USING (
 @registered("op1_license_scan", _oracle())
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, all templates."""
-    scanned = scan_licenses(table(spark, sf_dir, "documents"))
+    scanned = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base, found = F.col("scan.base"), F.col("scan.found")
     starts = F.transform(base, lambda x: x["word"])
     return scanned.select(

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewlake.llm.common import cut, registered, table, word_count
+from reviewlake.llm.common import cut, registered, row_but, table, word_count
 
 # The buckets of the seeded order: prefixes of three hexadecimal digits.
 BUCKET_DIGITS = 3
@@ -143,7 +143,7 @@ def mix_sources(
     )
     size = word_count(F.col("text"))
     repeats = F.col("whole") + F.when(key <= F.col("last"), 1).otherwise(0)
-    mixed = documents.select(F.struct("*").alias("row"), "source", "doc_id", "text").join(
+    mixed = documents.select(row_but(documents, "mix"), "source", "doc_id", "text").join(
         plan, F.col("source").eqNullSafe(F.col("mix_source")))
     return mixed.select(
         "row.*",
@@ -180,5 +180,5 @@ JOIN x ON x.source IS NOT DISTINCT FROM d.source AND x.key = d.key
 @registered("op4_mix_sources", ORACLE)
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, sources weighing 5, 2, 1 in turn, at most three repetitions."""
-    mixed = mix_sources(table(spark, sf_dir, "documents"), (5, 2, 1))
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), (5, 2, 1))
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")

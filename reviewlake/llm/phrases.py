@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import registered, table
+from reviewlake.llm.common import registered, row_but, table
 from reviewlake.llm.runs import Windows, recurring, segments, starts_of, text_keys
 from reviewlake.llm.suffixes import FOUND
 from reviewlake.llm.tokens import slices, space_table, split
@@ -92,7 +92,7 @@ def remove_phrases(documents: DataFrame, window: int = 13, gram: int = 4) -> Dat
     keyed = documents.filter("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("id"), "text", *text_keys(text))
     found = recurring(keyed, Windows("word", window, gram), located(window))
-    joined = documents.select(F.struct("*").alias("row"), "doc_id", text.alias("text"), *text_keys(text)).join(
+    joined = documents.select(row_but(documents, "phrases"), "doc_id", text.alias("text"), *text_keys(text)).join(
         found, ["k1", "k2"], "left")
     return joined.withColumn("phrases", _removal(window)("text", F.col("doc_id").cast("long"), "found")).select(
         "row.*", "phrases")

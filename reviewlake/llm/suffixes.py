@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import registered, table
+from reviewlake.llm.common import registered, row_but, table
 from reviewlake.llm.runs import Windows, recurring, segments, starts_of, text_keys
 
 FOUND = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("least", pa.int64()), ("count", pa.int64())]))
@@ -136,7 +136,7 @@ def remove_repeats(documents: DataFrame, min_bytes: int = 400, keep: str = "none
     keyed = documents.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("id"),
                              text.alias("text"), *text_keys(text)).filter(F.octet_length("text") >= min_bytes)
     found = recurring(keyed, kind, compare(min_bytes))
-    joined = documents.select(F.struct("*").alias("row"), "doc_id", text.alias("text"), *text_keys(text)).join(
+    joined = documents.select(row_but(documents, "repeats"), "doc_id", text.alias("text"), *text_keys(text)).join(
         found, ["k1", "k2"], "left")
     some = F.when(F.col("found").isNotNull(), F.col("text"))
     done = joined.withColumn("done", _removal(min_bytes, keep, as_text)(some, F.col("doc_id").cast("long"), F.col("found")))

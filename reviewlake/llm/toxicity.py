@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import cut, registered, table
+from reviewlake.llm.common import cut, registered, row_but, table
 from reviewlake.llm.tokens import Texts, mixed, slices, space_table, split, word_hashes
 
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 16, 8, 4
@@ -364,7 +364,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     - Labels of one kind only, or none: every text scores the share of toxic labels.
     """
     return documents.select(
-        F.struct("*").alias("row"), toxicity_score(F.col("text"), model).alias("toxicity")
+        row_but(documents, "toxicity"), toxicity_score(F.col("text"), model).alias("toxicity")
     ).select("row.*", "toxicity")
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import cut, lower_ascii, registered, table
+from reviewlake.llm.common import cut, lower_ascii, registered, row_but, table
 
 # Host, path and verdict.
 RULES = (
@@ -119,7 +119,7 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES, sample: int = 20_000, de
       an empty result. Other columns pass through unchanged.
     """
     host, path = host_and_path(F.col("url"))
-    parsed = pages.select(F.struct("*").alias("row"), "url", host.alias("host"), path.alias("path"))
+    parsed = pages.select(row_but(pages, "judged"), "url", host.alias("host"), path.alias("path"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     ruled = parsed.withColumn("rule", rule).withColumn("says", verdict)
     featured = ruled.select(
@@ -142,4 +142,4 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES, sample: int = 20_000, de
 @registered("op2_url_filter")
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL."""
-    return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "judged.*")
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "judged.*")
