@@ -43,6 +43,14 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def file_lengths(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and lengths of the files directly below a folder."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return {}
+    return {s.getPath().getName(): int(s.getLen()) for s in fs.listStatus(hadoop_path) if s.isFile()}
+
+
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     fs, hadoop_path = _resolve(spark, path)
     return int(fs.getContentSummary(hadoop_path).getLength())

@@ -16,14 +16,13 @@ from reviewlake.operators import (
     with_control_columns,
 )
 from reviewlake.operators.mapping import CONTROL_COLUMNS
-from reviewlake.plans.run import RunResult, finish, owner_of, utc_now
-from reviewlake.sinks import compact, insert_partitions
+from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now
+from reviewlake.sinks import compact_table, insert_partitions
 from reviewlake.sources import (
     app_folder,
     partition_columns,
     read_flow_source,
     table_column_types,
-    table_location,
 )
 
 TYPE_ISSUE = "is_type_issue"
@@ -41,15 +40,16 @@ def bronze_rows(
     table_types: dict | None = None,
     missing: str = "error",
     type_issue: str | None = None,
+    base: str = "",
 ) -> DataFrame:
     """Raw rows in the layout of the target table.
 
     ``tag_app`` sets the app as a control column: from the argument, else from the folder of the
-    row's file where the raw rows carry its path.
+    row's file where the raw rows carry its path; ``base`` is the folder that holds the days.
     """
     skip, keep = CONTROL_COLUMNS, []
     if tag_app:
-        folder = app_folder(F.col(PATH), day) if PATH in raw.columns else None
+        folder = app_folder(F.col(PATH), day, base) if PATH in raw.columns else None
         skip = (*CONTROL_COLUMNS, "app_reference")
         keep = [app_reference_column(raw.schema, app, folder).alias("app_reference")]
     mapped = map_columns(raw, config.target, config.mapping, table_types=table_types,
@@ -77,8 +77,8 @@ def run_bronze(
 ) -> RunResult:
     """Load one day of one flow; failures are raised, so nothing downstream mistakes them for success.
 
-    The raw files are parsed once, by the write. Quality is measured on the partition written, which
-    is columnar and pruned to key and rule columns. ``overwrite`` makes a repeated run replace its
+    The raw files are parsed once, by the write. Quality is measured on the run's own rows in the
+    partition written, which is columnar and pruned to key and rule columns. ``overwrite`` makes a repeated run replace its
     own rows, ``append`` adds them again. With ``tag_app`` and no ``app`` one run loads the folders of
     all apps of the day, each row tagged with its folder.
     """
@@ -90,6 +90,7 @@ def run_bronze(
         raw, config, day, app=app, tag_app=tag_app, run_ts=run_ts or started, missing=missing,
         table_types=table_column_types(spark, table),
         type_issue=TYPE_ISSUE if strict_types else None,
+        base=f"{landing_root.rstrip('/')}/{config.source['directory'].strip('/')}",
     )
     partition = {"date_load": day}
     if tag_app and one_app:
@@ -101,16 +102,18 @@ def run_bronze(
         rows, table, mode=mode, static=partition,
         measure={"type_issues": F.count_if(TYPE_ISSUE)} if strict_types else None,
     )
-    if compact_after and len(partition) == len(declared):
-        compact(spark, table_location(spark, table), partition, cluster_by=config.zorder_columns)
-        spark.catalog.refreshTable(table)
+    if compact_after:
+        compact_table(spark, table, partition, cluster_by=config.zorder_columns)
 
+    # Only the rows of this run: what the partition held before is not its doing.
     written = spark.table(table)
     for name, value in partition.items():
         written = written.filter(F.col(name) == F.lit(value))
-    summary = quality_summary(written, config.primary_key, config.required_columns,
-                              type_issues_seen=int(seen.get("type_issues") or 0))
+    if "ingestion_ts" in written.columns:
+        written = written.filter(F.col("ingestion_ts") == F.lit(run_ts or started).cast("timestamp"))
+    keys = written.select(*[c for c in config.primary_key if c in written.columns])
+    summary = settled(quality_summary(written, config.primary_key, config.required_columns,
+                                      type_issues_seen=int(seen.get("type_issues") or 0)), keys)
     metrics = run_metrics(summary, owner_of(domain, project, "bronze", config.source_layer),
                           config.target_table, started, utc_now())
-    keys = written.select(*[c for c in config.primary_key if c in written.columns])
-    return finish(RunResult(table, partition, metrics), metrics_path, keys)
+    return finish(RunResult(table, partition, metrics), metrics_path, day, app.strip().lower() if one_app else None)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from reviewlake.config import FlowConfig
 from reviewlake.operators import output_check_metrics, prepare_for_kpis, review_kpis
-from reviewlake.plans.run import RunResult, finish, owner_of, utc_now
-from reviewlake.sinks import compact, write_full
-from reviewlake.sources import scan_month, table_location
+from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now
+from reviewlake.sinks import compact_table, write_full
+from reviewlake.sources import scan_month
 
 CLUSTER_COLUMN = "review_month"
 
@@ -39,13 +39,13 @@ def run_gold(
     started = utc_now()
     written = write_full(gold_rows(spark.table(source_table), run_day), table, mode=mode,
                          partition_by=partition_by)
-    if written and cluster_after and not partition_by:
-        compact(spark, table_location(spark, table), cluster_by=[CLUSTER_COLUMN])
-        spark.catalog.refreshTable(table)
+    if written and cluster_after:
+        compact_table(spark, table, cluster_by=[CLUSTER_COLUMN])
     rows = spark.table(table) if written else spark.range(0)
+    counted = settled(rows.agg(F.count("*").alias("total_records")))
     metrics = output_check_metrics(
-        rows.agg(F.count("*").alias("total_records")),
+        counted,
         owner_of(domain, project, "gold", config.source_layer), config.target_table,
         started, utc_now(),
     )
-    return finish(RunResult(table, {}, metrics), metrics_path)
+    return finish(RunResult(table, {}, metrics), metrics_path, run_day)

@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from reviewlake.operators.metrics import RUN_APP, RUN_DAY
+from reviewlake.session import write_sizing
 from reviewlake.sinks import append_metrics
 
 
@@ -29,10 +32,16 @@ def owner_of(domain: str, project: str, layer: str, layer_source: str) -> dict[s
     return {"dominio": domain, "projeto": project, "layer_lake": layer, "layer_source": layer_source}
 
 
-def finish(
-    result: RunResult, metrics_path: str | None, measured: DataFrame | None = None
-) -> RunResult:
-    """Put the record of a run on file; ``measured`` are the keys its duplicate count shuffles."""
+def settled(df: DataFrame, measured: DataFrame | None = None) -> DataFrame:
+    """A one-row result, computed now; ``measured`` are the keys that its count shuffles."""
+    spark = df.sparkSession
+    with write_sizing(spark, measured):
+        return spark.createDataFrame(df.collect(), df.schema)
+
+
+def finish(result: RunResult, metrics_path: str | None, day: str, app: str | None = None) -> RunResult:
+    """Put the record of a run on file, with the day and app it is of."""
     if metrics_path:
-        append_metrics(result.metrics, metrics_path, measured=measured)
+        named = result.metrics.withColumn(RUN_DAY, F.lit(day)).withColumn(RUN_APP, F.lit(app).cast("string"))
+        append_metrics(named, metrics_path)
     return result

@@ -19,7 +19,7 @@ from reviewlake.operators import (
     union_sources,
 )
 from reviewlake.operators.unify import EXTERNAL_SYSTEM, INTERNAL_SYSTEM
-from reviewlake.plans.run import RunResult, finish, owner_of, utc_now
+from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now
 from reviewlake.sinks import compact, insert_partitions, stamp_month
 from reviewlake.sources import scan_days_back, select_tagged, table_location
 from reviewlake.sources.tables import month_of
@@ -85,15 +85,19 @@ def run_silver(
     rows = silver_rows(spark.table(external_table), spark.table(internal_table), config, run_day,
                        external_name=external_table, internal_name=internal_table, **options)
     partition = {"date_load": month_of(run_day)}
-    insert_partitions(rows, table, mode=mode, static=partition)
+    seen = insert_partitions(rows, table, mode=mode, static=partition, measure={"rows": F.count("*")})
     if compact_after and config.zorder_columns:
         # AQE sizes the files of the write already; a rewrite only pays where it clusters.
         compact(spark, table_location(spark, table), partition, cluster_by=config.zorder_columns)
         spark.catalog.refreshTable(table)
 
-    written = spark.table(table).filter(F.col("date_load") == F.lit(partition["date_load"]))
-    summary = quality_summary(written, config.primary_key, config.required_columns)
+    # An append leaves earlier rows in the partition, an empty run all of them: neither are this run's.
+    written = rows if mode == "append" else spark.table(table).filter(
+        F.col("date_load") == F.lit(partition["date_load"]))
+    if not seen.get("rows"):
+        written = written.filter("false")
+    keys = written.select(*[c for c in config.primary_key if c in written.columns])
+    summary = settled(quality_summary(written, config.primary_key, config.required_columns), keys)
     metrics = run_metrics(summary, owner_of(domain, project, "silver", config.source_layer),
                           config.target_table, started, utc_now())
-    keys = written.select(*[c for c in config.primary_key if c in written.columns])
-    return finish(RunResult(table, partition, metrics), metrics_path, keys)
+    return finish(RunResult(table, partition, metrics), metrics_path, run_day)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import logging
 import math
 import os
 import tempfile
@@ -12,10 +13,12 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewlake import filesystem
+
+logger = logging.getLogger(__name__)
+
 # Output files and the data of one shuffle task aim at this size.
 TARGET_BYTES = 256 * 1024 * 1024
-# More reduce tasks than this cost more in shuffle bookkeeping than smaller tasks save.
-MOST_SHUFFLE_TASKS = 20_000
 # The optimizer's estimate for inputs without statistics is near the largest long.
 UNKNOWN_BYTES = 10**18
 
@@ -86,12 +89,17 @@ def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
 
 
 def shuffle_tasks_for(df: DataFrame, task_bytes: int = TARGET_BYTES) -> int:
-    """Reduce tasks that the optimizer's size estimate of the rows asks for; runs no job."""
+    """Reduce tasks that the size of the rows asks for; runs no job.
+
+    The size is the optimizer's estimate, or that of the input files where it has none.
+    """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if estimate >= UNKNOWN_BYTES:
-        return configured
-    return max(configured, min(math.ceil(estimate / task_bytes), MOST_SHUFFLE_TASKS))
+        folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+        estimate = sum(filesystem.size_in_bytes(df.sparkSession, folder) for folder in folders)
+        logger.info("no size estimate; %d bytes in %d input folders", estimate, len(folders))
+    return max(configured, math.ceil(estimate / task_bytes))
 
 
 @contextlib.contextmanager

@@ -4,6 +4,7 @@ from reviewlake.sinks.catalog import TABLES, TableSpec, create_table
 from reviewlake.sinks.export import export_documents
 from reviewlake.sinks.maintenance import (
     compact,
+    compact_table,
     drop_partitions,
     drop_table_partitions,
     purge_landing_day,
@@ -19,7 +20,8 @@ from reviewlake.sinks.partitions import (
 )
 
 __all__ = [
-    "TABLES", "TableSpec", "append_metrics", "compact", "create_table", "drop_partitions",
+    "TABLES", "TableSpec", "append_metrics", "compact",
+    "compact_table", "create_table", "drop_partitions",
     "drop_table_partitions",
     "export_documents", "insert_partitions", "purge_landing_day", "retain_days", "stamp_month",
     "write_full", "write_partitions", "zorder_key",

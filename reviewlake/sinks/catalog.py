@@ -20,19 +20,19 @@ class TableSpec:
 
     def ddl(self, name: str, location: str, file_format: str = "parquet") -> str:
         body = ", ".join(
-            f"`{column}` {kind}" + (f" COMMENT '{_quoted(note)}'" if note else "")
+            f"`{column}` {kind}" + (f" COMMENT '{quoted(note)}'" if note else "")
             for column, kind, note in self.columns
         )
         parts = [f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING {file_format}"]
         if self.partition_by:
             parts.append(f"PARTITIONED BY ({', '.join(self.partition_by)})")
         if self.comment:
-            parts.append(f"COMMENT '{_quoted(self.comment)}'")
-        parts.append(f"LOCATION '{_quoted(location)}'")
+            parts.append(f"COMMENT '{quoted(self.comment)}'")
+        parts.append(f"LOCATION '{quoted(location)}'")
         return " ".join(parts)
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
@@ -52,7 +52,7 @@ def create_table(
     let the old rows reappear.
     """
     name = f"{database}.{table}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{_quoted(_parent(location))}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{quoted(_parent(location))}'")
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         filesystem.delete(spark, location)

@@ -10,11 +10,12 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reviewlake import filesystem
+from reviewlake.operators.metrics import RUN_DAY
 from reviewlake.session import TARGET_BYTES
-from reviewlake.sources.tables import table_location
+from reviewlake.sinks.catalog import quoted
+from reviewlake.sources.tables import partition_columns, table_location
 
 logger = logging.getLogger(__name__)
 
@@ -22,8 +23,18 @@ PARTITION_ROOT_MARK = "="
 _ZKEY, _TIE = "__zkey", "__tie"
 
 
-def partition_path(root: str, partition: Mapping[str, str]) -> str:
-    return "/".join([root.rstrip("/"), *[f"{name}={value}" for name, value in partition.items()]])
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in a folder name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def unescaped(spark: SparkSession, name: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
+
+
+def partition_path(spark: SparkSession, root: str, partition: Mapping[str, str]) -> str:
+    return "/".join([root.rstrip("/"), *[f"{escaped(spark, name)}={escaped(spark, value)}"
+                                         for name, value in partition.items()]])
 
 
 def compact(
@@ -42,8 +53,12 @@ def compact(
     scans skip files. The new files are written aside, counted, and then take the place of the old
     ones by two renames: a run that dies on the way never leaves a half-written partition, and if it
     dies between the renames the next run puts the old files back.
+
+    Files that others add or remove meanwhile are never lost: the folder's file list is compared before
+    the swap, and a difference ends the rewrite with an error and the folder as it is. What is added
+    in the moment of the swap itself is found in the folder moved aside and put into the new one.
     """
-    folder = partition_path(root, partition or {})
+    folder = partition_path(spark, root, partition or {})
     parent, name = folder.rstrip("/").rsplit("/", 1)
     # Scans skip names that start with "_", but only if they hold no "=".
     label = name.replace(PARTITION_ROOT_MARK, "-")
@@ -64,22 +79,46 @@ def compact(
     run = uuid.uuid4().hex[:12]
     staged, replaced = f"{parent}/_staged-{run}-{label}", f"{parent}/_replaced-{run}-{label}"
 
+    listed = filesystem.file_lengths(spark, folder)
     # An explicit base keeps the folder's own partition column out of the rewritten files.
     source = spark.read.option("basePath", folder).parquet(folder)
     arranged = clustered(source, cluster_by, files) if cluster_by else source.coalesce(files)
     arranged.write.mode("errorifexists").parquet(staged)
 
     before, after = source.count(), spark.read.schema(source.schema).parquet(staged).count()
-    if before != after:
+    if before != after or filesystem.file_lengths(spark, folder) != listed:
         filesystem.delete(spark, staged)
         raise RuntimeError(f"{folder} changed while it was rewritten: {before} rows, then {after}")
     filesystem.move(spark, folder, replaced)
     filesystem.move(spark, staged, folder)
+    for late in sorted(set(filesystem.file_lengths(spark, replaced)) - set(listed)):
+        filesystem.move(spark, f"{replaced}/{late}", f"{folder}/{late}")
     filesystem.delete(spark, replaced)
     spark.catalog.refreshByPath(root)
     return files
 
 
+def compact_table(
+    spark: SparkSession, table: str, within: Mapping[str, str] | None = None, *, cluster_by: Sequence[str] = ()
+) -> int:
+    """Compact every partition of a catalog table that has the values of ``within``, or the whole table."""
+    root, files = table_location(spark, table), 0
+    for values in table_partitions(spark, table):
+        if all(values.get(name) == value for name, value in (within or {}).items()):
+            files += compact(spark, root, values, cluster_by=cluster_by)
+    spark.catalog.refreshTable(table)
+    return files
+
+
+def table_partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """Values of each partition; one empty set for a table without partitions."""
+    if not partition_columns(spark, table):
+        return [{}]
+    return [{unescaped(spark, name): unescaped(spark, value) for name, value in
+             (part.split(PARTITION_ROOT_MARK, 1) for part in row[0].split("/"))}
+            for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
 def child_partition_columns(spark: SparkSession, folder: str) -> list[str]:
     names = {n.split(PARTITION_ROOT_MARK, 1)[0]
              for n in filesystem.child_names(spark, folder) if PARTITION_ROOT_MARK in n}
@@ -99,42 +138,38 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     return ranged.sortWithinPartitions(_ZKEY).select(*df.columns)
 
 
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 12) -> Column:
-    """Interleaved bits of the columns, each scaled to ``bits`` bits between its extremes.
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int | None = None, sample: int = 8_192) -> Column:
+    """Interleaved bits of the columns' ranks: of each column the range of its values a row falls into.
 
-    The extremes come from one small aggregate (one row). Text is scaled by its first four bytes,
-    NULLs come first.
+    The ranges come from a bounded seeded sample of rows and hold about as many rows each, whatever
+    the values look like; whole values are compared. ``bits`` per column (ranges are 2 to that power)
+    shrink with the number of columns by default. NULLs come first.
     """
+    if bits is None:
+        bits = max(1, min(8, 60 // max(1, len(columns))))
     if bits * len(columns) > 62:
         raise ValueError("too many columns for a 62-bit key")
-    numeric = {name: _as_number(df, name) for name in columns}
-    extremes = df.agg(*[
-        F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias(name)
-        for name, value in numeric.items()
-    ]).first()
-    top = (1 << bits) - 1
+    chosen = df.select(*columns).orderBy(F.xxhash64(*columns)).limit(sample).collect()
     key = F.lit(0).cast("bigint")
-    for place, (name, value) in enumerate(numeric.items()):
-        low, high = extremes[name]["low"], extremes[name]["high"]
-        if low is None or low == high:
+    for place, name in enumerate(columns):
+        values = sorted(row[name] for row in chosen if row[name] is not None)
+        # The first value of each range but the lowest.
+        starts = sorted({values[len(values) * i // (1 << bits)] for i in range(1, 1 << bits)} - {values[0]}
+                        ) if values else []
+        if not starts:
             continue
-        step = F.coalesce(((value - F.lit(low)) / F.lit(high - low) * top).try_cast("bigint"), F.lit(0))
+        kind = df.schema[name].dataType
+        ranges = F.array(*[F.lit(start).cast(kind) for start in starts])
+        step = F.when(F.col(name).isNull(), 0).otherwise(_reached(ranges, F.col(name))).cast("bigint")
         for bit in range(bits):
             set_bit = F.shiftright(step, bit).bitwiseAND(F.lit(1))
             key = key.bitwiseOR(F.shiftleft(set_bit, bit * len(columns) + place))
     return key
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind, column = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 4)), 8, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    return column.cast("double")
+def _reached(starts: Column, value: Column) -> Column:
+    """How many of the ranges start at or below the value."""
+    return F.size(F.filter(starts, lambda start: start <= value))
 
 
 def drop_partitions(
@@ -142,16 +177,24 @@ def drop_partitions(
 ) -> list[str]:
     """Delete the partitions whose value meets the condition; returns the values.
 
-    Only folder names are looked at: no data is read or rewritten, whatever the table's size.
+    The column may be any of the partition columns. Only folder names are looked at: no data is read or
+    rewritten, whatever the table's size.
     """
     dropped = []
-    prefix = f"{column}{PARTITION_ROOT_MARK}"
-    for name in filesystem.child_names(spark, root):
-        if name.startswith(prefix) and condition(name[len(prefix):]):
-            filesystem.delete(spark, f"{root.rstrip('/')}/{name}")
-            dropped.append(name[len(prefix):])
+    pending = [root.rstrip("/")]
+    while pending:
+        folder = pending.pop()
+        for child in filesystem.child_names(spark, folder):
+            if PARTITION_ROOT_MARK not in child or child.startswith(("_", ".")):
+                continue
+            name, value = (unescaped(spark, part) for part in child.split(PARTITION_ROOT_MARK, 1))
+            if name != column:
+                pending.append(f"{folder}/{child}")
+            elif condition(value):
+                filesystem.delete(spark, f"{folder}/{child}")
+                dropped.append(value)
     spark.catalog.refreshByPath(root)
-    return dropped
+    return sorted(set(dropped))
 
 
 def drop_table_partitions(
@@ -159,10 +202,9 @@ def drop_table_partitions(
 ) -> list[str]:
     """The same for a catalog table: its partition entries go together with their files."""
     specs = []
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        values = dict(part.split(PARTITION_ROOT_MARK, 1) for part in row[0].split("/"))
+    for values in table_partitions(spark, table):
         if condition(values[column]):
-            spec = ", ".join(f"`{name}` = '{value}'" for name, value in values.items())
+            spec = ", ".join(f"`{name}` = '{quoted(value)}'" for name, value in values.items())
             specs.append(f"PARTITION ({spec})")
     if specs:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
@@ -182,14 +224,22 @@ def purge_landing_day(
     folders: Iterable[str],
     *,
     metrics: DataFrame | None = None,
+    day: str | None = None,
+    flows: Sequence[str] = (),
     run: Column | None = None,
 ) -> list[str]:
     """Delete the landing folders of a day; returns those that existed.
 
-    With ``metrics`` the raw files are only deleted once a run that meets the condition ``run`` is on
-    record. A run that fails leaves no record, so its files stay; what its quality checks found does
-    not matter.
+    With ``metrics`` the raw files are only deleted once every one of ``flows`` (the target tables that
+    read them) has a record of that ``day`` on file; ``run`` is a further condition on the records. A run
+    that fails leaves no record, so its files stay; what its quality checks found does not matter.
     """
-    if metrics is not None and metrics.filter(F.lit(True) if run is None else run).isEmpty():
-        raise RuntimeError("no finished run on record, raw files are kept")
+    if metrics is not None:
+        if day is None or not flows:
+            raise ValueError("name the day and the flows whose records open the purge")
+        done = metrics.filter((F.col(RUN_DAY) == day) & F.col("app_id").isin(*flows))
+        done = done.filter(run) if run is not None else done
+        missing = set(flows) - {row["app_id"] for row in done.select("app_id").distinct().collect()}
+        if missing:
+            raise RuntimeError(f"no finished run of {day} on record for {sorted(missing)}, raw files are kept")
     return [folder for folder in folders if filesystem.delete(spark, folder)]

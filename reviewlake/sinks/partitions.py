@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.operators.metrics import RUN_ID
@@ -103,6 +103,13 @@ def insert_partitions(
     return dict(measured.get) if measured else {}
 
 
+def _declares(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Whether a table has just the columns and types of the rows, in any order."""
+    if not spark.catalog.tableExists(table):
+        return False
+    return sorted(spark.table(table).dtypes) == sorted(df.dtypes)
+
+
 def write_full(
     df: DataFrame,
     target: str,
@@ -113,7 +120,10 @@ def write_full(
     as_table: bool = True,
     on_empty: str = "skip",
 ) -> bool:
-    """Replace a whole table and its schema; FALSE if empty input was skipped.
+    """Replace a whole table; FALSE if empty input was skipped.
+
+    A table that has the columns of the input keeps its declaration (partitions, comments) and stays in
+    the catalog throughout; only for other columns it is replaced with its schema.
 
     Meant for aggregates. The input is held while it is checked, so that the check and the write
     share one computation; Spark recomputes what a lost executor held.
@@ -128,6 +138,10 @@ def write_full(
         try:
             if on_empty == "skip" and held.isEmpty():
                 return False
+            if as_table and mode == "overwrite" and not partition_by and _declares(spark, target, held):
+                spark.sql(f"INSERT OVERWRITE {target} WITH ('partitionOverwriteMode' = 'static') SELECT * FROM {{rows}}",
+                          rows=held.select(*spark.table(target).columns))
+                return True
             writer = held.write.format(file_format).mode(mode)
             # Replacing a table drops it; naming its folder keeps it where it was created.
             if as_table and spark.catalog.tableExists(target):
@@ -140,14 +154,12 @@ def write_full(
             held.unpersist()
 
 
-def append_metrics(metrics: DataFrame, path: str, *, measured: DataFrame | None = None) -> None:
+def append_metrics(metrics: DataFrame, path: str) -> None:
     """Add run records to the metrics table; a handful of rows, so one file per run.
 
-    ``measured`` holds the key columns whose repetition the records count; the shuffle of the count
-    is sized by them. Every call fills a partition of its own: runs of several apps end at the same
+    Every call fills a partition of its own: runs of several apps end at the same
     time, and plain appends to one folder share a work folder that the first to finish removes.
     """
     own = metrics.coalesce(1).withColumn(RUN_ID, F.lit(f"run-{uuid.uuid4().hex}"))
-    with write_sizing(metrics.sparkSession, measured):
-        (own.write.mode("overwrite").partitionBy(RUN_ID)
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+    (own.write.mode("overwrite").partitionBy(RUN_ID)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))

@@ -7,7 +7,7 @@ from reviewlake.sources.control import (
     load_flow_config,
     type_config_strings,
 )
-from reviewlake.sources.feed import flatten_feed, read_feed_pages
+from reviewlake.sources.feed import flatten_feed, read_feed_pages, unreadable_pages
 from reviewlake.sources.landing import (
     app_folder,
     existing_paths,
@@ -30,4 +30,5 @@ __all__ = [
     "landing_paths", "latest_config", "load_flow_config", "partition_columns", "read_feed_pages",
     "read_flow_source", "read_landing", "read_partitioned", "scan_days_back", "scan_month",
     "select_tagged", "table_column_types", "table_location", "type_config_strings",
+    "unreadable_pages",
 ]

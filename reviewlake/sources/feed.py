@@ -31,26 +31,53 @@ FEED_FIELDS: dict[str, str] = {
 }
 
 ENTRY_SCHEMA = build_schema(ColumnSpec(path) for path in FEED_FIELDS.values())
+# Column in which Spark keeps the text of a page that it cannot parse.
+CORRUPT = "_corrupt_record"
 # A page with several reviews holds an array of entries, a page with one review a bare entry. Read
 # as text, the node takes either form, and from_json turns a bare object into an array of one.
 PAGE_SCHEMA = T.StructType([
-    T.StructField("feed", T.StructType([T.StructField("entry", T.StringType())]))
+    T.StructField("feed", T.StructType([T.StructField("entry", T.StringType())])),
+    T.StructField(CORRUPT, T.StringType()),
 ])
 
 
 def read_feed_pages(spark: SparkSession, paths: list[str] | str, multiline: bool = False) -> DataFrame:
-    """All pages below the given folders; only ``feed.entry`` is materialised."""
-    reader = spark.read.schema(PAGE_SCHEMA).option("recursiveFileLookup", "true")
+    """All pages below the given folders; of readable ones only ``feed.entry`` is materialised."""
+    reader = (spark.read.schema(PAGE_SCHEMA).option("recursiveFileLookup", "true")
+              .option("columnNameOfCorruptRecord", CORRUPT))
     return reader.option("multiLine", str(multiline).lower()).json(paths)
 
 
-def flatten_feed(pages: DataFrame) -> DataFrame:
-    """One row per review, in the declared column order. A page without entries gives no row."""
+def _entries(pages: DataFrame) -> tuple[Column, Column]:
+    """The reviews of a page, and whether the page is unreadable as a whole or in its entries."""
+    entries = F.from_json(F.col("feed.entry"), T.ArrayType(ENTRY_SCHEMA))
+    broken = F.col("feed.entry").isNotNull() & entries.isNull()
+    return entries, broken | F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else broken
+
+
+def flatten_feed(pages: DataFrame, on_corrupt: str = "error") -> DataFrame:
+    """One row per review, in the declared column order. A page without entries gives no row.
+
+    An unreadable page is an error, unless ``on_corrupt`` is ``"quarantine"``: then its reviews are left
+    out here and the page is among ``unreadable_pages``.
+    """
+    if on_corrupt not in ("error", "quarantine"):
+        raise ValueError(f"unknown treatment of unreadable pages: {on_corrupt!r}")
 
     def leaf(path: str) -> Column:
         return reduce(lambda node, name: node.getField(name), path.split("."), F.col("entry"))
 
-    entries = F.from_json(F.col("feed.entry"), T.ArrayType(ENTRY_SCHEMA))
+    entries, broken = _entries(pages)
+    if on_corrupt == "error":
+        failure = F.raise_error(F.lit("unreadable feed page")).cast(T.ArrayType(ENTRY_SCHEMA))
+        entries = F.when(broken, failure).otherwise(entries)
     return pages.select(F.explode(entries).alias("entry")).select(
         *[leaf(path).alias(name) for name, path in FEED_FIELDS.items()]
     )
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """(page): the text of every page, or of its entries, that cannot be parsed."""
+    _, broken = _entries(pages)
+    whole = F.col(CORRUPT) if CORRUPT in pages.columns else F.lit(None).cast("string")
+    return pages.filter(broken).select(F.coalesce(whole, F.col("feed.entry")).alias("page"))

@@ -62,11 +62,16 @@ def read_landing(
     return rows.select("*", F.col("_metadata.file_path").alias(path_column)) if path_column else rows
 
 
-def app_folder(path: Column, day: str) -> Column:
-    """Name of the folder below the day that a file lies in; NULL if it lies in the day itself."""
+def app_folder(path: Column, day: str, base: str = "") -> Column:
+    """Name of the folder below the day that a file lies in; NULL if it lies in the day itself.
+
+    ``base`` is the folder that holds the days, so that a day further up in the path is not taken for it.
+    """
+    # The scheme may be written in more than one way; what follows it may not.
+    base = re.sub(r"^\w+:/*", "/", base.rstrip("/"))
     # Spark gives paths percent-encoded; a plus sign stands for itself there.
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.nullif(F.regexp_extract(decoded, f"/{re.escape(day)}/([^/]+)/", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(decoded, f"{re.escape(base)}/{re.escape(day)}/([^/]+)/", 1), F.lit(""))
 
 
 def read_flow_source(

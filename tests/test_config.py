@@ -25,7 +25,7 @@ from tests.conftest import rows
     ("DECIMAL", T.DecimalType(38, 18)), ("decimal(x)", T.DecimalType(38, 18)),
     ("", T.StringType()), (None, T.StringType()), ("geometry", T.StringType()),
 ])
-def test_resolve_type(name, expected):
+def test_resolve_type(spark, name, expected):
     assert resolve_type(name) == expected
 
 

@@ -95,12 +95,12 @@ def test_hot_partition_is_split_over_tasks(spark, lake):
 
 
 def test_shuffles_grow_with_the_data(spark):
-    from reviewlake.session import MOST_SHUFFLE_TASKS, shuffle_tasks_for, write_sizing
+    from reviewlake.session import shuffle_tasks_for, write_sizing
     small, large = spark.range(10), spark.range(10**12)
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert shuffle_tasks_for(small) == configured
     assert shuffle_tasks_for(large, 2**30) == -(-8 * 10**12 // 2**30)
-    assert shuffle_tasks_for(large, 1000) == MOST_SHUFFLE_TASKS
+    assert shuffle_tasks_for(large, 10**8) == 80_000
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     with write_sizing(spark, large, 2**30):
         assert spark.conf.get(key) == str(shuffle_tasks_for(large, 2**30))
@@ -281,15 +281,84 @@ def test_clustering_by_two_columns(spark, scattered):
 def test_zorder_key_interleaves(spark):
     df = spark.sql("SELECT * FROM VALUES (0, 0), (0, 3), (3, 0), (3, 3), (NULL, 1) AS t(a, b)")
     keys = [r[0] for r in df.select(zorder_key(df, ["a", "b"], bits=2)).collect()]
-    assert keys == [0b0000, 0b1010, 0b0101, 0b1111, 0b0010]
-    kinds = spark.sql("SELECT DATE'2024-01-01' d, TIMESTAMP'2024-01-01 00:00:00' t, 'abc' s, 1.5 n"
-                      " UNION ALL SELECT DATE'2024-01-02', TIMESTAMP'2024-01-02 00:00:00', 'b', 2.5")
+    assert keys == [0b0000, 0b1000, 0b0001, 0b1001, 0b0010]
+    kinds = spark.sql("SELECT DATE'2024-01-01' d, TIMESTAMP'2024-01-01 00:00:00' t, 'b' s, 1.5 n"
+                      " UNION ALL SELECT DATE'2024-01-02', TIMESTAMP'2024-01-02 00:00:00', 'bc', 2.5")
     assert sorted(r[0] for r in kinds.select(
         zorder_key(kinds, ["d", "t", "s", "n"], bits=1)).collect()) == [0, 15]
     with pytest.raises(ValueError, match="62"):
         zorder_key(kinds, ["d", "t", "s", "n"], bits=16)
 
 
+def test_zorder_key_ranks_whole_values(spark):
+    """Texts with a common start, a number with an outlier, more than five columns."""
+    df = spark.range(4000).selectExpr(
+        "concat('https://example.org/', id % 7) AS s", "if(id = 0, 1e18, id) AS n", "id AS a", "id % 3 AS b", "-id AS c", "'x' AS d")
+    for name, least in (("s", 6), ("n", 50)):
+        sizes = [r["count"] for r in df.groupBy(zorder_key(df, [name]).alias("k")).count().collect()]
+        assert len(sizes) >= least and max(sizes) < 4000 / 4
+    assert df.select(zorder_key(df, ["s", "n", "a", "b", "c", "d"]).alias("k")).distinct().count() > 100
+
+
+@pytest.mark.parametrize("moment", ["before the swap", "in the swap"])
+def test_compaction_loses_no_rows_added_meanwhile(spark, lake, monkeypatch, moment):
+    df = spark.range(1000, numPartitions=8)
+    df.write.parquet(f"{lake}/t")
+    moves = []
+    real_move, real_exists = filesystem.move, filesystem.file_lengths
+
+    def add():
+        spark.range(1000, 1100, numPartitions=1).write.mode("append").parquet(f"{lake}/t")
+
+    def listing(session, path):
+        moves.append("list")
+        if moment == "before the swap" and moves.count("list") == 2:
+            add()
+        return real_exists(session, path)
+
+    def move(session, source, target):
+        if moment == "in the swap" and source.endswith("/t"):
+            add()
+        return real_move(session, source, target)
+
+    monkeypatch.setattr(filesystem, "file_lengths", listing)
+    monkeypatch.setattr(filesystem, "move", move)
+    if moment == "before the swap":
+        with pytest.raises(RuntimeError, match="changed"):
+            compact(spark, f"{lake}/t")
+    else:
+        assert compact(spark, f"{lake}/t") == 1
+    assert sorted(r[0] for r in spark.read.parquet(f"{lake}/t").collect()) == list(range(1100))
+    assert not [n for n in os.listdir(lake) if n.startswith("_")]
+
+
+def test_inner_and_escaped_partitions_are_dropped(spark, lake, database):
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id INT, day STRING, app STRING) USING parquet "
+              f"PARTITIONED BY (day, app) LOCATION '{lake}/t'")
+    data = spark.createDataFrame([(1, "d:1", "a'b"), (2, "d:1", "c"), (3, "d2", "a'b")], "id INT, day STRING, app STRING")
+    insert_partitions(data, f"{database}.t")
+    assert compact(spark, f"{lake}/t", {"day": "d:1", "app": "c"}) == 1
+    assert drop_table_partitions(spark, f"{database}.t", "app", lambda v: v == "a'b") == ["a'b"]
+    spark.sql(f"MSCK REPAIR TABLE {database}.t")
+    assert [r.id for r in spark.table(f"{database}.t").collect()] == [2]
+    assert drop_table_partitions(spark, f"{database}.t", "day", lambda v: v == "d:1") == ["d:1"]
+    assert spark.table(f"{database}.t").count() == 0
+
+
+def test_full_write_keeps_the_declaration(spark, lake, database):
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id BIGINT COMMENT 'the id', part STRING) USING parquet "
+              f"PARTITIONED BY (part) LOCATION '{lake}/t'")
+    for n in (3, 2):
+        assert write_full(spark.range(n).selectExpr("string(id) AS part", "id"), f"{database}.t")
+        assert sorted(map(tuple, spark.table(f"{database}.t").collect())) == [(i, str(i)) for i in range(n)]
+    assert [r.comment for r in spark.sql(f"DESCRIBE {database}.t").collect() if r.col_name == "id"] == ["the id"]
+    assert len(spark.sql(f"SHOW PARTITIONS {database}.t").collect()) == 2
+    assert write_full(spark.range(1).selectExpr("id", "'x' AS other"), f"{database}.t")
+    assert spark.table(f"{database}.t").columns == ["id", "other"]
+
+
 def test_purge_and_retention(spark, lake):
     days = ["2024-01-01", "2024-01-02", "2024-01-30", "2024-01-31"]
     write_partitions(spark.createDataFrame(list(enumerate(days)), DAYS), lake)
@@ -313,10 +382,15 @@ def test_purge_needs_a_finished_run(spark, lake):
     os.makedirs(f"{lake}/d1/app")
     done = output_check_metrics(spark.range(0).agg(F.count("*").alias("total_records")),
                                 owner_of("d", "p", "bronze", "raw"), "app", utc_now(), utc_now())
-    with pytest.raises(RuntimeError, match="kept"):
-        purge_landing_day(spark, [f"{lake}/d1"], metrics=done.filter("false"))
-    with pytest.raises(RuntimeError, match="kept"):
-        purge_landing_day(spark, [f"{lake}/d1"], metrics=done, run=F.col("app_id") == "other")
+    done = done.withColumn("run_day", F.lit("d1"))
+    for refused in ({"metrics": done.filter("false"), "day": "d1", "flows": ["app"]},
+                    {"metrics": done, "day": "d1", "flows": ["app", "other"]},
+                    {"metrics": done, "day": "d2", "flows": ["app"]},
+                    {"metrics": done, "day": "d1", "flows": ["app"], "run": F.col("total_records") < 0}):
+        with pytest.raises(RuntimeError, match="kept"):
+            purge_landing_day(spark, [f"{lake}/d1"], **refused)
+    with pytest.raises(ValueError, match="flows"):
+        purge_landing_day(spark, [f"{lake}/d1"], metrics=done)
     assert purge_landing_day(spark, [f"{lake}/d1/app", f"{lake}/d1", f"{lake}/d2"], metrics=done,
-                             run=F.col("app_id") == "app") == [f"{lake}/d1/app", f"{lake}/d1"]
+                             day="d1", flows=["app"]) == [f"{lake}/d1/app", f"{lake}/d1"]
     assert not os.path.exists(f"{lake}/d1")

@@ -6,10 +6,12 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlake.config import ColumnSpec, FlowConfig, build_schema
 from reviewlake.sinks import export_documents, write_partitions
 from reviewlake.sources import (
+    app_folder,
     flatten_feed,
     landing_paths,
     read_feed_pages,
@@ -23,7 +25,9 @@ from reviewlake.sources import (
 from reviewlake.sources.feed import FEED_FIELDS
 from tests.conftest import plan_of, rows
 
-SCHEMA = build_schema([ColumnSpec("id", "INT"), ColumnSpec("client.segment"), ColumnSpec("at", "TIMESTAMP")])
+SCHEMA = T.StructType([
+    T.StructField("id", T.IntegerType()), T.StructField("client", T.StructType([T.StructField("segment", T.StringType())])),
+    T.StructField("at", T.TimestampType())])
 
 
 def land(path: str, *objects) -> None:
@@ -158,3 +162,25 @@ def test_select_tagged(spark):
     assert select_tagged(df, ["date_load", "a"], "t").columns == ["a", "source_table", "date_load"]
     with pytest.raises(ValueError, match=r"lacks required columns: \['x'\]"):
         select_tagged(df, ["a", "x"], "t")
+
+
+def test_unreadable_pages_are_errors_or_set_aside(spark, lake):
+    from reviewlake.sources import read_feed_pages, unreadable_pages
+
+    good = '{"feed": {"entry": [{"id": {"label": "1"}}, {"id": {"label": "2"}}]}}'
+    os.makedirs(lake, exist_ok=True)
+    for name, text in (("a", good), ("b", good[:40]), ("c", '{"feed": {}}')):
+        with open(f"{lake}/{name}.json", "w") as file:
+            file.write(text)
+    pages = read_feed_pages(spark, lake)
+    with pytest.raises(Exception, match="unreadable feed page"):
+        flatten_feed(pages).collect()
+    assert [r.review_id for r in flatten_feed(pages, "quarantine").collect()] == ["1", "2"]
+    assert [r.page for r in unreadable_pages(pages).collect()] == [good[:40]]
+
+
+def test_the_app_lies_below_the_base(spark):
+    path = "file:/lake/2024-02-10/feed/reviews/2024-02-10/alpha/p.json"
+    df = spark.createDataFrame([(path,)], "path STRING")
+    folder = app_folder(F.col("path"), "2024-02-10", "file:///lake/2024-02-10/feed/reviews")
+    assert df.select(folder).first()[0] == "alpha"
