@@ -43,6 +43,25 @@ def bronze_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).withColumn("ingestion_ts", a.stamp("ingestion_ts"))
 
 
+@checked("bronze_append_metrics", f"""
+WITH {a.EXTERNAL_SQL}
+SELECT run, CASE WHEN run = 3 THEN 0 ELSE count(*) END AS total_records FROM ext, (VALUES (1), (2), (3)) r(run) GROUP BY run""")
+def bronze_append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two appending runs and of one without a landing folder: each of its own rows."""
+    database, root = scratch_database(spark)
+    reviews = a.external_reviews(spark, sf_dir).withColumnRenamed("author_ura", "author_uri")
+    reviews.select(*[F.col(name).cast("string") for name in FEED_COLUMNS]).write.json(
+        f"{root}/landing/feed/reviews/{a.RUN_DAY}/f")
+    name = create_table(spark, database, "external_reviews", TABLES["external_reviews"], f"{root}/external_reviews")
+    records = None
+    for run, landing in enumerate(("landing", "landing", "void"), 1):
+        result = run_bronze(spark, a.EXTERNAL_FLOW, landing_root=f"{root}/{landing}", day=a.RUN_DAY, table=name,
+                            app="f", tag_app=True, mode="append", metrics_path=f"{root}/metrics")
+        record = result.metrics.select(F.lit(run).alias("run"), "total_records")
+        records = record if records is None else records.union(record)
+    return records
+
+
 @checked("bronze_internal", f"""
 WITH {a.INTERNAL_SQL}
 SELECT * REPLACE (strftime(submission_date, '%Y-%m-%d %H:%M:%S.%f') AS submission_date,

@@ -17,6 +17,7 @@ from reviewlake.sources import (
     config_from_documents,
     explode_rules,
     flatten_feed,
+    unreadable_pages,
     landing_paths,
     latest_config,
     read_feed_pages,
@@ -136,6 +137,28 @@ def flatten_feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_feed(read_feed_pages(spark, root))
 
 
+@checked("flatten_feed_corrupt", f"""
+WITH {a.EXTERNAL_SQL},
+keyed AS (SELECT CAST(review_id AS BIGINT) // 50 AS page FROM ext)
+SELECT 'reviews' AS kind, count(*) AS n FROM keyed WHERE page % 3 <> 0
+UNION ALL SELECT 'pages', count(DISTINCT page) FROM keyed WHERE page % 3 = 0""")
+def flatten_feed_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third page is cut off: its text is set aside, the reviews of the others are read."""
+    reviews = a.external_reviews(spark, sf_dir).withColumnRenamed("author_ura", "author_uri")
+    entry = _feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
+    text = F.to_json(F.struct(F.struct(F.col("entries").alias("entry")).alias("feed")))
+    pages = (
+        reviews.groupBy(F.floor(F.col("review_id").cast("bigint") / 50).alias("page"))
+        .agg(F.collect_list(entry).alias("entries"))
+        .select(F.when(F.col("page") % 3 == 0, F.substring(text, 1, 90)).otherwise(text).alias("value"))
+    )
+    root = scratch_dir(spark, "feed-corrupt")
+    pages.write.text(root)
+    read = read_feed_pages(spark, root)
+    count = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+    return count(flatten_feed(read, "quarantine"), "reviews").union(count(unreadable_pages(read), "pages"))
+
+
 @checked("export_ndjson", f"""
 WITH {a.INTERNAL_SQL}
 SELECT {DOCUMENT_COLUMNS}, (SELECT count(*) FROM events) AS exported FROM feedback""")

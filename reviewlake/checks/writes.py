@@ -19,6 +19,8 @@ from reviewlake.sinks import (
     compact,
     create_table,
     drop_partitions,
+    drop_table_partitions,
+    purge_landing_day,
     insert_partitions,
     retain_days,
     stamp_month,
@@ -133,6 +135,20 @@ def compact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_rows(spark, root)
 
 
+@checked("compact_files", "SELECT DISTINCT l_returnflag, 1 AS files FROM lineitem")
+def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many files each partition has after compaction into one."""
+    root = _lines(spark, sf_dir, "compaction-files")
+    found = []
+    for name in filesystem.child_names(spark, root):
+        column, _, value = name.partition("=")
+        if value:
+            compact(spark, root, {column: value}, target_bytes=1 << 40)
+            files = [n for n in filesystem.child_names(spark, f"{root}/{name}") if n.endswith(".parquet")]
+            found.append((value, len(files)))
+    return spark.createDataFrame(found, "l_returnflag STRING, files INT")
+
+
 @checked("cluster_by", LINE_SQL)
 def cluster_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One partition ordered by one column, one by two columns; no row changes."""
@@ -181,6 +197,45 @@ def table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@checked("purge_landing", """
+SELECT DISTINCT 'reviews' AS source, o_orderstatus AS app, day FROM orders, (VALUES ('2024-01-11')) d(day)
+UNION ALL SELECT 'feedback', '', '2024-01-11'""")
+def purge_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw folders of one day go once both flows have a record of it; those of the next day stay."""
+    root, days = scratch_dir(spark, "purge-landing"), ("2024-01-10", "2024-01-11")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("app"))
+    for day in days:
+        orders.write.partitionBy("app").json(f"{root}/reviews/{day}")
+        orders.select("o_orderkey").write.json(f"{root}/feedback/{day}")
+    done = spark.createDataFrame([(days[0], "reviews"), (days[0], "feedback")], "run_day STRING, app_id STRING")
+    apps = [n for n in filesystem.child_names(spark, f"{root}/reviews/{days[0]}") if n.startswith("app=")]
+    purge_landing_day(
+        spark, [f"{root}/feedback/{days[0]}", *[f"{root}/reviews/{days[0]}/{app}" for app in apps],
+                f"{root}/reviews/{days[0]}"], metrics=done, day=days[0], flows=["reviews", "feedback"])
+    left = []
+    for source in ("reviews", "feedback"):
+        for day in filesystem.child_names(spark, f"{root}/{source}"):
+            names = [n[4:] for n in filesystem.child_names(spark, f"{root}/{source}/{day}") if n.startswith("app=")]
+            left += [(source, app, day) for app in names or [""]]
+    return spark.createDataFrame(left, "source STRING, app STRING, day STRING")
+
+
+@checked("purge_app", """
+SELECT l_orderkey, l_linenumber, l_returnflag, 'k:' || l_linestatus AS status FROM lineitem WHERE l_linestatus <> 'O'""")
+def purge_app(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value of the inner partition column, escaped in folder names, goes from every outer partition."""
+    database, root = scratch_database(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    spark.sql(f"CREATE TABLE {database}.lines (l_orderkey BIGINT, l_linenumber INT, l_returnflag STRING, status STRING) "
+              f"USING parquet PARTITIONED BY (l_returnflag, status) LOCATION '{root}/lines'")
+    insert_partitions(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.concat(F.lit("k:"), "l_linestatus").alias("status")),
+        f"{database}.lines")
+    drop_table_partitions(spark, f"{database}.lines", "status", lambda value: value == "k:O")
+    spark.sql(f"MSCK REPAIR TABLE {database}.lines")
+    return spark.table(f"{database}.lines")
+
+
 @checked("purge_day", f"""
 WITH {a.INTERNAL_SQL.replace('SELECT ts AS', 'SELECT event_id, ts AS')}
 SELECT event_id, feedback_rating, service_id, date_load FROM feedback
