@@ -16,7 +16,7 @@ from reviewlake.operators import (
     with_control_columns,
 )
 from reviewlake.operators.mapping import CONTROL_COLUMNS
-from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now
+from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now, write_mode
 from reviewlake.sinks import compact_table, insert_partitions
 from reviewlake.sources import (
     app_folder,
@@ -66,7 +66,7 @@ def run_bronze(
     table: str,
     app: str | None = None,
     tag_app: bool = False,
-    mode: str = "overwrite",
+    mode: str | None = None,
     missing: str = "error",
     strict_types: bool = False,
     compact_after: bool = True,
@@ -83,6 +83,7 @@ def run_bronze(
     all apps of the day, each row tagged with its folder.
     """
     started = utc_now()
+    mode = write_mode(spark, config, table, mode)
     one_app = bool(app and app.strip())
     raw = read_flow_source(spark, config, landing_root, day, [app] if one_app else [],
                            path_column=PATH if tag_app and not one_app else None)

@@ -19,7 +19,7 @@ from reviewlake.operators import (
     union_sources,
 )
 from reviewlake.operators.unify import EXTERNAL_SYSTEM, INTERNAL_SYSTEM
-from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now
+from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now, write_mode
 from reviewlake.sinks import compact, insert_partitions, stamp_month
 from reviewlake.sources import scan_days_back, select_tagged, table_location
 from reviewlake.sources.tables import month_of
@@ -73,7 +73,7 @@ def run_silver(
     internal_table: str,
     table: str,
     run_day: str,
-    mode: str = "overwrite",
+    mode: str | None = None,
     compact_after: bool = True,
     metrics_path: str | None = None,
     domain: str = "",
@@ -82,6 +82,7 @@ def run_silver(
 ) -> RunResult:
     """Write the month's snapshot; ``options`` are those of :func:`silver_rows`."""
     started = utc_now()
+    mode = write_mode(spark, config, table, mode)
     rows = silver_rows(spark.table(external_table), spark.table(internal_table), config, run_day,
                        external_name=external_table, internal_name=internal_table, **options)
     partition = {"date_load": month_of(run_day)}
