@@ -98,7 +98,21 @@ def remove_phrases(documents: DataFrame, window: int = 13, gram: int = 4) -> Dat
         "row.*", "phrases")
 
 
-@registered("op6_repeated_phrases")
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS low FROM g GROUP BY s),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM g JOIN f USING (s) WHERE low < doc_id),
+e AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+k AS (SELECT e.doc_id, count(*) AS n_words, count(c.j) AS n_removed,
+             string_agg(word, ' ' ORDER BY e.j) FILTER (WHERE c.j IS NULL) AS kept
+      FROM e LEFT JOIN c ON c.doc_id = e.doc_id AND c.j = e.j GROUP BY e.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@registered("op6_repeated_phrases", ORACLE)
 def op6_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, windows of 13 words."""
     done = remove_phrases(table(spark, sf_dir, "documents").select("doc_id", "text"))
