@@ -6,10 +6,11 @@ ones in an order that is the same for all texts. Four registers make a band. At
 two texts share none of the 32 bands with probability 1e-10.
 
 Texts with equal sets are one class, so exact copies cost nothing further. In each band bucket every
-class is paired with one centre, never with all others. Pairs pass a Jaccard estimate, corrected for
-chance collisions of registers, and are then confirmed on full sets. Buckets whose classes are still
-in different components are paired anew: with another centre, then all that is left across components,
-so that no link between components is missed.
+class is first paired with one centre only. Pairs pass a Jaccard estimate, corrected for chance
+collisions of registers, and are then confirmed on full sets. Buckets whose classes are still in
+different components are looked at again so that no link is missed: blocks of such a bucket meet in
+tasks of bounded size, where 512 registers a text rule out nearly all pairs, and only what is left
+across components is confirmed.
 """
 
 from __future__ import annotations
@@ -22,18 +23,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from reviewlake.llm.common import cut, registered, table
 from reviewlake.llm.graph import components
 from reviewlake.llm.tokens import Texts, gram_hashes, mixed, slices, space_table, split, word_hashes
+from reviewlake.llm.vectors import meet
 
 SHINGLE = 5
-REGISTERS, MANTISSA, BAND = 128, 10, 4
+REGISTERS, FINE, MANTISSA, BAND = 128, 512, 10, 4
+# Classes of one bucket that meet in one task; smaller buckets share tasks of about so many rows.
+BLOCK, PACKED = 1_024, 4_096
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 # Expected share of registers that agree by chance, times 2 ** MANTISSA (HyperMinHash paper).
 CHANCE = 0.169919487159739093975315012348
 _LETTERS = space_table(lower=True)
-_BORROW = np.random.default_rng(17).permutation(np.arange(1, REGISTERS))
 
 
 def shingle_sets(texts: Texts, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -63,20 +67,20 @@ def shingle_sets(texts: Texts, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray
     return value, np.searchsorted(text, np.arange(len(counts) + 1))
 
 
-def registers_of(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+def registers_of(values: np.ndarray, begins: np.ndarray, number: int = REGISTERS) -> np.ndarray:
     """A row of 16-bit registers for each text; rows of empty sets mean nothing."""
-    n = len(begins) - 1
+    n, bits = len(begins) - 1, number.bit_length() - 1
     text = np.repeat(np.arange(n), np.diff(begins))
-    least = np.full(n * REGISTERS, EMPTY)
-    bucket = (values >> np.uint64(64 - 7)).astype(np.int64)
-    np.minimum.at(least, text * REGISTERS + bucket, values << np.uint64(7))
-    least = least.reshape(n, REGISTERS)
+    least = np.full(n * number, EMPTY)
+    bucket = (values >> np.uint64(64 - bits)).astype(np.int64)
+    np.minimum.at(least, text * number + bucket, values << np.uint64(bits))
+    least = least.reshape(n, number)
     zeros = (64 - np.frexp(least.astype(np.float64))[1]).clip(0, 57).astype(np.uint64)
     mantissa = (least << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
     own = (zeros << np.uint64(MANTISSA) | mantissa).astype(np.uint16)
     full = least != EMPTY
-    out, filled, places = own.copy(), full.copy(), np.arange(REGISTERS)
-    for step in _BORROW:
+    out, filled, places = own.copy(), full.copy(), np.arange(number)
+    for step in np.random.default_rng(17).permutation(np.arange(1, number)):
         if filled.all():
             break
         lender = places ^ step
@@ -122,16 +126,62 @@ def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             [pa.array([], t) for t in types], names=names)
 
 
+def jaccard(same: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, number: int) -> np.ndarray:
+    """Estimate from equal registers, less those expected to be equal by chance."""
+    ratio = n_a / n_b
+    return same / number - CHANCE / 2 ** MANTISSA * 4 * ratio / (1 + ratio) ** 2
+
+
 @F.arrow_udf(T.DoubleType())
 def estimated(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
-    """Jaccard estimate of two register rows, less the matches expected by chance."""
     if not len(a):
         return pa.array([], pa.float64())
-    rows = [np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, REGISTERS) for x in (a, b)]
-    same = (rows[0] == rows[1]).sum(1)
-    ratio = n_a.to_numpy(zero_copy_only=False) / n_b.to_numpy(zero_copy_only=False)
-    chance = CHANCE * REGISTERS / 2 ** MANTISSA * 4 * ratio / (1 + ratio) ** 2
-    return pa.array((same - chance) / REGISTERS)
+    one, two = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, REGISTERS) for x in (a, b))
+    return pa.array(jaccard((one == two).sum(1), n_a.to_numpy(zero_copy_only=False),
+                            n_b.to_numpy(zero_copy_only=False), REGISTERS))
+
+
+@F.arrow_udf(T.BinaryType())
+def fine_registers(texts: pa.Array) -> pa.Array:
+    return pa.array([row.tobytes() for _, _, some in slices(texts)
+                     for row in registers_of(*shingle_sets(some), FINE)], pa.binary())
+
+
+def across(percent: int, slack: float):
+    """Pairs of classes of one bucket, in different components, that may be similar.
+
+    A pair is told once: in the first of the bands that it shares.
+    """
+
+    def pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        sides = []
+        for t in (left, right):
+            sides.append({c: t[c].to_numpy() for c in ("list", "doc_id", "component", "n")} | {
+                "fine": np.frombuffer(b"".join(t["fine"].to_pylist()), np.uint16).reshape(-1, FINE),
+                "bands": t["bands"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+                if t.num_rows else np.zeros((0, 1), np.int64)})
+        one, two = sides
+        order = np.argsort(two["list"], kind="stable")
+        listed = two["list"][order]
+        for i in range(len(one["list"])):
+            x, y = np.searchsorted(listed, one["list"][i]), np.searchsorted(listed, one["list"][i], "right")
+            c = order[x:y]
+            n = one["n"][i]
+            c = c[(two["doc_id"][c] > one["doc_id"][i]) & (two["component"][c] != one["component"][i])
+                  & (100 * np.minimum(two["n"][c], n) >= percent * np.maximum(two["n"][c], n))]
+            if not len(c):
+                continue
+            same = (two["fine"][c] == one["fine"][i]).sum(1)
+            c = c[jaccard(same, n, two["n"][c], FINE) >= percent / 100 - slack]
+            shared = two["bands"][c] == one["bands"][i]
+            c = c[one["bands"][i][shared.argmax(1)] == one["list"][i]] if len(c) else c
+            out_a.append(np.full(len(c), one["doc_id"][i]))
+            out_b.append(two["doc_id"][c])
+        join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+        return pa.table({"a": join(out_a), "b": join(out_b)})
+
+    return pairs
 
 
 def similar(percent: int):
@@ -157,29 +207,40 @@ def similar(percent: int):
     return confirmed
 
 
-def _links(pairs: DataFrame, classes: DataFrame, documents: DataFrame, percent: int, slack: float) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose texts are similar."""
-    side = lambda x: classes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"),
-                                    F.col("registers").alias(f"r_{x}"))
-    sized = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    likely = cut(
-        pairs.join(side("a"), "a").join(side("b"), "b").filter(sized)
-        .filter(estimated("r_a", "r_b", "n_a", "n_b") >= percent / 100 - slack).select("a", "b").distinct(),
-        "likely-pairs")
-    wanted = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-    texts = cut(documents.filter("text is not null").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
-                .select("doc_id", "text").distinct(), "candidate-texts")
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
-    return cut(likely.join(text("b"), "b").join(text("a"), "a")
+    return cut(pairs.join(text("b"), "b").join(text("a"), "a")
                .filter(similar(percent)("text_a", "text_b")).select("a", "b").distinct(), "links")
 
 
+def _left_over(in_bands: DataFrame, classes: DataFrame, texts: DataFrame, links: DataFrame, percent: int, slack: float) -> DataFrame:
+    """Likely pairs (a, b) of buckets that hold more than one component of ``links``."""
+    known = components(links)
+    marked = in_bands.select(F.col("band").alias("list"), "doc_id").join(
+        known, F.col("doc_id") == F.col("node"), "left").select(
+        "list", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    open_lists = marked.groupBy("list").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).filter("x < y")
+    marked = cut(marked.join(open_lists.select("list", "rows"), "list"), "open-bands")
+    fine = cut(texts.join(marked.select("doc_id").distinct(), "doc_id", "left_semi").select(
+        "doc_id", fine_registers("text").alias("fine")), "fine-registers")
+    held = marked.join(fine, "doc_id").join(classes.select("doc_id", "n", "bands"), "doc_id").withColumn("k1", F.col("doc_id"))
+    pairs = across(percent, slack)
+    packs = max(1, -(-marked.count() // PACKED))
+    small = held.filter(F.col("rows") <= BLOCK).withColumn("pack", F.pmod(F.xxhash64("list"), F.lit(packs))).groupBy(
+        "pack").applyInArrow(lambda t: pairs(t, t), "a long, b long")
+    large = held.filter(F.col("rows") > BLOCK)
+    again = large.select(*(F.col(c).alias(c) for c in large.columns))
+    return cut(small.union(meet(large, again, pairs, "a long, b long", BLOCK)).distinct(), "likely-pairs")
+
+
 def near_duplicates(documents: DataFrame, percent: int = 85, slack: float = 0.16) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``documents``.
 
     Links join texts whose shingle sets are at least ``percent`` per cent similar; a component is what
     links reach, named by its smallest doc_id, whose row is kept. ``slack`` is how far below the
-    threshold an estimate may fall: five standard deviations of 128 registers.
+    threshold an estimate may fall: five standard deviations of 128 registers, and half of it of 512.
 
     - Null, empty and blank texts have an empty set: a component of their own, kept.
     - Texts of fewer than five words are one shingle and link with the same sequence only.
@@ -197,34 +258,39 @@ def near_duplicates(documents: DataFrame, percent: int = 85, slack: float = 0.16
                   .select("doc_id", "n", "registers", "bands"), "classes")
     banded = classes.select(F.explode("bands").alias("band"), "doc_id")
     shared = banded.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    in_bands = cut(banded.join(shared, "band").distinct(), "shared-bands")
-    links = _links(in_bands.filter("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(),
-                   classes, documents, percent, slack)
+    in_bands = cut(banded.join(shared.drop("high"), "band").distinct(), "shared-bands")
+    # Texts of all classes that share a bucket with another, read once.
+    texts = cut(documents.filter("text is not null").join(in_bands.select("doc_id").distinct(), "doc_id", "left_semi")
+                .distinct(), "candidate-texts")
+    side = lambda x: classes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"),
+                                    F.col("registers").alias(f"r_{x}"))
+    stars = in_bands.filter("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
+    sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    likely = cut(stars.join(side("a"), "a").join(side("b"), "b").filter(sized)
+                 .filter(estimated("r_a", "r_b", "n_a", "n_b") >= percent / 100 - slack).select("a", "b").distinct(), "likely-stars")
+    links = _confirmed(likely, texts, percent)
+    links = links.union(_confirmed(_left_over(in_bands, classes, texts, links, percent, slack / 2), texts, percent))
     same = cut(of_class.filter("doc_id != head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(),
                "same-sets")
-    for centre in ("high", None):
-        known = components(links)
-        # Only buckets that hold more than one component are looked at again.
-        marked = in_bands.select("band", "doc_id", "high").join(
-            known, F.col("doc_id") == F.col("node"), "left").select(
-            "band", "doc_id", "high", F.coalesce("component", "doc_id").alias("component"))
-        open_bands = marked.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        open_rows = cut(marked.join(open_bands, "band", "left_semi"), "open-bands")
-        left = open_rows.select("band", F.col("doc_id").alias("a"), F.col("component").alias("c_a"))
-        right = open_rows.select("band", F.col("doc_id").alias("b"), F.col("component").alias("c_b"))
-        if centre:
-            left = left.join(open_rows.select("band", F.col("high").alias("a")).distinct(), ["band", "a"], "left_semi")
-            different = F.col("c_a") != F.col("c_b")
-        else:
-            different = F.col("c_a") < F.col("c_b")
-        pairs = left.join(right, "band").filter(different).select("a", "b").distinct()
-        links = links.union(_links(pairs, classes, documents, percent, slack))
     found = components(links.union(same))
     return sketches.select("doc_id", "n").join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def one_of_each(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """One document of every group of near copies: a row of the smallest doc_id, whole as it was.
+
+    Of rows that share that id the one with the least text stays. Rows without a doc_id all stay.
+    """
+    found = near_duplicates(documents, percent)
+    kept = cut(found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
+    named = documents.select(F.struct("*").alias("row"), "doc_id", "text").join(
+        kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
+    return named.withColumn("place", place).filter("place = 1").select("row.*").union(documents.filter("doc_id is null"))
+
+
 ORACLE = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -87,11 +87,11 @@ def with_lists(vectors: DataFrame, d: int, choose: Callable[[np.ndarray], list[n
 def in_chunks(members: DataFrame, queries: DataFrame, size: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """Both with ``list``, ``mc`` and ``qc``: every member meets every query of its list once.
 
-    Both have ``list`` and ``k1``. Chunks follow from counts per list, a table of one row per list.
+    Both have ``list`` and ``k1``. Chunks follow from counts per list.
     """
     pieces = lambda df, name: df.groupBy("list").agg(
         F.ceil(F.count("*") / size).cast("int").alias(name))
-    plan = F.broadcast(pieces(members, "n_mc").join(pieces(queries, "n_qc"), "list"))
+    plan = pieces(members, "n_mc").join(pieces(queries, "n_qc"), "list")
     own = lambda n: F.pmod(F.xxhash64("k1"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = members.join(plan, "list").withColumn("mc", own("n_mc")).withColumn("qc", every("n_qc"))
@@ -99,7 +99,8 @@ def in_chunks(members: DataFrame, queries: DataFrame, size: int = CHUNK_ROWS) ->
     return left.drop("n_mc", "n_qc"), right.drop("n_mc", "n_qc")
 
 
-def meet(members: DataFrame, queries: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    left, right = in_chunks(members, queries)
+def meet(members: DataFrame, queries: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str,
+         size: int = CHUNK_ROWS) -> DataFrame:
+    left, right = in_chunks(members, queries, size)
     keys = ["list", "mc", "qc"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda m, q: work(m, q), schema)
