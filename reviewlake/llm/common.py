@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.session import scratch_dir
+from reviewlake.session import scratch_dir, session_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,10 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared scratch folder and read again.
 
-    Later steps start from the files, so a lost executor costs no recomputation of what came before.
+    Later steps start from the files, so a lost executor costs no recomputation of what came before,
+    and the shuffle files of the step can go at its end.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with session_conf(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

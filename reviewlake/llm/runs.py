@@ -301,13 +301,15 @@ def recurring(documents: DataFrame, kind: Windows, shard: Callable[[pa.Table], p
     counted = rows.join(sums, ["w1", "w2"]).groupBy("fp", "h").agg(F.collect_list(F.struct(
         F.col("at").alias("a"), F.col("at").alias("b"), F.col("lowest").alias("least"), "count")).cast(SEGMENTS).alias("found"))
     verdicts = cut(known.union(compared).union(counted).filter(F.size("found") > 0), "verdicts")
-    # Back to the texts: one row for each place, shifted to the text's own count.
-    return (
-        contents.select("k1", "k2", "fp", "h", "start").distinct().join(verdicts, ["fp", "h"])
+    # Back to the texts: one row for each place, shifted to the text's own count. A text that several
+    # batches held tells its places more than once, which marks nothing twice.
+    return cut(
+        contents.select("k1", "k2", "fp", "h", "start").join(verdicts, ["fp", "h"])
         .select("k1", "k2", F.explode("found").alias("x"), "start")
         .groupBy("k1", "k2").agg(F.collect_list(F.struct(
             (F.col("start") + F.col("x.a")).alias("a"), (F.col("start") + F.col("x.b")).alias("b"),
-            F.col("x.least").alias("least"), F.col("x.count").alias("count"))).cast(SEGMENTS).alias("found"))
+            F.col("x.least").alias("least"), F.col("x.count").alias("count"))).cast(SEGMENTS).alias("found")),
+        "recurring-windows",
     )
 
 
