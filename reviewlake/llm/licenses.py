@@ -1,11 +1,11 @@
 """Licence scan by a positional index of rare tokens.
 
-The index holds the rarest words of each licence template and where they stand in it. How rare a word
-is comes from its document frequency over the whole input. For each file the rarest licence
-words it holds are looked up; every posting says where the template would have to start, so postings
-that agree on a start support one place. A place counts when enough of the template's words stand at
-their positions and its mandatory key phrase stands complete. The short base phrases are looked up by
-their own rarest word and must stand complete, so every place of them is found.
+The index holds the rarest word of each licence template's mandatory key phrase and where it stands in
+the template. How rare a word is comes from its document frequency over the whole input. Every posted
+word of a file is looked up; its posting says where the template would have to start. A place counts when
+enough of the template's words stand at their positions and its key phrase stands complete. So each place
+holds its posted word and every place is found, whatever the frequencies. The short base phrases are all
+key phrase.
 
 All of it is array expressions within a row: no shuffle beyond the counts of the template words.
 """
@@ -93,17 +93,15 @@ def scan_licenses(
     documents: DataFrame,
     base: tuple = BASE,
     templates: tuple = TEMPLATES,
-    rare_words: int = 16,
-    posted_words: int = 3,
     least_aligned: float = 0.6,
 ) -> DataFrame:
     """The documents with ``scan``: n_words, base (places), found (places), score.
 
     ``base`` and ``found`` are arrays of (label, word, aligned): the label, the word at which the place
-    starts, counted from 0, and the share of the template's words found in their positions. Of the
-    method's own places, those start where one of the file's ``rare_words`` rarest posted words points
-    to; posted are the ``posted_words`` rarest words of each template. ``score`` is the largest share of any place of the method; a file with base places alone
-    scores 0.5, one without places 0.
+    starts, counted from 0, and the share of the template's words found in their positions. ``found`` has
+    every place at which the key phrase stands complete and that share is ``least_aligned`` or more.
+    ``score`` is the largest share of any place of the method; a file with base places alone scores 0.5,
+    one without places 0.
 
     - Null or empty text: no words, no places, score 0. An empty table gives an empty result.
     - Each row is scanned on its own, so null or repeated ids and repeated rows do no harm.
@@ -122,17 +120,20 @@ def scan_licenses(
     # Postings by rank: template and position in one number.
     wide = 1 << 20
 
-    def postings(chosen: list[tuple[int, Template]], most: int) -> list[list[int]]:
-        """For each word by rank where it stands in the templates of which it is a rarest word."""
-        rarest = {t: sorted(set(tpl.words), key=rank.get)[:most] for t, tpl in chosen}
-        return [[t * wide + p for t, tpl in chosen if word in rarest[t] for p, w in enumerate(tpl.words) if w == word]
-                for word in ranked]
+    def postings(chosen: list[tuple[int, Template]]) -> list[list[int]]:
+        """For each word by rank the templates whose key phrase has it as its rarest word, and where.
+
+        A place has the whole key phrase, so one posting of each template finds every place once.
+        """
+        lists: list[list[int]] = [[] for _ in ranked]
+        for t, tpl in chosen:
+            at = min(range(tpl.key[0], tpl.key[1] + 1), key=lambda p: rank[tpl.words[p]])
+            lists[rank[tpl.words[at]]].append(t * wide + at)
+        return lists
 
     numbered = list(enumerate(every))
-    # A base phrase is posted under its rarest word only: one posting per place.
-    base_lists, own_lists = postings(numbered[:len(plain)], 1), postings(numbered[len(plain):], posted_words)
+    base_lists, own_lists = postings(numbered[:len(plain)]), postings(numbered[len(plain):])
     posted = [word for word, x, y in zip(ranked, base_lists, own_lists, strict=True) if x or y]
-    own_ranks = F.array(*(F.lit(i) for i, x in enumerate(own_lists) if x))
     base_postings, own_postings = (
         F.array(*(F.array(*map(F.lit, x)) if x else F.array().cast("array<int>") for x in lists))
         for lists in (base_lists, own_lists))
@@ -165,13 +166,10 @@ def scan_licenses(
         return F.transform(starts, one)
 
     def found(words: Column, hits: Column) -> Column:
-        ranks = F.array_intersect(F.transform(hits, lambda h: h["r"]), own_ranks)
-        top = F.slice(F.array_sort(ranks), 1, rare_words)
-        rare = once(top, lambda some: F.filter(hits, lambda h: F.array_contains(some, h["r"])))
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.filter(judged(words, places(hits, base_postings)), lambda x: x["aligned"] == 1).alias("base"),
-            F.filter(judged(words, places(rare, own_postings)),
+            F.filter(judged(words, places(hits, own_postings)),
                      lambda x: x["keyed"] & (x["aligned"] >= least_aligned)).alias("found"))
 
     scanned = documents.select(row_but(documents, "scan"), once(

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.llm.bpe import WordBpe, encode_documents, ids_text, vocabulary
-from reviewlake.llm.licenses import scan_licenses
+from reviewlake.llm.licenses import TEMPLATES, scan_licenses
 from reviewlake.llm.mixing import mix_sources
 from reviewlake.llm.neardup import near_duplicates, one_of_each
 from reviewlake.llm.phrases import remove_phrases
@@ -204,6 +204,35 @@ def test_licences_of_odd_rows(odd, empty):
     assert scan_licenses(empty).count() == 0 and scan_licenses(odd).count() == odd.count()
 
 
+def brute_licences(text):
+    words, out = re.findall(r"[a-z0-9]+", text.lower()), Counter()
+    for label, template, key in TEMPLATES:
+        want, key = template.split(), key.split()
+        at = next(i for i in range(len(want)) if want[i:i + len(key)] == key)
+        for s in range(len(words)):
+            aligned = sum(x == y for x, y in zip(want, words[s:], strict=False)) / len(want)
+            if words[s + at:s + at + len(key)] == key and aligned >= 0.6:
+                out[label, s, aligned] += 1
+    return out
+
+
+def test_every_licence_place_counts_however_common_its_words(spark):
+    """One file holds all notices, and the words of some of them are common in the others."""
+    pad = "one two three four five six seven eight nine ten eleven twelve "
+    notices = [template for _, template, _ in TEMPLATES]
+    rows = [(0, pad + " - ".join(notices)), (1, pad + " - ".join(notices * 3))]
+    # The words of the key phrase alone are common, so those outside it are posted first by rarity.
+    rows += [(10 + i, pad + "gnu general public license version 3 2 0 mozilla") for i in range(9)]
+    rows += [(30, pad + "this item is licensed under the general public license version 3"),
+             (31, pad + "subject to all terms from the mozilla public license v 2 0 " + pad)]
+    rows += [(40 + i, pad + f"{x} {pad}" * 2) for i, x in enumerate(notices)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: Counter((x["label"], x["word"], x["aligned"]) for x in r["scan"]["found"])
+           for r in scan_licenses(docs).collect()}
+    assert got == {d: brute_licences(text) for d, text in rows}
+    assert {label for label, *_ in got[0]} == {label for label, *_ in TEMPLATES}
+
+
 def test_mixture_of_odd_rows(odd, empty):
     rows = mix_sources(odd, (5, 2, 1)).collect()
     assert len(rows) == odd.count() and mix_sources(empty, (5, 2, 1)).count() == 0
