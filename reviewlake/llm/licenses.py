@@ -99,7 +99,8 @@ def scan_licenses(
 
     ``base`` and ``found`` are arrays of (label, word, aligned): the label, the word at which the place
     starts, counted from 0, and the share of the template's words found in their positions. ``found`` has
-    every place at which the key phrase stands complete and that share is ``least_aligned`` or more.
+    every place at which the key phrase stands complete and that share is ``least_aligned`` or more; words
+    before or after the text are not aligned, so a template cut by the text's begin has a start below 0.
     ``score`` is the largest share of any place of the method; a file with base places alone scores 0.5,
     one without places 0.
 
@@ -119,6 +120,8 @@ def scan_licenses(
 
     # Postings by rank: template and position in one number.
     wide = 1 << 20
+    # Starts are kept larger by this, as a template may start before the text.
+    longest = max((len(t.words) for t in every), default=0)
 
     def postings(chosen: list[tuple[int, Template]]) -> list[list[int]]:
         """For each word by rank the templates whose key phrase has it as its rarest word, and where.
@@ -150,12 +153,12 @@ def scan_licenses(
         """Template and start, in one number, to which the postings of the words point."""
         starts = F.flatten(F.transform(hits, lambda h: F.transform(
             F.get(lists, h["r"]),
-            lambda p: F.shiftright(p, 20).cast("long") * (1 << 40) + (h["i"] - p.bitwiseAND(wide - 1)).cast("long"))))
-        return F.array_distinct(F.filter(starts, lambda s: s.bitwiseAND((1 << 40) - 1) < (1 << 39)))
+            lambda p: F.shiftright(p, 20).cast("long") * (1 << 40) + (h["i"] - p.bitwiseAND(wide - 1) + longest).cast("long"))))
+        return F.array_distinct(starts)
 
     def judged(words: Column, starts: Column) -> Column:
         def one(s: Column) -> Column:
-            t, start = F.shiftright(s, 40).cast("int"), s.bitwiseAND((1 << 40) - 1).cast("int")
+            t, start = F.shiftright(s, 40).cast("int"), s.bitwiseAND((1 << 40) - 1).cast("int") - longest
             text, first, last = F.get(texts, t), F.get(firsts, t), F.get(lasts, t)
             match = F.transform(text, lambda w, j: F.coalesce(lower_ascii(F.get(words, start + j)) == w, F.lit(False)))
             return once(match, lambda m: F.struct(

@@ -233,6 +233,17 @@ def test_every_licence_place_counts_however_common_its_words(spark):
     assert {label for label, *_ in got[0]} == {label for label, *_ in TEMPLATES}
 
 
+def test_licences_cut_by_either_end_of_the_text(spark):
+    rows = [(1, "under the GNU General Public License version 3 as published"),
+            (2, "it is licensed under the Apache License, Version 2.0"), (3, "Apache License version 2.0"),
+            (4, "granted free of charge"), (5, "redistribution and use in source and binary forms")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(x["label"], x["word"], x["aligned"]) for x in r["scan"]["found"]]
+           for r in scan_licenses(docs).collect()}
+    assert got == {1: [("gpl-3.0", -4, 8 / 12)], 2: [("apache-2.0", 2, 1.0)], 3: [("apache-2.0", -3, 5 / 8)],
+                   4: [], 5: []}
+
+
 def test_mixture_of_odd_rows(odd, empty):
     rows = mix_sources(odd, (5, 2, 1)).collect()
     assert len(rows) == odd.count() and mix_sources(empty, (5, 2, 1)).count() == 0
