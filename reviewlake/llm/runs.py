@@ -10,7 +10,11 @@ run, and what the run covers is its content.
 2. Texts are read again with their recurring anchors; runs of these give their content, once per batch.
 3. Equal contents are counted. Where an anchor has one content only, all is known. Contents that share
    an anchor are compared window by window in shards of bounded size, by the operator's own method.
-   Anchors with more than ``MOST_CONTENTS`` contents have their windows counted as plain rows instead.
+   Anchors with more than ``MOST_CONTENTS`` contents, or more than ``MOST_BYTES`` of them, have their
+   windows counted as plain rows instead.
+
+In periodic text a run lasts as long as the period does; its content is cut into pieces of ``PIECE``
+windows that overlap by what a window needs, so each window is in one piece.
 
 Texts are known by two 64-bit hashes, so copies of a text share all work but the last join.
 """
@@ -29,9 +33,12 @@ from pyspark.sql.window import Window
 from reviewlake.llm.common import cut
 from reviewlake.llm.tokens import BASES, Texts, mixed, powers, slices, space_table, split, word_hashes
 
-# Contents of one anchor that are compared in one shard; bytes of contents a shard aims at.
+# Contents of one anchor that are compared in one shard, and their bytes; bytes of contents a shard aims at.
 MOST_CONTENTS = 4096
+MOST_BYTES = 1 << 22
 SHARD_BYTES = 1 << 21
+# Windows in one content.
+PIECE = 1 << 16
 _SPACES = space_table()
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
 
@@ -173,7 +180,15 @@ def _anchor_rows(kind: Windows):
     return rows
 
 
-def _content_rows(kind: Windows):
+def _pieces_of(first: np.ndarray, last: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows cut into such of at most ``most``: first and last window, and the run of each."""
+    number = (last - first) // most + 1
+    run = np.repeat(np.arange(len(first)), number)
+    begin = first[run] + most * (np.arange(len(run)) - (np.cumsum(number) - number)[run])
+    return begin, np.minimum(begin + most - 1, last[run]), run
+
+
+def _content_rows(kind: Windows, most: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -192,8 +207,9 @@ def _content_rows(kind: Windows):
                 owner = np.repeat(np.arange(b - a), np.diff(some_lists.offsets.to_numpy()))
                 salted = lambda v, t: v ^ mixed(t.astype(np.uint64) + np.uint64(1))
                 keep = np.isin(salted(found.run_value, found.run_text), salted(wanted, owner))
-                s, e = found.first[keep], found.last[keep] + kind.window
-                fp, text = found.run_value[keep], found.run_text[keep]
+                s, last, run = _pieces_of(found.first[keep], found.last[keep], most)
+                e = last + kind.window
+                fp, text = found.run_value[keep][run], found.run_text[keep][run]
                 n = len(u.values)
                 inverse_base = pow(BASES[0], -1, 1 << 64)
                 sums = np.zeros(n + 1, np.uint64)
@@ -203,7 +219,7 @@ def _content_rows(kind: Windows):
                 names, dense = np.unique(found.value, return_inverse=True)
                 spots = np.sort(dense.astype(np.int64) << 40 | found.place)
                 at = np.searchsorted(names, fp).astype(np.int64) << 40
-                multi = np.searchsorted(spots, at | (found.last[keep] + kind.width)) - np.searchsorted(spots, at | s) > 1
+                multi = np.searchsorted(spots, at | (last + kind.width)) - np.searchsorted(spots, at | s) > 1
                 content = []
                 for i, pair in enumerate(zip(fp.tolist(), h.tolist(), strict=True)):
                     content.append(None if pair in seen else u.content(s[i], e[i]))
@@ -241,7 +257,8 @@ def _window_rows(kind: Windows):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 content = row["content"]
                 u = units(Texts(np.frombuffer(content, np.uint8), np.array([0, len(content)])), kind)
                 n = len(u.values) - kind.window + 1
@@ -272,12 +289,15 @@ def recurring(documents: DataFrame, kind: Windows, shard: Callable[[pa.Table], p
     lists = cut(lone.withColumn("met", met).filter("k1 is not null and (known or met > 1)")
                 .groupBy("k1", "k2").agg(F.collect_set("fp").alias("fps")), "recurring-anchors")
     contents = cut(documents.join(lists, ["k1", "k2"]).mapInArrow(
-        _content_rows(kind), "k1 long, k2 long, fp long, h long, start int, size int, n long, least long, "
+        _content_rows(kind, PIECE), "k1 long, k2 long, fp long, h long, start int, size int, n long, least long, "
                              "multi boolean, content binary"), "anchor-contents")
     totals = contents.groupBy("fp", "h").agg(
-        F.sum("n").alias("c"), F.min("least").alias("m"), F.max("multi").alias("multi"), F.max("size").alias("size"))
+        F.sum("n").alias("c"), F.min("least").alias("m"), F.max("multi").alias("multi"), F.max("size").alias("size"),
+        F.max(F.octet_length("content")).cast("long").alias("bytes"))
     totals = cut(totals, "content-totals")
-    kinds = totals.groupBy("fp").agg(F.count("*").alias("d"), F.max("multi").alias("any_multi"))
+    held_bytes = F.greatest("bytes", F.col("size").cast("long") * (1 if kind.unit == "byte" else 8))
+    kinds = totals.groupBy("fp").agg(
+        F.count("*").alias("d"), F.max("multi").alias("any_multi"), F.sum(held_bytes).alias("bytes"))
     plain = totals.join(kinds.filter("d = 1 and not any_multi").select("fp"), "fp", "left_semi").filter("c > 1")
     known = plain.select("fp", "h", F.array(F.struct(
         F.lit(0).alias("a"), (F.col("size") - kind.window).alias("b"), F.col("m").alias("least"),
@@ -289,13 +309,14 @@ def recurring(documents: DataFrame, kind: Windows, shard: Callable[[pa.Table], p
             totals.select("fp", "h", "c", "m"), ["fp", "h"])
 
     shared = kinds.filter((F.col("d") > 1) | F.col("any_multi"))
-    few = distinct_contents(shared.filter(F.col("d") <= MOST_CONTENTS))
+    crowded = (F.col("d") > MOST_CONTENTS) | (F.col("bytes") > MOST_BYTES)
+    few = distinct_contents(shared.filter(~crowded))
     size = totals.join(shared.select("fp"), "fp", "left_semi").agg(
-        F.coalesce(F.sum(F.col("size") * (1 if kind.unit == "byte" else 8)), F.lit(0))).first()[0]
+        F.coalesce(F.sum(held_bytes), F.lit(0))).first()[0]
     shards = max(1, -(-int(size) // SHARD_BYTES))
     compared = few.withColumn("shard", F.pmod(F.xxhash64("fp"), F.lit(shards))).groupBy("shard").applyInArrow(
         lambda part: shard(part), f"fp long, h long, found {SEGMENTS}")
-    rows = cut(distinct_contents(shared.filter(F.col("d") > MOST_CONTENTS)).mapInArrow(
+    rows = cut(distinct_contents(shared.filter(crowded)).mapInArrow(
         _window_rows(kind), "w1 long, w2 long, fp long, h long, at int, c long, m long"), "windows")
     sums = rows.groupBy("w1", "w2").agg(F.sum("c").alias("count"), F.min("m").alias("lowest")).filter("count > 1")
     counted = rows.join(sums, ["w1", "w2"]).groupBy("fp", "h").agg(F.collect_list(F.struct(

@@ -13,10 +13,10 @@ from reviewlake.llm.bpe import WordBpe, encode_documents, ids_text, vocabulary
 from reviewlake.llm.licenses import TEMPLATES, scan_licenses
 from reviewlake.llm.mixing import mix_sources
 from reviewlake.llm.neardup import near_duplicates, one_of_each
-from reviewlake.llm.phrases import remove_phrases
+from reviewlake.llm.phrases import located, remove_phrases
 from reviewlake.llm.queries import QUERIES
-from reviewlake.llm.suffixes import remove_repeats
-from tests.llm.conftest import LONG
+from reviewlake.llm.suffixes import compare, remove_repeats
+from tests.llm.conftest import LONG, PASSAGE
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -113,6 +113,48 @@ def test_crowded_anchors_go_the_exact_way(spark, sf_dir, monkeypatch, most):
     assert Counter(map(tuple, got.collect())) == brute_phrases(rows)
 
 
+def periodic(repeats):
+    phrase = "here the same few words stand again and again "
+    return [(i, phrase * n + f"end {i}") for i, n in enumerate(repeats)]
+
+
+@pytest.mark.parametrize("unit", ["word", "byte"])
+def test_contents_of_periodic_texts_do_not_meet_in_one_task(spark, unit):
+    from reviewlake.llm.runs import Windows, recurring, text_keys
+
+    rows = periodic(range(9_000, 9_024))
+
+    def shard(part):
+        size = sum(map(len, part["content"].to_pylist()))
+        assert size <= 1 << 23, size
+        return located(13)(part) if unit == "word" else compare(100)(part)
+
+    docs = spark.createDataFrame(rows, "id long, text string").select("id", "text", *text_keys(F.col("text")))
+    kind = Windows("word", 13, 4) if unit == "word" else Windows("byte", 100, 32)
+    found = recurring(docs, kind, shard).select(F.explode("found").alias("x"), "k1")
+    found = found.filter("x.count > 1 and x.least = 0").groupBy("k1").agg(F.sum(F.expr("x.b - x.a + 1")).alias("n"))
+    # All windows but those that hold the number at the end.
+    got = {r["id"]: r["n"] for r in docs.join(found, "k1").select("id", "n").collect()}
+    whole = {d: len(t.split()) - 13 if unit == "word" else len(t) - len(str(d)) - 99 for d, t in rows}
+    assert got == whole
+
+
+@pytest.mark.parametrize("most, piece", [(0, 40), (1 << 22, 40), (0, 1 << 16)])
+def test_cut_contents_equal_brute_force(spark, monkeypatch, most, piece):
+    from reviewlake.llm import runs
+
+    monkeypatch.setattr(runs, "MOST_BYTES", most)
+    monkeypatch.setattr(runs, "PIECE", piece)
+    rows = periodic((3, 20, 21, 33, 60)) + [(9, PASSAGE + " end"), (10, "start " + PASSAGE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = remove_phrases(docs).select("doc_id", "phrases.n_words", "phrases.n_removed", F.sha2("phrases.kept", 256))
+    assert Counter(map(tuple, got.collect())) == brute_phrases(rows)
+    removed = F.aggregate("repeats.removed", F.lit(0), lambda n, x: n + x["b"] - x["a"])
+    got = remove_repeats(docs, 100).select(
+        "doc_id", F.octet_length("text"), removed, F.size("repeats.removed"), F.sha2("repeats.kept", 256))
+    assert Counter(map(tuple, got.collect())) == brute_repeats(rows, 100)
+
+
 def shingles(text):
     words = WORDS.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text))
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
