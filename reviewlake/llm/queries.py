@@ -6,6 +6,7 @@ from reviewlake.llm import (  # noqa: F401 (they register)
     mixing,
     neardup,
     nearest,
+    packing,
     phrases,
     products,
     suffixes,
