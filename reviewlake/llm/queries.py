@@ -11,6 +11,7 @@ from reviewlake.llm import (  # noqa: F401 (they register)
     products,
     suffixes,
     toxicity,
+    tries,
     urls,
 )
 from reviewlake.llm.common import ORACLES, QUERIES  # noqa: F401
