@@ -1,6 +1,7 @@
 """All registered queries of this subpackage."""
 
 from reviewlake.llm import (  # noqa: F401 (they register)
+    alignment,
     bpe,
     licenses,
     mixing,
