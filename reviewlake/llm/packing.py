@@ -30,7 +30,7 @@ from reviewlake.llm.units import stretches, word_ids
 
 CAPACITY = 2048
 # Steps of the search, and fillings tried around one largest piece.
-NODES, FILLINGS = 2_000, 8
+NODES, FILLINGS = 6_000, 6
 # Rows of a file that are ranked together.
 RANKED = 1 << 18
 
@@ -97,64 +97,70 @@ def lower_bound(counts: Counter, capacity: int) -> int:
     return best
 
 
-def undominated(counts: Counter, largest: int, capacity: int, most: int) -> list[Filling]:
-    """Fillings around one piece of the largest length, fullest first; at most ``most`` of them."""
+def _bits(values) -> int:
+    out = 0
+    for x in values:
+        out |= 1 << x
+    return out
+
+
+def undominated(counts: Counter, largest: int, capacity: int, most: int) -> Iterator[Filling]:
+    """Fillings around one piece of the largest length, fullest first; at most ``most`` of them.
+
+    Sets of sums are bits of whole numbers. Sums are tried downwards from the fullest; those that the
+    lengths from some place on can reach lead to a sum's fillings without dead ends.
+    """
     room = capacity - largest
-    left = counts.copy()
-    left[largest] -= 1
-    lengths = [x for x in sorted(left, reverse=True) if left[x] > 0 and x <= room]
-    if not lengths:
-        return [()]
-    if lengths[0] == room:
-        return [(room,)]  # nothing dominates a piece that fills the rest
-    found: list[Filling] = []
-    tried = 0
-
-    def dominated(filling: Filling) -> bool:
-        slack, used = room - sum(filling), Counter(filling)
-        sums = {0}
+    lengths = [x for x in sorted(counts, reverse=True) if x <= room and counts[x] > (x == largest)]
+    if not lengths or lengths[0] == room:
+        yield (room,) if lengths else ()  # nothing dominates a piece that fills the rest
+        return
+    held = {x: counts[x] - (x == largest) for x in lengths}
+    whole, reach = (2 << room) - 1, [1]
+    for x in reversed(lengths):
+        sums, times, step = reach[-1], min(held[x], room // x), 1
+        while times:
+            step = min(step, times)
+            sums |= sums << step * x
+            times, step = times - step, step * 2
+        reach.append(sums & whole)
+    reach.reverse()  # reach[i]: sums of lengths[i:]
+    available = _bits(lengths)
+
+    def dominated(filling: Filling, slack: int) -> bool:
+        """Whether some of it, but no one piece for its equal, can give way to a larger piece left out."""
+        used, sums = Counter(filling), 1
         for x in filling:
-            sums |= {s + x for s in sums}
-        held = np.array([x for x in lengths if left[x] > used[x]])
-        held.sort()
-        for s in sums:
-            i = np.searchsorted(held, s)
-            # A single piece may be as large as the one it would replace: that changes nothing.
-            while i < len(held) and held[i] <= s + slack:
-                if not (held[i] == s and s in used):
-                    return True
-                i += 1
-        return False
-
-    def extend(filling: Filling, start: int, rest: int) -> None:
-        nonlocal tried
-        if len(found) >= most or tried >= 64 * most:
+            sums |= sums << x
+        out = available & ~_bits(x for x, n in used.items() if n == held[x])
+        equal = sums & ~_bits(used) & out
+        return bool(equal) or any(sums << d & out for d in range(1, slack + 1))
+
+    def of_sum(rest: int, start: int) -> Iterator[Filling]:
+        if not rest:
+            yield ()
             return
-        complete = True
         for i in range(start, len(lengths)):
-            x = lengths[i]
-            if x > rest or filling.count(x) >= left[x]:
-                continue
-            complete = False
-            extend(filling + (x,), i, rest - x)
-            if len(found) >= most or tried >= 64 * most:
+            if not reach[i] >> rest & 1:
                 return
-        if complete:
+            x = lengths[i]
+            for n in range(min(held[x], rest // x), 0, -1):
+                if reach[i + 1] >> rest - n * x & 1:
+                    for tail in of_sum(rest - n * x, i + 1):
+                        yield (x,) * n + tail
+
+    found, tried, total = 0, 0, room
+    while total > 0 and found < most and tried < 8 * most:
+        for filling in of_sum(total, 0) if reach[0] >> total & 1 else ():
             tried += 1
-            if not dominated(filling):
-                found.append(filling)
-
-    extend((), 0, room)
-    return sorted(set(found), key=lambda f: (-sum(f), len(f))) or [_greedy(left, lengths, room)]
-
-
-def _greedy(left: Counter, lengths: list[int], room: int) -> Filling:
-    out: list[int] = []
-    for x in lengths:
-        times = min(left[x], room // x)
-        out += [x] * times
-        room -= x * times
-    return tuple(out)
+            if not dominated(filling, room - total):
+                found += 1
+                yield filling
+            if found >= most or tried >= 8 * most:
+                break
+        total -= 1
+    if not found:
+        yield next(of_sum(reach[0].bit_length() - 1, 0))
 
 
 def bin_completion(counts: Counter, capacity: int = CAPACITY, nodes: int = NODES, most: int = FILLINGS) -> dict[Filling, int]:
@@ -198,23 +204,12 @@ def bin_completion(counts: Counter, capacity: int = CAPACITY, nodes: int = NODES
         if -(-(total + wasted) // capacity) >= fewest:
             continue
         change(whole, -n)
-        rest = Counter({x: c for x, c in left.items() if c > 0})
-        if not rest:
-            if now < fewest:
-                fewest, best = now, Counter()
-                for done, times in [*path, (whole, n)]:
-                    best[done] += times
-            change(whole, n)
-            continue
-        if now + lower_bound(rest, capacity) >= fewest:
-            change(whole, n)
-            continue
-        # What is left, packed best-fit, may already make a better incumbent.
-        tail = best_fit(rest, capacity)
-        if now + sum(tail.values()) < fewest:
-            fewest, best = now + sum(tail.values()), Counter(tail)
+        if not any(left.values()):
+            fewest, best = now, Counter()
             for done, times in [*path, (whole, n)]:
                 best[done] += times
+            change(whole, n)
+            continue
         path.append((whole, n))
         used, waste = now, wasted
         stack.append(choices())
