@@ -2,47 +2,80 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake import filesystem
 from reviewlake.checks import adapters as a
 from reviewlake.checks.registry import checked
-from reviewlake.checks.scans import FEED_COLUMNS
+from reviewlake.checks.scans import FEED_COLUMNS, feed_entry
 from reviewlake.checks.writes import scratch_database
-from reviewlake.plans import run_bronze, run_gold, run_silver
-from reviewlake.sinks import TABLES, create_table, export_documents, insert_partitions, write_partitions
+from reviewlake.plans import land_feed, run_bronze, run_gold, run_silver
+from reviewlake.plans.landing import APP_KEY
+from reviewlake.sinks import TABLES, create_table, export_documents, insert_partitions
 
 RUN_TS = datetime(2024, 2, 10, 6, 30, tzinfo=timezone.utc)
 
 
+# Landing files come from pages, one folder for each app.
+PAGED_FLOW = replace(a.EXTERNAL_FLOW, source={**a.EXTERNAL_FLOW.source, "app_key": APP_KEY})
+
+
+def _pages(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Feed pages of up to 50 reviews by app, and for every third page one more that is cut off."""
+    reviews = a.external_reviews(spark, sf_dir).withColumnRenamed("author_ura", "author_uri")
+    entry = feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
+    pages = reviews.groupBy(F.col("app_reference").alias("app"), F.floor(F.col("review_id").cast("bigint") / 50).alias("page")).agg(
+        F.to_json(F.struct(F.struct(F.collect_list(entry).alias("entry")).alias("feed"))).alias("value"))
+    broken = pages.filter(F.col("page") % 3 == 0).select("app", F.substring("value", 1, 90).alias("value"))
+    pages.select("app", "value").union(broken).write.partitionBy("app").text(f"{root}/pages/{a.RUN_DAY}")
+    return f"{root}/pages"
+
+
 @checked("bronze_external", f"""
 WITH {a.EXTERNAL_SQL}
 SELECT * EXCLUDE (updated_utc) REPLACE ('2024-02-10 06:30:00.000000' AS ingestion_ts,
                                         '2024-02-10' AS date_load)
 FROM ext""")
 def bronze_external(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run loads all apps of a day; a second run of one app replaces its rows only."""
+    """From feed pages: one run loads all apps of a day, a second run of one app replaces its rows only."""
     database, root = scratch_database(spark)
-    landing = f"{root}/landing/feed/reviews/{a.RUN_DAY}"
-    reviews = a.external_reviews(spark, sf_dir).withColumnRenamed("author_ura", "author_uri")
-    write_partitions(
-        reviews.select(*[F.col(name).cast("string") for name in FEED_COLUMNS],
-                       F.col("app_reference").alias("app")),
-        landing, ["app"], file_format="json")
-    for name in filesystem.child_names(spark, landing):
-        if "=" in name:
-            filesystem.move(spark, f"{landing}/{name}", f"{landing}/{name.partition('=')[2]}")
+    land_feed(spark, pages_root=_pages(spark, sf_dir, root), landing=f"{root}/landing/feed/reviews",
+              quarantine=f"{root}/quarantine", day=a.RUN_DAY, page_key="app", metrics_path=f"{root}/metrics")
     name = create_table(spark, database, "external_reviews", TABLES["external_reviews"],
                         f"{root}/external_reviews")
     for app in (None, "f"):
-        run_bronze(spark, a.EXTERNAL_FLOW, landing_root=f"{root}/landing", day=a.RUN_DAY, table=name,
+        run_bronze(spark, PAGED_FLOW, landing_root=f"{root}/landing", day=a.RUN_DAY, table=name,
                    app=app, tag_app=True, run_ts=RUN_TS, metrics_path=f"{root}/metrics")
     return spark.table(name).withColumn("ingestion_ts", a.stamp("ingestion_ts"))
 
 
+@checked("land_feed", f"""
+WITH {a.EXTERNAL_SQL},
+pages AS (SELECT app_reference AS app, CAST(review_id AS BIGINT) // 50 AS page, count(*) AS reviews FROM ext GROUP BY ALL),
+told AS (SELECT app, sum(reviews) AS reviews, count(*) + count(*) FILTER (WHERE page % 3 = 0) AS pages,
+                count(*) FILTER (WHERE page % 3 = 0) AS unreadable FROM pages GROUP BY app)
+SELECT app, reviews::BIGINT AS reviews, unreadable, (SELECT sum(pages)::BIGINT FROM told) AS total_pages,
+       (SELECT sum(unreadable)::BIGINT FROM told) AS total_unreadable, 2::BIGINT AS listed_runs FROM told""")
+def land_feed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews landed and pages set aside by app, with the totals of the run's record; landed twice without harm."""
+    _, root = scratch_database(spark)
+    args = dict(pages_root=_pages(spark, sf_dir, root), landing=f"{root}/landing", quarantine=f"{root}/quarantine",
+                day=a.RUN_DAY, page_key="app", metrics_path=f"{root}/metrics", manifest_path=f"{root}/manifest")
+    for _ in range(2):
+        result = land_feed(spark, **args)
+    record = result.metrics.select(F.col("total_records").alias("total_pages"),
+                                   F.col("validation_results.type_consistency_check.count").alias("total_unreadable"))
+    runs = spark.read.parquet(f"{root}/manifest").agg(F.count_distinct("run_id").alias("listed_runs"))
+    landed = spark.read.schema("review_id STRING, app STRING").json(f"{root}/landing/{a.RUN_DAY}").groupBy("app").agg(
+        F.count("*").alias("reviews"))
+    aside = spark.read.parquet(f"{root}/quarantine").groupBy("app").agg(F.count("page").alias("unreadable"))
+    # Both are one row.
+    return landed.join(aside, "app").join(F.broadcast(record.join(runs)))
+
+
 @checked("bronze_append_metrics", f"""
 WITH {a.EXTERNAL_SQL}
 SELECT run, CASE WHEN run = 3 THEN 0 ELSE count(*) END AS total_records FROM ext, (VALUES (1), (2), (3)) r(run) GROUP BY run""")

@@ -86,7 +86,7 @@ def scan_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", a.stamp("ts"))
 
 
-def _feed_entry(columns: dict[str, Column]) -> Column:
+def feed_entry(columns: dict[str, Column]) -> Column:
     """One feed entry with every value where the feed keeps it."""
     tree: dict = {}
     for name, path in FEED_FIELDS.items():
@@ -120,7 +120,7 @@ def flatten_feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = a.external_reviews(spark, sf_dir).withColumnRenamed("author_ura", "author_uri")
     key = F.col("review_id").cast("bigint")
     alone = key % 50 == 49
-    entry = _feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
+    entry = feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
     pages = (
         reviews.groupBy(F.when(alone, -key).otherwise(F.floor(key / 50)).alias("page"))
         .agg(F.collect_list(entry).alias("entries"))
@@ -145,7 +145,7 @@ UNION ALL SELECT 'pages', count(DISTINCT page) FROM keyed WHERE page % 3 = 0""")
 def flatten_feed_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third page is cut off: its text is set aside, the reviews of the others are read."""
     reviews = a.external_reviews(spark, sf_dir).withColumnRenamed("author_ura", "author_uri")
-    entry = _feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
+    entry = feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
     text = F.to_json(F.struct(F.struct(F.col("entries").alias("entry")).alias("feed")))
     pages = (
         reviews.groupBy(F.floor(F.col("review_id").cast("bigint") / 50).alias("page"))

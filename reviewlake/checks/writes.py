@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reviewlake import filesystem
 from reviewlake.checks import adapters as a
@@ -16,12 +17,17 @@ from reviewlake.operators import filter_rating, prepare_for_kpis, review_kpis
 from reviewlake.session import scratch_dir
 from reviewlake.sinks import (
     TABLES,
-    compact,
+    append_manifest,
+    append_metrics,
+    compact_table,
     create_table,
     drop_partitions,
     drop_table_partitions,
-    purge_landing_day,
     insert_partitions,
+    list_files,
+    new_run_id,
+    partition_location,
+    purge_loaded,
     retain_days,
     stamp_month,
     write_full,
@@ -110,53 +116,76 @@ SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, {a.sql_stamp('l_shipdate
 FROM lineitem"""
 
 
-def _lines(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """Line items in three partitions of many small files."""
-    root = scratch_dir(spark, label)
+def _lines(spark: SparkSession, sf_dir: str) -> str:
+    """A table of line items in three partitions of many small files."""
+    database, root = scratch_database(spark)
+    name = f"{database}.lines"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    spark.sql(f"CREATE TABLE {name} (l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+              f"l_shipdate TIMESTAMP, l_returnflag STRING) USING parquet PARTITIONED BY (l_returnflag) LOCATION '{root}/lines'")
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    write_partitions(lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
-                     .repartition(16, "l_orderkey"), root, ["l_returnflag"], rebalance=False)
-    return root
+    insert_partitions(lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")).repartition(16, "l_orderkey"),
+                      name, rebalance=False)
+    return name
 
 
-def _line_rows(spark: SparkSession, root: str) -> DataFrame:
-    return read_partitioned(spark, root, ["l_returnflag"]).withColumn(
-        "l_shipdate", a.stamp("l_shipdate"))
+def _line_rows(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name).select(*LINE_COLUMNS).withColumn("l_shipdate", a.stamp("l_shipdate"))
 
 
 @checked("compact_partition", LINE_SQL)
 def compact_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every partition rewritten into fewer files; no row changes."""
-    root = _lines(spark, sf_dir, "compaction")
-    for name in filesystem.child_names(spark, root):
-        column, _, value = name.partition("=")
-        if value:
-            compact(spark, root, {column: value}, target_bytes=1 << 20)
-    return _line_rows(spark, root)
+    name = _lines(spark, sf_dir)
+    compact_table(spark, name, target_bytes=1 << 20)
+    return _line_rows(spark, name)
 
 
-@checked("compact_files", "SELECT DISTINCT l_returnflag, 1 AS files FROM lineitem")
+@checked("compact_files", "SELECT DISTINCT l_returnflag, 1::BIGINT AS files FROM lineitem")
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many files each partition has after compaction into one."""
-    root = _lines(spark, sf_dir, "compaction-files")
-    found = []
-    for name in filesystem.child_names(spark, root):
-        column, _, value = name.partition("=")
-        if value:
-            compact(spark, root, {column: value}, target_bytes=1 << 40)
-            files = [n for n in filesystem.child_names(spark, f"{root}/{name}") if n.endswith(".parquet")]
-            found.append((value, len(files)))
-    return spark.createDataFrame(found, "l_returnflag STRING, files INT")
+    """How many files each partition is read from after compaction into one."""
+    name = _lines(spark, sf_dir)
+    compact_table(spark, name, target_bytes=1 << 40)
+    return spark.table(name).groupBy("l_returnflag").agg(F.count_distinct("_metadata.file_path").alias("files"))
 
 
 @checked("cluster_by", LINE_SQL)
 def cluster_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One partition ordered by one column, one by two columns; no row changes."""
-    root = _lines(spark, sf_dir, "clustering")
-    compact(spark, root, {"l_returnflag": "R"}, cluster_by=["l_shipdate"], target_bytes=1 << 18)
-    compact(spark, root, {"l_returnflag": "A"}, cluster_by=["l_shipdate", "l_partkey"],
-            target_bytes=1 << 18)
-    return _line_rows(spark, root)
+    """One partition ordered by one column, two by two columns; no row changes."""
+    return _line_rows(spark, _clustered(spark, sf_dir))
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> str:
+    name = _lines(spark, sf_dir)
+    for flag, columns in (("R", ["l_shipdate"]), ("A", ["l_shipdate", "l_partkey"]), ("N", ["l_shipdate", "l_partkey"])):
+        folder = partition_location(spark, name, {"l_returnflag": flag})
+        compact_table(spark, name, {"l_returnflag": flag}, cluster_by=columns,
+                      target_bytes=max(1, filesystem.size_in_bytes(spark, folder) // 16))
+    return name
+
+
+@checked("cluster_ranges", """
+SELECT DISTINCT l_returnflag, CASE WHEN l_returnflag = 'R' THEN 0 END::BIGINT AS within_others, true AS several, true AS narrow
+FROM lineitem""")
+def cluster_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the files of clustered partitions overlap, from the lowest and highest value of each file.
+
+    Clustered by one column, no file begins or ends strictly within another. Clustered by two, a file
+    covers less than half of the values on average, by the product of its two shares; unclustered, all.
+    """
+    rows = spark.table(_clustered(spark, sf_dir)).select(
+        "l_returnflag", F.unix_seconds("l_shipdate").alias("x"), F.col("l_partkey").alias("y"),
+        F.col("_metadata.file_path").alias("file"))
+    files = rows.groupBy("l_returnflag", "file").agg(*[f(c).alias(f"{n}_{c}") for c in "xy" for n, f in (("low", F.min), ("high", F.max))])
+    part = Window.partitionBy("l_returnflag")
+    before = part.orderBy("low_x", "high_x").rowsBetween(Window.unboundedPreceding, -1)
+    share = lambda c: (F.col(f"high_{c}") - F.col(f"low_{c}")) / (
+        F.max(f"high_{c}").over(part) - F.min(f"low_{c}").over(part))
+    told = files.select("l_returnflag", (F.max("high_x").over(before) > F.col("low_x")).alias("within"),
+                        (share("x") * F.when(F.col("l_returnflag") == "R", 1).otherwise(share("y"))).alias("share"))
+    return told.groupBy("l_returnflag").agg(
+        F.when(F.col("l_returnflag") == "R", F.count_if("within")).alias("within_others"),
+        (F.count("*") > 8).alias("several"), (F.avg("share") < 0.5).alias("narrow"))
 
 
 @checked("table_catalog", f"""
@@ -169,12 +198,14 @@ UNION ALL SELECT 'unified_reviews', 16, count(*) FROM unified
 UNION ALL SELECT 'review_kpis', 11, count(*) FROM kpis
 UNION ALL SELECT 'control_params', 11, count(*) FROM part""")
 def table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five tables, created twice without harm, then filled."""
+    """All five tables, created twice without harm, then filled; one was filled before and created anew."""
     database, root = scratch_database(spark)
     names = {}
     for _ in range(2):
         names = {label: create_table(spark, database, label, spec, f"{root}/{label}")
                  for label, spec in TABLES.items()}
+    insert_partitions(a.internal_reviews(spark, sf_dir), names["internal_reviews"])
+    create_table(spark, database, "internal_reviews", TABLES["internal_reviews"], f"{root}/internal_reviews", recreate=True)
     month = stamp_month(unified(spark, sf_dir), a.RUN_DAY)
     insert_partitions(a.external_reviews(spark, sf_dir), names["external_reviews"])
     insert_partitions(a.internal_reviews(spark, sf_dir), names["internal_reviews"])
@@ -198,26 +229,29 @@ def table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked("purge_landing", """
-SELECT DISTINCT 'reviews' AS source, o_orderstatus AS app, day FROM orders, (VALUES ('2024-01-11')) d(day)
-UNION ALL SELECT 'feedback', '', '2024-01-11'""")
+SELECT * FROM (SELECT o_orderstatus AS app, count(*) AS "rows" FROM orders GROUP BY 1) WHERE app <> 'F'
+UNION ALL SELECT 'F', (SELECT count(*) FROM orders WHERE o_orderstatus = 'O')""")
 def purge_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw folders of one day go once both flows have a record of it; those of the next day stay."""
-    root, days = scratch_dir(spark, "purge-landing"), ("2024-01-10", "2024-01-11")
+    """What is left of a day's landing files: all that no finished run has read.
+
+    App F was read by a finished run, and a file came after it; a run of app O found no rows in another
+    folder; a run of app P read its files and left no record.
+    """
+    root = scratch_dir(spark, "purge-landing")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("app"))
-    for day in days:
-        orders.write.partitionBy("app").json(f"{root}/reviews/{day}")
-        orders.select("o_orderkey").write.json(f"{root}/feedback/{day}")
-    done = spark.createDataFrame([(days[0], "reviews"), (days[0], "feedback")], "run_day STRING, app_id STRING")
-    apps = [n for n in filesystem.child_names(spark, f"{root}/reviews/{days[0]}") if n.startswith("app=")]
-    purge_landing_day(
-        spark, [f"{root}/feedback/{days[0]}", *[f"{root}/reviews/{days[0]}/{app}" for app in apps],
-                f"{root}/reviews/{days[0]}"], metrics=done, day=days[0], flows=["reviews", "feedback"])
-    left = []
-    for source in ("reviews", "feedback"):
-        for day in filesystem.child_names(spark, f"{root}/{source}"):
-            names = [n[4:] for n in filesystem.child_names(spark, f"{root}/{source}/{day}") if n.startswith("app=")]
-            left += [(source, app, day) for app in names or [""]]
-    return spark.createDataFrame(left, "source STRING, app STRING, day STRING")
+    landing, manifest, metrics = f"{root}/reviews/2024-01-10", f"{root}/manifest", f"{root}/metrics"
+    orders.write.partitionBy("app").json(landing)
+    runs = {app: new_run_id() for app in "FOP"}
+    for app, folder in (("F", f"{landing}/app=F"), ("O", f"{root}/nothing"), ("P", f"{landing}/app=P")):
+        append_manifest(list_files(spark, [folder]), manifest, runs[app])
+    orders.filter("app = 'O'").select("o_orderkey").write.mode("append").json(f"{landing}/app=F")
+    for app in "FO":
+        record = spark.createDataFrame([("2024-01-10", "reviews")], "run_day STRING, app_id STRING")
+        append_metrics(record, metrics, runs[app])
+    purge_loaded(spark, [landing], manifest=spark.read.parquet(manifest), metrics=spark.read.parquet(metrics),
+                 day="2024-01-10", flows=["reviews"])
+    left = spark.read.schema("o_orderkey BIGINT, app STRING").json(landing)
+    return left.groupBy("app").agg(F.count("*").alias("rows"))
 
 
 @checked("purge_app", """

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -27,14 +28,40 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename; an existing target is an error, as a folder would be moved into it."""
     fs, source_path = _resolve(spark, source)
     target_path = _resolve(spark, target)[1]
+    if fs.exists(target_path):
+        raise FileExistsError(target)
     if not fs.exists(target_path.getParent()):
         fs.mkdirs(target_path.getParent())
     if not fs.rename(source_path, target_path):
         raise OSError(f"cannot move {source} to {target}")
 
 
+def prune(spark: SparkSession, path: str) -> bool:
+    """Delete a folder, and folders in it, that hold no data file; TRUE if it is gone.
+
+    Marks that writers leave (names beginning with ``_`` or ``.``) are no data. Only empty folders are
+    deleted, so what arrives meanwhile stays.
+    """
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return False
+    held = list(fs.listStatus(hadoop_path))
+    kept = [s for s in held if (not prune(spark, s.getPath().toString()) if s.isDirectory()
+                                else not s.getPath().getName().startswith(("_", ".")))]
+    if kept:
+        return False
+    for status in held:
+        if status.isFile():
+            fs.delete(status.getPath(), False)
+    try:
+        return bool(fs.delete(hadoop_path, False))  # refuses a folder that has been filled meanwhile
+    except Py4JJavaError:
+        return False
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty if it does not exist."""
     fs, hadoop_path = _resolve(spark, path)

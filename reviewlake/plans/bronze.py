@@ -17,11 +17,12 @@ from reviewlake.operators import (
 )
 from reviewlake.operators.mapping import CONTROL_COLUMNS
 from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now, write_mode
-from reviewlake.sinks import compact_table, insert_partitions
+from reviewlake.sinks import append_manifest, compact_table, insert_partitions, list_files, new_run_id
 from reviewlake.sources import (
     app_folder,
     partition_columns,
     read_flow_source,
+    source_paths,
     table_column_types,
 )
 
@@ -41,6 +42,7 @@ def bronze_rows(
     missing: str = "error",
     type_issue: str | None = None,
     base: str = "",
+    app_key: str = "",
 ) -> DataFrame:
     """Raw rows in the layout of the target table.
 
@@ -49,7 +51,7 @@ def bronze_rows(
     """
     skip, keep = CONTROL_COLUMNS, []
     if tag_app:
-        folder = app_folder(F.col(PATH), day, base) if PATH in raw.columns else None
+        folder = app_folder(F.col(PATH), day, base, app_key) if PATH in raw.columns else None
         skip = (*CONTROL_COLUMNS, "app_reference")
         keep = [app_reference_column(raw.schema, app, folder).alias("app_reference")]
     mapped = map_columns(raw, config.target, config.mapping, table_types=table_types,
@@ -71,6 +73,7 @@ def run_bronze(
     strict_types: bool = False,
     compact_after: bool = True,
     metrics_path: str | None = None,
+    manifest_path: str | None = None,
     domain: str = "",
     project: str = "",
     run_ts: datetime | None = None,
@@ -81,10 +84,16 @@ def run_bronze(
     partition written, which is columnar and pruned to key and rule columns. ``overwrite`` makes a repeated run replace its
     own rows, ``append`` adds them again. With ``tag_app`` and no ``app`` one run loads the folders of
     all apps of the day, each row tagged with its folder.
+
+    ``manifest_path`` keeps the files that the run reads, listed before it reads them: what arrives in
+    between may be read, but a purge will not take it for loaded.
     """
     started = utc_now()
     mode = write_mode(spark, config, table, mode)
-    one_app = bool(app and app.strip())
+    one_app, run_id = bool(app and app.strip()), new_run_id()
+    if manifest_path:
+        paths = source_paths(config, landing_root, day, [app] if one_app else [])
+        append_manifest(list_files(spark, paths), manifest_path, run_id)
     raw = read_flow_source(spark, config, landing_root, day, [app] if one_app else [],
                            path_column=PATH if tag_app and not one_app else None)
     rows = bronze_rows(
@@ -92,6 +101,7 @@ def run_bronze(
         table_types=table_column_types(spark, table),
         type_issue=TYPE_ISSUE if strict_types else None,
         base=f"{landing_root.rstrip('/')}/{config.source['directory'].strip('/')}",
+        app_key=config.source.get("app_key") or "",
     )
     partition = {"date_load": day}
     if tag_app and one_app:
@@ -117,4 +127,5 @@ def run_bronze(
                                       type_issues_seen=int(seen.get("type_issues") or 0)), keys)
     metrics = run_metrics(summary, owner_of(domain, project, "bronze", config.source_layer),
                           config.target_table, started, utc_now())
-    return finish(RunResult(table, partition, metrics), metrics_path, day, app.strip().lower() if one_app else None)
+    return finish(RunResult(table, partition, metrics), metrics_path, day,
+                  app.strip().lower() if one_app else None, run_id)

@@ -59,9 +59,11 @@ def settled(df: DataFrame, measured: DataFrame | None = None) -> DataFrame:
         return spark.createDataFrame(df.collect(), df.schema)
 
 
-def finish(result: RunResult, metrics_path: str | None, day: str, app: str | None = None) -> RunResult:
+def finish(
+    result: RunResult, metrics_path: str | None, day: str, app: str | None = None, run_id: str | None = None
+) -> RunResult:
     """Put the record of a run on file, with the day and app it is of."""
     if metrics_path:
         named = result.metrics.withColumn(RUN_DAY, F.lit(day)).withColumn(RUN_APP, F.lit(app).cast("string"))
-        append_metrics(named, metrics_path)
+        append_metrics(named, metrics_path, run_id)
     return result

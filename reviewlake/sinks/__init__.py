@@ -7,22 +7,24 @@ from reviewlake.sinks.maintenance import (
     compact_table,
     drop_partitions,
     drop_table_partitions,
-    purge_landing_day,
+    partition_location,
     retain_days,
     zorder_key,
 )
+from reviewlake.sinks.purge import append_manifest, list_files, loaded_files, purge_loaded
 from reviewlake.sinks.partitions import (
     append_metrics,
     insert_partitions,
+    new_run_id,
     stamp_month,
     write_full,
     write_partitions,
 )
 
 __all__ = [
-    "TABLES", "TableSpec", "append_metrics", "compact",
+    "TABLES", "TableSpec", "append_manifest", "append_metrics", "compact",
     "compact_table", "create_table", "drop_partitions",
     "drop_table_partitions",
-    "export_documents", "insert_partitions", "purge_landing_day", "retain_days", "stamp_month",
+    "export_documents", "insert_partitions", "list_files", "loaded_files", "new_run_id", "purge_loaded", "retain_days", "partition_location", "stamp_month",
     "write_full", "write_partitions", "zorder_key",
 ]

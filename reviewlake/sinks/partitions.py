@@ -154,12 +154,16 @@ def write_full(
             held.unpersist()
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
+def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
     """Add run records to the metrics table; a handful of rows, so one file per run.
 
-    Every call fills a partition of its own: runs of several apps end at the same
+    Every call fills a partition of its own, named by the run: runs of several apps end at the same
     time, and plain appends to one folder share a work folder that the first to finish removes.
     """
-    own = metrics.coalesce(1).withColumn(RUN_ID, F.lit(f"run-{uuid.uuid4().hex}"))
+    own = metrics.coalesce(1).withColumn(RUN_ID, F.lit(run_id or new_run_id()))
     (own.write.mode("overwrite").partitionBy(RUN_ID)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
+
+
+def new_run_id() -> str:
+    return f"run-{uuid.uuid4().hex}"

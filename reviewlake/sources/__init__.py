@@ -14,6 +14,7 @@ from reviewlake.sources.landing import (
     landing_paths,
     read_flow_source,
     read_landing,
+    source_paths,
 )
 from reviewlake.sources.tables import (
     partition_columns,
@@ -29,6 +30,6 @@ __all__ = [
     "app_folder", "config_from_documents", "existing_paths", "explode_rules", "flatten_feed",
     "landing_paths", "latest_config", "load_flow_config", "partition_columns", "read_feed_pages",
     "read_flow_source", "read_landing", "read_partitioned", "scan_days_back", "scan_month",
-    "select_tagged", "table_column_types", "table_location", "type_config_strings",
+    "select_tagged", "source_paths", "table_column_types", "table_location", "type_config_strings",
     "unreadable_pages",
 ]

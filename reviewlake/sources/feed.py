@@ -48,7 +48,7 @@ def read_feed_pages(spark: SparkSession, paths: list[str] | str, multiline: bool
     return reader.option("multiLine", str(multiline).lower()).json(paths)
 
 
-def _entries(pages: DataFrame) -> tuple[Column, Column]:
+def page_entries(pages: DataFrame) -> tuple[Column, Column]:
     """The reviews of a page, and whether the page is unreadable as a whole or in its entries."""
     entries = F.from_json(F.col("feed.entry"), T.ArrayType(ENTRY_SCHEMA))
     broken = F.col("feed.entry").isNotNull() & entries.isNull()
@@ -64,20 +64,24 @@ def flatten_feed(pages: DataFrame, on_corrupt: str = "error") -> DataFrame:
     if on_corrupt not in ("error", "quarantine"):
         raise ValueError(f"unknown treatment of unreadable pages: {on_corrupt!r}")
 
-    def leaf(path: str) -> Column:
-        return reduce(lambda node, name: node.getField(name), path.split("."), F.col("entry"))
-
-    entries, broken = _entries(pages)
+    entries, broken = page_entries(pages)
     if on_corrupt == "error":
         failure = F.raise_error(F.lit("unreadable feed page")).cast(T.ArrayType(ENTRY_SCHEMA))
         entries = F.when(broken, failure).otherwise(entries)
-    return pages.select(F.explode(entries).alias("entry")).select(
-        *[leaf(path).alias(name) for name, path in FEED_FIELDS.items()]
-    )
+    return pages.select(F.explode(entries).alias("entry")).select(*review_fields())
+
+
+def review_fields() -> list[Column]:
+    """The declared columns of a review, from its ``entry``."""
+
+    def leaf(path: str) -> Column:
+        return reduce(lambda node, name: node.getField(name), path.split("."), F.col("entry"))
+
+    return [leaf(path).alias(name) for name, path in FEED_FIELDS.items()]
 
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
     """(page): the text of every page, or of its entries, that cannot be parsed."""
-    _, broken = _entries(pages)
+    _, broken = page_entries(pages)
     whole = F.col(CORRUPT) if CORRUPT in pages.columns else F.lit(None).cast("string")
     return pages.filter(broken).select(F.coalesce(whole, F.col("feed.entry")).alias("page"))

@@ -16,14 +16,17 @@ from reviewlake.config import FlowConfig
 logger = logging.getLogger(__name__)
 
 
-def landing_paths(root: str, days: str | Iterable[str], apps: Iterable[str] = ()) -> list[str]:
-    """Folders to list. Blank or no apps means the whole day, so other days are never listed."""
+def landing_paths(root: str, days: str | Iterable[str], apps: Iterable[str] = (), key: str = "") -> list[str]:
+    """Folders to list. Blank or no apps means the whole day, so other days are never listed.
+
+    With ``key`` the folder of an app is named as Spark names partitions: ``key=app``.
+    """
     base = root.rstrip("/")
     days = [days] if isinstance(days, str) else list(days)
     wanted = [app.strip() for app in apps if app and app.strip()]
     return [f"{base}/{day.strip()}{suffix}"
             for day in days
-            for suffix in ([f"/{app}" for app in wanted] or [""])]
+            for suffix in ([f"/{key}={app}" if key else f"/{app}" for app in wanted] or [""])]
 
 
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
@@ -62,16 +65,18 @@ def read_landing(
     return rows.select("*", F.col("_metadata.file_path").alias(path_column)) if path_column else rows
 
 
-def app_folder(path: Column, day: str, base: str = "") -> Column:
+def app_folder(path: Column, day: str, base: str = "", key: str = "") -> Column:
     """Name of the folder below the day that a file lies in; NULL if it lies in the day itself.
 
     ``base`` is the folder that holds the days, so that a day further up in the path is not taken for it.
+    With ``key`` the folder is named ``key=app``.
     """
     # The scheme may be written in more than one way; what follows it may not.
     base = re.sub(r"^\w+:/*", "/", base.rstrip("/"))
+    prefix = f"{re.escape(key)}=" if key else ""
     # Spark gives paths percent-encoded; a plus sign stands for itself there.
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.nullif(F.regexp_extract(decoded, f"{re.escape(base)}/{re.escape(day)}/([^/]+)/", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(decoded, f"{re.escape(base)}/{re.escape(day)}/{prefix}([^/]+)/", 1), F.lit(""))
 
 
 def read_flow_source(
@@ -84,7 +89,11 @@ def read_flow_source(
     path_column: str | None = None,
 ) -> DataFrame:
     """The landing files that a flow declares."""
-    directory = config.source["directory"].strip("/")
-    paths = landing_paths(f"{root.rstrip('/')}/{directory}", days, apps)
-    return read_landing(spark, config.source["format"], config.expected_schema, paths,
+    return read_landing(spark, config.source["format"], config.expected_schema, source_paths(config, root, days, apps),
                         path_column=path_column)
+
+
+def source_paths(config: FlowConfig, root: str, days: str | Iterable[str], apps: Iterable[str] = ()) -> list[str]:
+    """The folders that hold a flow's files; its source settings name the directory and the ``app_key``, if any."""
+    directory = config.source["directory"].strip("/")
+    return landing_paths(f"{root.rstrip('/')}/{directory}", days, apps, config.source.get("app_key") or "")

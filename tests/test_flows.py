@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from reviewlake.checks.adapters import EXTERNAL_FLOW, GOLD_FLOW, INTERNAL_FLOW, SILVER_FLOW
 from reviewlake.operators import metrics_payload, operations_dashboard
-from reviewlake.plans import run_bronze, run_gold, run_silver
-from reviewlake.sinks import TABLES, compact, create_table, insert_partitions
+from reviewlake.plans import land_feed, run_bronze, run_gold, run_silver
+from reviewlake.sinks import TABLES, compact, create_table, insert_partitions, purge_loaded
 from tests.conftest import plan_of, rows
 
 DAY = "2024-02-10"
@@ -145,11 +146,46 @@ def test_compaction_of_a_catalog_partition_is_seen(spark, lake, tables, landed):
     load_app(spark, lake, tables, "alpha", compact_after=False)
     name = tables["external_reviews"]
     before = sorted(rows(spark.table(name)), key=str)
-    compact(spark, f"{lake}/tables/external_reviews", {"date_load": DAY, "app_reference": "alpha"})
-    spark.catalog.refreshTable(name)
+    compact(spark, name, {"date_load": DAY, "app_reference": "alpha"})
     assert sorted(rows(spark.table(name)), key=str) == before
-    folder = f"{lake}/tables/external_reviews/date_load={DAY}/app_reference=alpha"
-    assert len([n for n in os.listdir(folder) if n.endswith(".parquet")]) == 1
+    assert spark.table(name).select("_metadata.file_path").distinct().count() == 1
+
+
+def page(*entries):
+    return {"feed": {"entry": [{"id": {"label": str(key)}, "im:rating": {"label": "5"}} for key in entries]}}
+
+
+def test_pages_to_landing_to_bronze_to_purge(spark, lake, tables):
+    land(f"{lake}/pages/{DAY}/Alpha/1.json", page(1, 2), page(3))
+    land(f"{lake}/pages/{DAY}/beta/1.json", page(9), {"feed": {}})
+    with open(f"{lake}/pages/{DAY}/beta/2.json", "w") as file:
+        file.write('{"feed": {"entry": [{"id"')
+    args = dict(pages_root=f"{lake}/pages", landing=f"{lake}/raw/feed/reviews", quarantine=f"{lake}/quarantine", day=DAY,
+                metrics_path=f"{lake}/metrics", manifest_path=f"{lake}/manifest")
+    for _ in range(2):
+        result = land_feed(spark, **args)
+    assert (result.pages, result.unreadable, result.reviews) == (5, 1, 4)
+    metrics = result.metrics.first()
+    assert (metrics.total_records, metrics.validation_results.type_consistency_check["count"]) == (5, 1)
+    aside = spark.read.parquet(f"{lake}/quarantine").collect()
+    assert [(r.app, r.page[:6]) for r in aside] == [("beta", '{"feed')]
+    flow = replace(EXTERNAL_FLOW, source={**EXTERNAL_FLOW.source, "app_key": "app"})
+    for app in (None, "alpha"):
+        run_bronze(spark, flow, landing_root=f"{lake}/raw", day=DAY, app=app, tag_app=True, manifest_path=f"{lake}/manifest",
+                   table=tables["external_reviews"], metrics_path=f"{lake}/metrics")
+    table = spark.table(tables["external_reviews"])
+    assert sorted(rows(table.select("app_reference", "review_id", "rating"))) == [
+        ("alpha", "1", 5), ("alpha", "2", 5), ("alpha", "3", 5), ("beta", "9", 5)]
+    purged = dict(manifest=spark.read.parquet(f"{lake}/manifest"), metrics=spark.read.parquet(f"{lake}/metrics"), day=DAY)
+    assert purge_loaded(spark, [f"{lake}/raw/feed/reviews/{DAY}"], flows=["external_reviews"], **purged) > 0
+    assert not os.path.exists(f"{lake}/raw/feed/reviews/{DAY}")
+    assert purge_loaded(spark, [f"{lake}/pages/{DAY}"], flows=["landing"], **purged) == 3
+    # A mended day: the page is readable now, and nothing stays in quarantine.
+    land(f"{lake}/pages/{DAY}/beta/2.json", page(10))
+    assert land_feed(spark, **args).reviews == 1
+    assert spark.read.schema("app STRING, page STRING").parquet(f"{lake}/quarantine/date_load={DAY}").count() == 0
+    nothing = land_feed(spark, **{**args, "day": "2024-02-11"})
+    assert (nothing.pages, nothing.metrics.first().total_records) == (0, 0)
 
 
 def run_all(spark, lake, tables):
@@ -205,7 +241,7 @@ def test_gold_by_year(spark, lake, tables, landed):
     run_gold(spark, GOLD_FLOW, source_table=tables["unified_reviews"], table=tables["review_kpis"],
              run_day=DAY, partition_by=["review_year"])
     assert {r.review_year for r in spark.table(tables["review_kpis"]).collect()} == {"2024"}
-    assert os.path.isdir(f"{lake}/tables/review_kpis/review_year=2024")
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {tables['review_kpis']}").collect()] == ["review_year=2024"]
 
 
 def test_silver_reads_only_the_window(spark, lake, tables, landed):

@@ -5,6 +5,7 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from reviewlake import filesystem
@@ -12,12 +13,17 @@ from reviewlake.operators import output_check_metrics
 from reviewlake.plans.run import owner_of, utc_now
 from reviewlake.sinks import (
     TABLES,
+    append_manifest,
+    append_metrics,
     compact,
     create_table,
     drop_partitions,
     drop_table_partitions,
     insert_partitions,
-    purge_landing_day,
+    list_files,
+    new_run_id,
+    partition_location,
+    purge_loaded,
     retain_days,
     stamp_month,
     write_full,
@@ -210,32 +216,49 @@ def test_recreate_removes_old_rows(spark, lake, database):
 
 
 @pytest.fixture
-def scattered(spark, lake):
-    """Two partitions of eight small files each; a third of the rows holds one value."""
+def scattered(spark, lake, database):
+    """A table of two partitions of eight small files each; a third of the rows holds one value."""
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (v INT, s STRING, id BIGINT, p STRING) USING parquet "
+              f"PARTITIONED BY (p) LOCATION '{lake}/t'")
     df = spark.range(4000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.hash("id") % 1000).cast("int").alias("v"),
         F.concat(F.lit("n"), F.hash("id") % 100).alias("s"), F.col("id"),
         (F.col("id") % 2).cast("string").alias("p"))
-    write_partitions(df.repartition(8, "id"), f"{lake}/t", ["p"], rebalance=False)
-    return f"{lake}/t"
+    insert_partitions(df.repartition(8, "id"), f"{database}.t", rebalance=False)
+    return f"{database}.t"
 
 
-def test_compaction_keeps_rows_and_siblings(spark, scattered):
-    before = content(spark, scattered, ["p"])
-    sibling = sorted(parquet_files(f"{scattered}/p=1"))
-    assert compact(spark, scattered, {"p": "0"}) == 1
-    assert len(parquet_files(f"{scattered}/p=0")) == 1
-    assert sorted(parquet_files(f"{scattered}/p=1")) == sibling
-    assert content(spark, scattered, ["p"]) == before
-    assert not [n for n in os.listdir(scattered) if n.startswith("_staged")]
-    once = parquet_files(f"{scattered}/p=0")
-    assert compact(spark, scattered, {"p": "0"}) == 1
-    assert parquet_files(f"{scattered}/p=0") == once  # nothing to gain, nothing rewritten
+def files_of(spark, name, value):
+    return sorted(r[0] for r in spark.table(name).filter(F.col("p") == value).select("_metadata.file_path").distinct().collect())
 
 
-def test_compaction_does_not_shuffle(spark, scattered):
-    source = spark.read.parquet(f"{scattered}/p=0").coalesce(1)
-    assert "Exchange" not in plan_of(source)
+def test_compaction_keeps_rows_and_siblings(spark, lake, scattered):
+    before = sorted(rows(spark.table(scattered)))
+    sibling = files_of(spark, scattered, "1")
+    assert compact(spark, scattered, {"p": "0"}) == 1
+    assert len(files_of(spark, scattered, "0")) == 1 and files_of(spark, scattered, "1") == sibling
+    assert sorted(rows(spark.table(scattered))) == before
+    assert not os.path.exists(f"{lake}/t/p=0")
+    once = files_of(spark, scattered, "0")
+    assert compact(spark, scattered, {"p": "0"}) == 1
+    assert files_of(spark, scattered, "0") == once  # nothing to gain, nothing rewritten
+    # Writes find the partition where it is now, and its folder goes with it.
+    insert_partitions(spark.table(scattered).filter("p = '0'").limit(5), scattered, mode="append", static={"p": "0"})
+    assert spark.table(scattered).count() == len(before) + 5
+    insert_partitions(spark.table(scattered).filter("p = '1'").limit(3).withColumn("p", F.lit("0")), scattered)
+    assert spark.table(scattered).filter("p = '0'").count() == 3 and files_of(spark, scattered, "1") == sibling
+    folder = partition_location(spark, scattered, {"p": "0"})
+    assert drop_table_partitions(spark, scattered, "p", lambda v: v == "0") == ["0"]
+    assert not filesystem.exists(spark, folder) and spark.table(scattered).count() == 2000
+
+
+def test_compaction_does_not_shuffle(spark, scattered, monkeypatch):
+    plans = []
+    real = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (plans.append(plan_of(self._df)), real(self, *a, **k))[1])
+    compact(spark, scattered, {"p": "0"})
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Coalesce" in plans[0]
 
 
 def test_compaction_of_nothing(spark, scattered):
@@ -244,37 +267,31 @@ def test_compaction_of_nothing(spark, scattered):
         compact(spark, scattered)
 
 
-def test_interrupted_swap_is_repaired(spark, scattered):
-    before = content(spark, scattered, ["p"])
-    filesystem.move(spark, f"{scattered}/p=0", f"{scattered}/_replaced-abc-p-0")
-    assert len(content(spark, scattered, ["p"])) < len(before)
-    compact(spark, scattered, {"p": "0"})
-    assert content(spark, scattered, ["p"]) == before
+def ranges(spark, name, column):
+    part = spark.table(name).filter("p = '0'")
+    return sorted(r[1:] for r in rows(part.groupBy("_metadata.file_path").agg(F.min(column), F.max(column))))
 
 
-def ranges(spark, folder, column):
-    return sorted(tuple(spark.read.parquet(f).agg(F.min(column), F.max(column)).first())
-                  for f in parquet_files(folder))
+def size_of(spark, name):
+    return filesystem.size_in_bytes(spark, partition_location(spark, name, {"p": "0"}))
 
 
 def test_clustering_makes_ranges(spark, scattered):
-    before = content(spark, scattered, ["p"])
-    size = filesystem.size_in_bytes(spark, f"{scattered}/p=0")
+    before, size = sorted(rows(spark.table(scattered))), size_of(spark, scattered)
     compact(spark, scattered, {"p": "0"}, cluster_by=["v"], target_bytes=size // 6)
-    found = ranges(spark, f"{scattered}/p=0", "v")
+    found = ranges(spark, scattered, "v")
     assert len(found) > 3
     assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
     # The value that fills a third of the rows is not confined to one file.
     assert sum(low <= 7 <= high for low, high in found) > 1
-    assert content(spark, scattered, ["p"]) == before
+    assert sorted(rows(spark.table(scattered))) == before
 
 
 def test_clustering_by_two_columns(spark, scattered):
-    before = content(spark, scattered, ["p"])
-    size = filesystem.size_in_bytes(spark, f"{scattered}/p=0")
+    before, size = sorted(rows(spark.table(scattered))), size_of(spark, scattered)
     compact(spark, scattered, {"p": "0"}, cluster_by=["id", "s"], target_bytes=size // 8)
-    assert content(spark, scattered, ["p"]) == before
-    spread = [b - a for a, b in ranges(spark, f"{scattered}/p=0", "id")]
+    assert sorted(rows(spark.table(scattered))) == before
+    spread = [b - a for a, b in ranges(spark, scattered, "id")]
     assert sum(spread) / len(spread) < 3500  # files cover parts of the range, not all of it
 
 
@@ -300,36 +317,86 @@ def test_zorder_key_ranks_whole_values(spark):
     assert df.select(zorder_key(df, ["s", "n", "a", "b", "c", "d"]).alias("k")).distinct().count() > 100
 
 
-@pytest.mark.parametrize("moment", ["before the swap", "in the swap"])
-def test_compaction_loses_no_rows_added_meanwhile(spark, lake, monkeypatch, moment):
-    df = spark.range(1000, numPartitions=8)
-    df.write.parquet(f"{lake}/t")
-    moves = []
-    real_move, real_exists = filesystem.move, filesystem.file_lengths
+def test_zorder_key_of_repeated_values(spark):
+    """Each pair of few values has a key of its own, however the values hash."""
+    for x, y in ((3, 7), (7, 12)):
+        df = spark.range(5000).selectExpr(f"id % {x} AS n", f"concat('text ', id % {y}) AS s", "id")
+        assert df.select(zorder_key(df, ["n", "s"]).alias("k")).distinct().count() == x * y
+
+
+MOMENTS = {"before the write": ("write", 0), "after the write": ("list", 2), "before the pointer": ("point", 0),
+           "after the pointer": ("pointed", 0), "in the last look": ("list", 3)}
 
-    def add():
+
+@pytest.mark.parametrize("moment", MOMENTS)
+def test_compaction_loses_no_rows_added_meanwhile(spark, lake, database, monkeypatch, moment):
+    """A writer between any two steps: its rows are kept, whether the rewrite ends or gives up."""
+    from reviewlake.sinks import maintenance
+
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id BIGINT) USING parquet LOCATION '{lake}/t'")
+    spark.range(1000, numPartitions=8).write.mode("append").insertInto(f"{database}.t")
+    step, number = MOMENTS[moment]
+    listing, pointing, arranging = maintenance._data_files, maintenance._point_to, maintenance.version_folder
+    looks = []
+
+    def add():  # by a writer that knows the old folder
         spark.range(1000, 1100, numPartitions=1).write.mode("append").parquet(f"{lake}/t")
 
-    def listing(session, path):
-        moves.append("list")
-        if moment == "before the swap" and moves.count("list") == 2:
+    def list_files(session, folder):
+        looks.append(folder)
+        if step == "list" and len(looks) == number:
+            add()
+        return listing(session, folder)
+
+    def point(session, table, partition, folder):
+        if step == "point":
+            add()
+        pointing(session, table, partition, folder)
+        if step == "pointed":
             add()
-        return real_exists(session, path)
 
-    def move(session, source, target):
-        if moment == "in the swap" and source.endswith("/t"):
+    def arrange(*args):
+        if step == "write":
             add()
-        return real_move(session, source, target)
+        return arranging(*args)
 
-    monkeypatch.setattr(filesystem, "file_lengths", listing)
-    monkeypatch.setattr(filesystem, "move", move)
-    if moment == "before the swap":
+    monkeypatch.setattr(maintenance, "_data_files", list_files)
+    monkeypatch.setattr(maintenance, "_point_to", point)
+    monkeypatch.setattr(maintenance, "version_folder", arrange)
+    if moment in ("before the write", "after the write"):
         with pytest.raises(RuntimeError, match="changed"):
-            compact(spark, f"{lake}/t")
+            compact(spark, f"{database}.t")
     else:
-        assert compact(spark, f"{lake}/t") == 1
-    assert sorted(r[0] for r in spark.read.parquet(f"{lake}/t").collect()) == list(range(1100))
-    assert not [n for n in os.listdir(lake) if n.startswith("_")]
+        assert compact(spark, f"{database}.t") == 1
+    spark.catalog.refreshTable(f"{database}.t")
+    assert sorted(r[0] for r in spark.table(f"{database}.t").collect()) == list(range(1100))
+
+
+def test_a_partition_replaced_during_compaction_stays_replaced(spark, lake, scattered, monkeypatch):
+    from reviewlake.sinks import maintenance
+
+    pointing, done = maintenance._point_to, []
+
+    def point(session, table, partition, folder):
+        if not done:
+            done.append(spark.createDataFrame([(1, "new", 5)], "v INT, s STRING, id BIGINT").write.mode("overwrite").parquet(f"{lake}/t/p=0"))
+        pointing(session, table, partition, folder)
+
+    monkeypatch.setattr(maintenance, "_point_to", point)
+    with pytest.raises(RuntimeError, match="replaced"):
+        compact(spark, scattered, {"p": "0"})
+    spark.catalog.refreshTable(scattered)
+    assert rows(spark.table(scattered).filter("p = '0'")) == [(1, "new", 5, "0")]
+
+
+def test_a_move_does_not_nest(spark, lake):
+    for name in "ab":
+        os.makedirs(f"{lake}/{name}")
+    with pytest.raises(FileExistsError):
+        filesystem.move(spark, f"{lake}/a", f"{lake}/b")
+    filesystem.move(spark, f"{lake}/a", f"{lake}/c")
+    assert sorted(os.listdir(lake)) == ["b", "c"]
 
 
 def test_inner_and_escaped_partitions_are_dropped(spark, lake, database):
@@ -338,7 +405,7 @@ def test_inner_and_escaped_partitions_are_dropped(spark, lake, database):
               f"PARTITIONED BY (day, app) LOCATION '{lake}/t'")
     data = spark.createDataFrame([(1, "d:1", "a'b"), (2, "d:1", "c"), (3, "d2", "a'b")], "id INT, day STRING, app STRING")
     insert_partitions(data, f"{database}.t")
-    assert compact(spark, f"{lake}/t", {"day": "d:1", "app": "c"}) == 1
+    assert compact(spark, f"{database}.t", {"day": "d:1", "app": "c"}) == 1
     assert drop_table_partitions(spark, f"{database}.t", "app", lambda v: v == "a'b") == ["a'b"]
     spark.sql(f"MSCK REPAIR TABLE {database}.t")
     assert [r.id for r in spark.table(f"{database}.t").collect()] == [2]
@@ -378,19 +445,38 @@ def test_table_partitions_are_dropped_with_their_files(spark, lake, database):
     assert os.listdir(f"{lake}/t").count("date_load=d1") == 0
 
 
-def test_purge_needs_a_finished_run(spark, lake):
-    os.makedirs(f"{lake}/d1/app")
-    done = output_check_metrics(spark.range(0).agg(F.count("*").alias("total_records")),
-                                owner_of("d", "p", "bronze", "raw"), "app", utc_now(), utc_now())
-    done = done.withColumn("run_day", F.lit("d1"))
-    for refused in ({"metrics": done.filter("false"), "day": "d1", "flows": ["app"]},
-                    {"metrics": done, "day": "d1", "flows": ["app", "other"]},
-                    {"metrics": done, "day": "d2", "flows": ["app"]},
-                    {"metrics": done, "day": "d1", "flows": ["app"], "run": F.col("total_records") < 0}):
-        with pytest.raises(RuntimeError, match="kept"):
-            purge_landing_day(spark, [f"{lake}/d1"], **refused)
-    with pytest.raises(ValueError, match="flows"):
-        purge_landing_day(spark, [f"{lake}/d1"], metrics=done)
-    assert purge_landing_day(spark, [f"{lake}/d1/app", f"{lake}/d1", f"{lake}/d2"], metrics=done,
-                             day="d1", flows=["app"]) == [f"{lake}/d1/app", f"{lake}/d1"]
-    assert not os.path.exists(f"{lake}/d1")
+def test_purge_takes_what_finished_runs_have_read(spark, lake):
+    day, manifest, metrics = f"{lake}/raw/d1", f"{lake}/manifest", f"{lake}/metrics"
+    for app in "abc":
+        os.makedirs(f"{day}/{app}/deep")
+        for name in ("1.json", "deep/2 x.json", "_SUCCESS"):
+            with open(f"{day}/{app}/{name}", "w") as file:
+                file.write(app)
+
+    def run(app, flow="app", record=True, run_day="d1"):
+        run_id = new_run_id()
+        append_manifest(list_files(spark, [f"{day}/{app}"]), manifest, run_id)
+        if record:
+            rows_ = spark.range(0).agg(F.count("*").alias("total_records"))
+            append_metrics(output_check_metrics(rows_, owner_of("d", "p", "bronze", "raw"), flow, utc_now(), utc_now())
+                           .withColumn("run_day", F.lit(run_day)), metrics, run_id)
+
+    def purge(**chosen):
+        return purge_loaded(spark, [day, f"{lake}/nowhere"], manifest=spark.read.parquet(manifest),
+                            metrics=spark.read.parquet(metrics), **chosen)
+
+    run("a")
+    run("b", record=False)  # failed
+    run("nothing")  # a record of no rows
+    run("c", flow="other", run_day="d2")
+    with open(f"{day}/a/late.json", "w") as file:
+        file.write("late")
+    os.utime(f"{day}/a/1.json", (1, 1))  # written again since
+    assert purge(day="d1", flows=["other"]) == 0
+    assert purge(day="d1", flows=["app"]) == 1
+    left = {os.path.relpath(f, day) for f in glob.glob(f"{day}/**/*.json", recursive=True)}
+    assert left == {"a/1.json", "a/late.json", "b/1.json", "b/deep/2 x.json", "c/1.json", "c/deep/2 x.json"}
+    assert not os.path.exists(f"{day}/a/deep")
+    run("a")
+    assert purge() == 4
+    assert sorted(os.listdir(day)) == ["b"]
