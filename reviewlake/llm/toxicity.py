@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from reviewlake.llm.tokens import Texts, mixed, slices, space_table, split, word
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 16, 8, 4
 # While training: windows a batch, and windows of a text among which the network looks for the worst.
 BATCH, TRIED = 192, 4
+# Windows whose words are looked up together.
+SCORED = 2048
 TABLE_BITS = 20
 GRAMS = (4, 5, 6)
 _LETTERS = space_table(lower=True, punctuation=True)
@@ -66,17 +69,17 @@ def read(texts: Texts) -> Read:
     data = np.where(within == 0, 0x20, words.data[np.maximum(source, 0)]).astype(np.uint64)
     left = np.repeat(size, size) - within
     found, owner = [], []
-    of_byte = np.repeat(np.arange(len(size)), size)
+    of_byte = np.repeat(np.arange(len(size), dtype=np.int32), size)
     for n in GRAMS:
         at = np.flatnonzero(left >= n)
         value = np.full(len(at), n, np.uint64)
         for j in range(n):
             value = value * np.uint64(0x100000001B3) + data[at + j]
-        found.append(_slot(mixed(value)))
+        found.append(_slot(mixed(value)).astype(np.int32))
         owner.append(of_byte[at])
     owner, slots = np.concatenate(owner), np.concatenate(found)
     order = np.argsort(owner, kind="stable")
-    return Read(words.of, token, hashes, slots[order], np.searchsorted(owner[order], np.arange(len(size) + 1)))
+    return Read(words.of, token.astype(np.int32), hashes, slots[order], np.searchsorted(owner[order], np.arange(len(size) + 1)))
 
 
 def spread(begins: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -89,7 +92,7 @@ def joined(parts: list[Read]) -> Read:
     """Several reads as one."""
     hashes, first, place = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
     shift = np.cumsum([0] + [len(p.hashes) for p in parts])
-    token = np.concatenate([place[p.token + shift[i]] for i, p in enumerate(parts)])
+    token = np.concatenate([place[p.token + shift[i]].astype(np.int32) for i, p in enumerate(parts)])
     numbers = np.concatenate([np.diff(p.grams_of) for p in parts])
     begins = (np.cumsum(numbers) - numbers)[first]
     slots = np.concatenate([p.gram_slots for p in parts])[spread(begins, numbers[first])]
@@ -111,21 +114,33 @@ def inputs_of(seen: Read, word_table: np.ndarray, gram_table: np.ndarray) -> np.
     return out
 
 
-def windows_of(seen: Read) -> tuple[np.ndarray, np.ndarray]:
-    """For each window the indices of its words (-1 beyond the end), and each text's first window."""
-    counts = seen.counts()
-    per_text = np.maximum(1, -(-(counts - (WINDOW - STRIDE)) // STRIDE))
-    first = np.cumsum(per_text) - per_text
-    text = np.repeat(np.arange(len(counts)), per_text)
-    start = (np.arange(len(text)) - first[text]) * STRIDE
-    at = start[:, None] + np.arange(WINDOW)
-    return np.where(at < counts[text][:, None], at + seen.of[:-1][text][:, None], -1), np.append(first, len(text))
+def windows_of(seen: Read) -> np.ndarray:
+    """Each text's first window, and the number of windows; a text has one at least."""
+    per_text = np.maximum(1, -(-(seen.counts() - (WINDOW - STRIDE)) // STRIDE))
+    return np.append(0, np.cumsum(per_text))
+
+
+def words_in(seen: Read, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """The distinct words of some windows in turn, -1 beyond a text's end."""
+    text = np.searchsorted(first, windows, "right") - 1
+    place = ((windows - first[text]) * STRIDE)[:, None] + np.arange(WINDOW)
+    inside = place < seen.counts()[text][:, None]
+    token = np.append(seen.token, 0)
+    return np.where(inside, token[np.where(inside, place + seen.of[text][:, None], -1)], -1).astype(np.int32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _own(inputs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The inputs of the words that stand in the windows alone, and the windows by their places among them."""
+    if len(inputs) <= at.size:
+        return inputs, at
+    words = np.unique(at[at >= 0])
+    return inputs[words], np.where(at < 0, -1, np.searchsorted(words, at))
+
+
 class Network:
     """Parameters and both passes; arrays are steps x windows x units."""
 
@@ -145,6 +160,7 @@ class Network:
     def forward(self, inputs: np.ndarray, at: np.ndarray, keep: bool = False):
         """Logits of windows; ``inputs`` by distinct word, ``at``: windows x steps, -1 for none."""
         h, (n, steps) = HIDDEN, at.shape
+        inputs, at = _own(inputs, at)
         mask = (at >= 0).T
         states, kept = np.zeros((steps, n, 2 * h), np.float32), {}
         for d in (0, 1):
@@ -169,7 +185,7 @@ class Network:
         return (logit, states, weight, pooled, kept, mask) if keep else logit
 
     def gradients(self, inputs: np.ndarray, at: np.ndarray, label: np.ndarray, importance: np.ndarray):
-        h = HIDDEN
+        h, (inputs, at) = HIDDEN, _own(inputs, at)
         logit, states, weight, pooled, kept, mask = self.forward(inputs, at, keep=True)
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         d_logit = ((_sigmoid(logit) - label) * importance / importance.sum()).astype(np.float32)
@@ -206,26 +222,20 @@ class ToxicityModel:
     gram_table: np.ndarray | None = None
     network: Network | None = field(default=None)
 
-    def window_logits(self, seen: Read, inputs: np.ndarray, at: np.ndarray) -> np.ndarray:
-        token = np.append(seen.token, len(inputs))
-        return np.concatenate([self.network.forward(inputs, token_at(token, at[i:i + 2048]))
-                               for i in range(0, len(at), 2048)])
+    def window_logits(self, seen: Read, inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.network.forward(inputs, words_in(seen, first, np.arange(i, min(i + SCORED, first[-1]))))
+                               for i in range(0, int(first[-1]), SCORED)])
 
     def scores(self, texts: Texts) -> np.ndarray:
         if self.network is None or not len(texts):
             return np.full(len(texts), self.base)
         seen = read(texts)
-        at, first = windows_of(seen)
-        logits = self.window_logits(seen, inputs_of(seen, self.word_table, self.gram_table), at)
+        first = windows_of(seen)
+        logits = self.window_logits(seen, inputs_of(seen, self.word_table, self.gram_table), first)
         worst = np.maximum.reduceat(logits, first[:-1]).astype(np.float64)
         return _sigmoid(worst * self.network.scale + self.network.shift)
 
 
-def token_at(token: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Distinct words of windows; -1 where there is none."""
-    return np.where(at < 0, -1, token[at])
-
-
 def _rates(seen: Read, label: np.ndarray, rows: np.ndarray, prior: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of toxicity by word and by character sequence, from the given texts."""
     rate, slots = max(1e-3, float(label[rows].mean())), 1 << TABLE_BITS
@@ -259,43 +269,50 @@ def train(texts: pa.Array, labels: np.ndarray, epochs: int = 6, seed: int = 3) -
     clean text besides.
     """
     # Copies would count as evidence for every rare word in them.
-    once = sorted({x: i for i, x in enumerate(texts.to_pylist())}.values())
+    once = sorted({blake2b((x.as_py() or "").encode(), digest_size=16).digest(): i for i, x in enumerate(texts)}.values())
     texts, label = texts.take(pa.array(once, pa.int64())), np.asarray(labels, np.float64)[once]
     if not len(label) or label.min() == label.max():
         return ToxicityModel(float(label.mean()) if len(label) else 0.0)
     seen, random = joined([read(some) for _, _, some in slices(texts)]), np.random.default_rng(seed)
     half = random.random(len(label)) < 0.5
-    at, first = windows_of(seen)
-    crossed = [inputs_of(seen, *_rates(seen, label, rows)) for rows in (half, ~half)]
+    first = windows_of(seen)
     # Texts of either half see the other half's tables: two lists of distinct words on end.
-    inputs, words = np.vstack(crossed), len(seen.word_slots)
-    in_half = np.repeat(half, np.diff(first))
+    inputs, words = np.vstack([inputs_of(seen, *_rates(seen, label, rows)) for rows in (half, ~half)]), len(seen.hashes)
     model = ToxicityModel(float(label.mean()), network=Network(seed))
-    net, token = model.network, np.append(seen.token, 0)
-    words_at = np.where(at < 0, -1, token[at] + np.where(in_half, words, 0)[:, None])
+    net = model.network
+
+    def learnt(windows: np.ndarray) -> np.ndarray:
+        at, text = words_in(seen, first, windows), np.searchsorted(first, windows, "right") - 1
+        return np.where(at < 0, -1, at + np.where(half[text], words, 0)[:, None].astype(np.int32))
+
     importance = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean()))
     moments, step = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}, 0
-    guess = np.where(words_at < 0, -9, inputs[words_at, 0] + inputs[words_at, 1]).max(1)
-    text = np.repeat(np.arange(len(label)), np.diff(first))
+    # Of all windows only a guess is held; their words are looked up some at a time.
+    call, guess = inputs[:, 0] + inputs[:, 1], np.empty(int(first[-1]), np.float32)
+    for i in range(0, len(guess), SCORED):
+        at = learnt(np.arange(i, min(i + SCORED, len(guess))))
+        guess[i:i + len(at)] = np.where(at < 0, -9, call[at]).max(1)
+    text = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(first))
     order = np.lexsort((-guess, text))
     few = np.sort(order[np.arange(len(text)) - first[:-1][text] < TRIED])
     few_first = np.searchsorted(text[few], np.arange(len(label) + 1))
-    peak, clean = guess[few], np.flatnonzero(label == 0)
+    peak, few_at, clean = guess[few], learnt(few), np.flatnonzero(label == 0)
+    del guess, text, order, call
     for _ in range(epochs):
         other = (first[:-1] + random.random(len(label)) * np.diff(first)).astype(np.int64)
         rows = np.concatenate([np.arange(len(label)), clean])
-        chosen = np.concatenate([few[_worst(peak, few_first)], other[clean]])
+        chosen = np.concatenate([few_at[_worst(peak, few_first)], learnt(other[clean])])
         order = random.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             part = order[i:i + BATCH]
-            g = net.gradients(inputs, words_at[chosen[part]], label[rows[part]], importance[rows[part]])
+            g = net.gradients(inputs, chosen[part], label[rows[part]], importance[rows[part]])
             step += 1
             for k, v in net.p.items():
                 m1, m2 = moments[k]
                 m1 += 0.1 * (g[k] - m1)
                 m2 += 0.01 * (g[k] * g[k] - m2)
                 v -= 0.005 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.99 ** step)) + 1e-6)
-        peak = np.concatenate([net.forward(inputs, words_at[few[i:i + 2048]]) for i in range(0, len(few), 2048)])
+        peak = np.concatenate([net.forward(inputs, few_at[i:i + SCORED]) for i in range(0, len(few), SCORED)])
     _calibrate(net, peak[_worst(peak, few_first)].astype(np.float64), label)
     model.word_table, model.gram_table = _rates(seen, label, np.ones(len(label), bool))
     return model
@@ -327,9 +344,13 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit_toxicity(documents: DataFrame, labels: DataFrame, sample: int = 5_000, seed: int = 3) -> ToxicityModel:
-    """A model from at most ``sample`` labelled texts that are not held out, chosen by a hash of the id.
+def fit_toxicity(
+    documents: DataFrame, labels: DataFrame, sample: int = 5_000, sample_bytes: int = 1 << 24, seed: int = 3
+) -> ToxicityModel:
+    """A model from at most ``sample`` labelled texts that are not held out and ``sample_bytes`` of text.
 
+    Texts are taken in the order of a hash of the id, each if it still fits; equal texts count once. Only
+    ids, sizes and hashes of at most ``sample`` rows are looked at to choose them; no text is cut.
     Null labels and labels of unknown documents are left out; of repeated ids any text may be taken.
     """
     place = F.xxhash64(F.col("doc_id"), F.lit(seed))
@@ -337,10 +358,22 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample: int = 5_000, s
         labels.select("doc_id", "toxic").filter("doc_id is not null and toxic in (0, 1)")
         .filter(~held_out(F.col("doc_id"))).distinct().orderBy(place, "toxic").limit(sample),
         "toxicity-sample")
-    # The sample is bounded by the parameter, so it may be broadcast.
-    rows = (documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .orderBy(place, "toxic", "text").limit(sample).select("text", "toxic").toArrow())
-    return train(rows["text"].combine_chunks().cast(pa.string()), rows["toxic"].to_numpy(), seed=seed)
+    text = F.coalesce("text", F.lit(""))
+    known = documents.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), text).alias("h2"))
+    # The sample is bounded by the parameters, so it may be broadcast.
+    sized = (known.select("doc_id", "h1", "h2", F.octet_length("text").alias("bytes")).join(F.broadcast(chosen), "doc_id")
+             .orderBy(place, "toxic", "h1", "h2").limit(sample))
+    taken, used, left = [], set(), sample_bytes
+    for row in sized.collect():
+        if (row["h1"], row["h2"]) not in used and row["bytes"] <= left:
+            left -= row["bytes"]
+            used.add((row["h1"], row["h2"]))
+            taken.append((row["doc_id"], row["h1"], row["h2"], row["toxic"], len(taken)))
+    few = documents.sparkSession.createDataFrame(taken, "doc_id long, h1 long, h2 long, toxic int, at int")
+    # The first of equal rows: so many rows come back as were taken.
+    found = known.join(F.broadcast(few), ["doc_id", "h1", "h2"]).groupBy("at").agg(
+        F.first("text").alias("text"), F.first("toxic").alias("toxic")).toArrow().sort_by("at")
+    return train(found["text"].combine_chunks().cast(pa.string()), found["toxic"].to_numpy(), seed=seed)
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
