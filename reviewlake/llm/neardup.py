@@ -281,14 +281,26 @@ def near_duplicates(documents: DataFrame, percent: int = 85, slack: float = 0.16
 def one_of_each(documents: DataFrame, percent: int = 85) -> DataFrame:
     """One document of every group of near copies: a row of the smallest doc_id, whole as it was.
 
-    Of rows that share that id the one with the least text stays. Rows without a doc_id all stay.
+    - A document is a doc_id with its text. Where rows with different texts share a doc_id, each text is
+      a document of its own: those that are no near copies of each other all stay, and of near copies
+      one does, that of a doc_id with one text first.
+    - Of rows equal in id and text one stays. Rows without a doc_id all stay.
+    - Null, empty and blank texts are near copies of nothing and stay. An empty table gives an empty result.
     """
-    found = near_duplicates(documents, percent)
-    kept = cut(found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
-    named = documents.select(F.struct("*").alias("row"), "doc_id", "text").join(
-        kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    text = F.coalesce("text", F.lit(""))
+    several = documents.filter("doc_id is not null").select("doc_id", F.xxhash64(text).alias("h")).groupBy("doc_id").agg(
+        F.min("h").alias("low"), F.max("h").alias("high")).filter("low != high")
+    shared = cut(several.select(F.col("doc_id").alias("shared_id")), "shared-ids")
+    # Ids of their own, above those that documents have.
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", text), 2) + F.lit(1 << 62)
+    named = documents.filter("doc_id is not null").select(F.struct("*").alias("row"), "doc_id", "text").join(
+        shared, F.col("doc_id") == F.col("shared_id"), "left").select(
+        "row", "text", F.when(F.col("shared_id").isNull(), F.col("doc_id").cast("long")).otherwise(own).alias("doc_id"))
+    found = near_duplicates(named, percent)
+    kept = cut(found.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
-    return named.withColumn("place", place).filter("place = 1").select("row.*").union(documents.filter("doc_id is null"))
+    whole = named.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").withColumn("place", place)
+    return whole.filter("place = 1").select("row.*").union(documents.filter("doc_id is null"))
 
 
 ORACLE = r"""
