@@ -11,7 +11,6 @@ the encodings of recent words in a cache of fixed size.
 from __future__ import annotations
 
 import json
-import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from reviewlake.llm.common import registered, row_but, table
 
@@ -75,17 +75,22 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = regex.compile("|".join(regex.escape(s) for s in self.special) or r"(?!)")
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.library = Tokenizer.from_file(path)
+        # The pattern's classes for characters of which every Unicode version says the same; for all others
+        # the library's own normaliser and split are asked.
+        self.plain = regex.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
         self.word_pattern = regex.compile(pattern.replace(r"\s", SPACE))
         # Pairs of ids in one number; what a merge makes is listed by rank.
         self.ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
         self.made = [vocab[a + b] for a, b in model["merges"]]
         letters = byte_letters()
+        self.byte_of = {letter: i for i, letter in enumerate(letters)}
         self.inner, self.last = [vocab[c] for c in letters], [vocab[c + self.end] for c in letters]
         self.words, self.chunks = Recent(words, self.merged), Recent(chunks, self.chunk)
 
-    def merged(self, word: str) -> list[int]:
-        """The ids of one word."""
-        data = word.encode("utf-8", "surrogatepass")
+    def merged(self, word: str | bytes) -> list[int]:
+        """The ids of one word, or of its bytes."""
+        data = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")
         inner, ranks, made = self.inner, self.ranks.get, self.made
         ids = [inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
@@ -121,10 +126,11 @@ class WordBpe:
 
     def chunk(self, text: str) -> tuple[bytes, str]:
         """Ids, as 32-bit numbers on end, and decoded text of what stands between white space."""
-        plain = text if text.isascii() else unicodedata.normalize("NFC", text)
-        # Lower case letter by letter: no final form at the end of a word.
-        plain = plain.replace("Σ", "σ").lower()
-        if plain.isalpha():
+        if not self.plain.fullmatch(text):
+            byte_of, words = self.byte_of, self.words
+            split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            ids = [i for spelt, _ in split for i in words[bytes([byte_of[c] for c in spelt])]]
+        elif (plain := text.lower()).isalpha():
             ids = self.words[plain]
         else:
             ids = [i for word in self.word_pattern.findall(plain) for i in self.words[word]]
