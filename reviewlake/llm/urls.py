@@ -92,16 +92,15 @@ def _with_suffix(df: DataFrame, rates: DataFrame) -> DataFrame:
 def train_url_model(
     labelled: DataFrame, rates: DataFrame, sample: int = 20_000, trees: int = 12, depth: int = 4, seed: int = 5
 ) -> GBTClassificationModel | None:
-    """Boosted trees on about ``sample`` labelled URLs (all, if fewer), chosen by a hash of the URL.
+    """Boosted trees on ``sample`` different labelled URLs (all, if fewer), the first by a hash of the URL.
 
-    ``labelled`` has the features, ``suffix``, ``url`` and ``label`` (1: block). None if only one class
-    is there.
+    ``labelled`` has the features, ``suffix``, ``url`` and ``label`` (1: block). A URL counts once, however
+    often it is repeated, so the sample has at most ``sample`` rows. None if it holds one class only.
     """
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    if len(counts) < 2:
+    # The label and features of a URL depend on it alone.
+    chosen = cut(labelled.dropDuplicates(["url"]).orderBy(F.xxhash64("url"), "url").limit(sample), "url-sample")
+    if len(chosen.select("label").distinct().collect()) < 2:
         return None
-    share = min(1.0, sample / sum(counts.values()))
-    chosen = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
     train = cut(VectorAssembler(inputCols=list(FEATURES), outputCol="features")
                 .transform(_with_suffix(chosen, rates)).select("features", "label"), "url-train")
     return GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth,
