@@ -201,14 +201,7 @@ d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHI
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 e AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS i FROM d),
 h AS (SELECT * FROM e WHERE w IN (SELECT w FROM tw)),
-f AS (SELECT v.w, row_number() OVER (ORDER BY count(DISTINCT doc_id), v.w) AS r
-      FROM (SELECT DISTINCT w FROM tw) v LEFT JOIN h ON h.w = v.w GROUP BY v.w),
-rare AS (SELECT t, w FROM (SELECT t, w, row_number() OVER (PARTITION BY t ORDER BY r) AS k
-         FROM (SELECT DISTINCT t, w FROM tw WHERE t >= {len(base)}) JOIN f USING (w)) WHERE k <= 3),
-top AS (SELECT doc_id, w FROM (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY r) AS k
-        FROM (SELECT DISTINCT doc_id, w, r FROM h JOIN f USING (w) WHERE w IN (SELECT w FROM rare))) WHERE k <= 16),
-c AS (SELECT DISTINCT h.doc_id, tw.t, tw.label, tw.n, h.i - tw.p AS s FROM h JOIN tw USING (w)
-      WHERE h.i >= tw.p AND (tw.t < {len(base)} OR ((h.doc_id, h.w) IN (SELECT (doc_id, w) FROM top) AND (tw.t, tw.w) IN (SELECT (t, w) FROM rare)))),
+c AS (SELECT DISTINCT h.doc_id, tw.t, tw.label, tw.n, h.i - tw.p AS s FROM h JOIN tw USING (w) WHERE tw.key),
 m AS (SELECT c.doc_id, c.t, c.label, c.s, count(*) / any_value(c.n) AS aligned,
              count(*) FILTER (WHERE tw.key) = (SELECT count(*) FROM tw x WHERE x.t = c.t AND x.key) AS keyed
       FROM c JOIN tw ON tw.t = c.t JOIN h ON h.doc_id = c.doc_id AND h.i = c.s + tw.p AND h.w = tw.w
