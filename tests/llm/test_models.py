@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from reviewlake.llm.nearest import nearest
 from reviewlake.llm.products import near_duplicate_vectors
@@ -119,6 +120,30 @@ def test_urls_of_odd_rows(spark):
     assert {r["judged"]["verdict"] for r in alone if not r["url"]} == {"allow"}
 
 
+def test_a_url_counts_once_however_often_it_is_repeated(spark):
+    """Were the rows sampled, a sample of twenty would hold one URL only."""
+    often = spark.range(100_000).select(F.lit("http://www.example.com/en/1").alias("url"))
+    some = spark.range(40).selectExpr("concat('http://', if(id % 2 = 0, 'a.com/', 'b.net/es/'), id) AS url")
+    judged = filter_urls(often.union(some).union(spark.sql("SELECT 'http://c.org/es/1' AS url")), sample=20)
+    told = {r["url"]: (r["judged"]["rule"], r["judged"]["verdict"]) for r in judged.distinct().collect()}
+    assert len(told) == 42 and judged.count() == 100_041
+    assert told["http://www.example.com/en/1"] == ("www.example.com/en/", "allow") and told["http://c.org/es/1"][0] is None
+
+
+def test_sample_of_texts_is_bounded_in_bytes(spark, monkeypatch):
+    from reviewlake.llm import toxicity
+
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, seed: seen.append((texts, labels)) or toxicity.ToxicityModel(0.5))
+    rows = [(i, f"text {i} " * (20_000 if i % 5 == 0 else 1)) for i in range(60)] + [(7, "same id"), (61, "text 1 ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(62)], "doc_id long, toxic int")
+    toxicity.fit_toxicity(docs, labels, sample_bytes=400_000)
+    texts, known = seen[0][0].to_pylist(), seen[0][1]
+    assert len(texts) == len(known) == len(set(texts)) and sum(map(len, texts)) <= 400_000
+    assert any(len(t) > 10_000 for t in texts) and sum(len(t) < 10_000 for t in texts) > 25
+
+
 def test_trees_learn_lexical_features(spark):
     rows = [(i, f"http://h{i}.org/{'x' * (30 if i % 2 else 3)}/{i}?a=1") for i in range(600)]
     rules = tuple((f"h{i}.org", "/", "block" if i % 2 else "allow") for i in range(200))
