@@ -12,6 +12,7 @@ from reviewlake.checks import adapters as a
 from reviewlake.checks.registry import checked
 from reviewlake.checks.scans import FEED_COLUMNS, feed_entry
 from reviewlake.checks.writes import scratch_database
+from reviewlake.config import Rule
 from reviewlake.plans import land_feed, run_bronze, run_gold, run_silver
 from reviewlake.plans.landing import APP_KEY
 from reviewlake.sinks import TABLES, create_table, export_documents, insert_partitions
@@ -113,8 +114,26 @@ def bronze_internal(spark: SparkSession, sf_dir: str) -> DataFrame:
         {c: a.stamp(c) for c in ("submission_date", "ingestion_ts")})
 
 
+@checked("bronze_evolved", f"""
+WITH {a.INTERNAL_SQL}
+SELECT client_identification, service_type, CASE WHEN day = '2024-02-11' THEN source_user_agent END AS source_user_agent,
+       day AS date_load FROM feedback, (VALUES ('2024-02-10'), ('2024-02-11')) d(day)""")
+def bronze_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flow that gains a column: the table gains it too, and the rows of the day before have NULL there."""
+    database, root = scratch_database(spark)
+    documents, days = a.internal_documents(spark, sf_dir).drop("date_load"), (a.RUN_DAY, "2024-02-11")
+    export_documents(documents, f"{root}/landing/internal/reviews/{days[0]}")
+    export_documents(documents, f"{root}/landing/internal/reviews/{days[1]}")
+    before = replace(TABLES["internal_reviews"], columns=[c for c in TABLES["internal_reviews"].columns if c[0] != "source_user_agent"])
+    name = create_table(spark, database, "internal_reviews", before, f"{root}/internal_reviews")
+    evolving = replace(a.INTERNAL_FLOW, rules=(*a.INTERNAL_FLOW.rules, Rule("evolution_mergeschema", "true")))
+    for flow, day in ((a.INTERNAL_FLOW, days[0]), (evolving, days[1])):
+        run_bronze(spark, flow, landing_root=f"{root}/landing", day=day, table=name, missing="null", run_ts=RUN_TS)
+    return spark.table(name).select("client_identification", "service_type", "source_user_agent", "date_load")
+
+
 @checked("gold_flow", ",".join([
-    f"WITH {a.UNIFIED_SQL}", a.deduplicated_sql("unified", "kept"),
+    f"WITH {a.UNIFIED_SQL}", a.recent_sql("unified", "recent"), a.deduplicated_sql("recent", "kept"),
     "rated AS (SELECT * FROM kept WHERE review_rating BETWEEN 1 AND 5)",
     a.cleaned_sql("rated", "silver", "202402"),
 ]) + a.kpi_sql("silver"))
@@ -122,12 +141,12 @@ def gold_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze tables through the silver snapshot to the indicator table."""
     database, root = scratch_database(spark)
     names = {label: create_table(spark, database, label, TABLES[label], f"{root}/{label}")
-             for label in ("external_reviews", "internal_reviews", "unified_reviews")}
+             for label in ("external_reviews", "internal_reviews", "unified_reviews", "review_kpis")}
     insert_partitions(a.external_reviews(spark, sf_dir), names["external_reviews"])
     insert_partitions(a.internal_reviews(spark, sf_dir), names["internal_reviews"])
     run_silver(spark, a.SILVER_FLOW, external_table=names["external_reviews"],
                internal_table=names["internal_reviews"], table=names["unified_reviews"],
                run_day=a.RUN_DAY, metrics_path=f"{root}/metrics")
     run_gold(spark, a.GOLD_FLOW, source_table=names["unified_reviews"],
-             table=f"{database}.review_kpis", run_day=a.RUN_DAY, metrics_path=f"{root}/metrics")
-    return spark.table(f"{database}.review_kpis")
+             table=names["review_kpis"], run_day=a.RUN_DAY, metrics_path=f"{root}/metrics")
+    return spark.table(names["review_kpis"])

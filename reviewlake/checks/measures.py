@@ -267,7 +267,7 @@ def gold_sentiment_kpis_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SILVER_SQL = ",".join([
-    a.UNIFIED_SQL, a.deduplicated_sql("unified", "kept"),
+    a.UNIFIED_SQL, a.recent_sql("unified", "recent"), a.deduplicated_sql("recent", "kept"),
     "rated AS (SELECT * FROM kept WHERE review_rating BETWEEN 1 AND 5)",
     a.cleaned_sql("rated", "silver", "202402"),
 ])

@@ -11,7 +11,7 @@ from reviewlake import filesystem
 from reviewlake.checks import adapters as a
 from reviewlake.checks.registry import checked, table
 from reviewlake.session import scratch_dir
-from reviewlake.sinks import export_documents
+from reviewlake.sinks import export_documents, write_partitions
 from reviewlake.sinks.export import TIME_FORMAT
 from reviewlake.sources import (
     config_from_documents,
@@ -22,6 +22,7 @@ from reviewlake.sources import (
     latest_config,
     read_feed_pages,
     read_landing,
+    read_partitioned,
     scan_days_back,
     scan_month,
     select_tagged,
@@ -184,9 +185,23 @@ SELECT review_id, rating, strftime(o.o_orderdate, '%Y%m') AS date_load
 FROM ext JOIN orders o ON review_id = CAST(o.o_orderkey AS VARCHAR)
 WHERE strftime(o.o_orderdate, '%Y%m') = '199803'""")
 def scan_month_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of a folder partitioned by month; no file of another month is read."""
     months = a.external_reviews(spark, sf_dir).withColumn(
         "date_load", F.regexp_replace(F.substring("updated_at", 1, 7), "-", ""))
-    return scan_month(months, "1998-03-17").select("review_id", "rating", "date_load")
+    root = scratch_dir(spark, "months")
+    write_partitions(months.select("review_id", "rating", "date_load"), root)
+    return scan_month(read_partitioned(spark, root, ["date_load"]), "1998-03-17").select("review_id", "rating", "date_load")
+
+
+@checked("scan_days_pruned", f"""
+WITH {a.INTERNAL_SQL.replace('SELECT ts AS', 'SELECT event_id, ts AS')}
+SELECT event_id, feedback_rating, date_load FROM feedback WHERE date_load >= '2024-01-21'""")
+def scan_days_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last days of a folder partitioned by day; no file of an older day is read."""
+    days = a.internal_documents(spark, sf_dir).select(F.col("_id").alias("event_id"), "feedback_rating", "date_load")
+    root = scratch_dir(spark, "days")
+    write_partitions(days, root)
+    return scan_days_back(read_partitioned(spark, root, ["date_load"]), date(2024, 1, 31), 10)
 
 
 @checked("select_tagged", f"""

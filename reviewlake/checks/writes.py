@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,6 +64,33 @@ def write_day_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_partitioned(spark, root, ["date_load"])
 
 
+@checked("insert_counted", """
+SELECT count(*) AS "rows", count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS numbers, count(*) FILTER (WHERE o_orderkey % 5 <> 0) AS days,
+       count(*) FILTER (WHERE o_orderkey % 7 = 0) AS lost_numbers, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS lost_days,
+       true AS refused FROM orders""")
+def insert_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that a typed table cannot hold: refused by default, or counted for each column."""
+    database, root = scratch_database(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    name = f"{database}.typed"
+    spark.sql(f"CREATE TABLE {name} (number INT, day DATE, app STRING) USING parquet PARTITIONED BY (app) LOCATION '{root}/typed'")
+    key = F.col("o_orderkey")
+    texts = table(spark, sf_dir, "orders").select(
+        F.when(key % 7 == 0, F.lit("many")).otherwise((key % 1000).cast("string")).alias("number"),
+        F.when(key % 5 == 0, F.lit("someday")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.col("o_orderstatus").alias("app"))
+    refused = False
+    try:
+        insert_partitions(texts, name)
+    except PySparkException as error:
+        refused = "cannot hold" in str(error) and spark.table(name).isEmpty()
+    lost = insert_partitions(texts, name, on_bad="count")["lossy"]
+    return spark.table(name).agg(
+        F.count("*").alias("rows"), F.count("number").alias("numbers"), F.count("day").alias("days"),
+        F.lit(lost["number"]).cast("long").alias("lost_numbers"), F.lit(lost["day"]).cast("long").alias("lost_days"),
+        F.lit(refused).alias("refused"))
+
+
 @checked("write_month_partition", f"""
 WITH {a.UNIFIED_SQL},
 snapshots AS (

@@ -17,7 +17,7 @@ from reviewlake.operators import (
 )
 from reviewlake.operators.mapping import CONTROL_COLUMNS
 from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now, write_mode
-from reviewlake.sinks import append_manifest, compact_table, insert_partitions, list_files, new_run_id
+from reviewlake.sinks import append_manifest, compact_table, evolve_table, insert_partitions, list_files, new_run_id, own_rows
 from reviewlake.sources import (
     app_folder,
     partition_columns,
@@ -80,11 +80,13 @@ def run_bronze(
 ) -> RunResult:
     """Load one day of one flow; failures are raised, so nothing downstream mistakes them for success.
 
-    The raw files are parsed once, by the write. Quality is measured on the run's own rows in the
-    partition written, which is columnar and pruned to key and rule columns. ``overwrite`` makes a repeated run replace its
+    The raw files are parsed once, by the write. Quality is measured on the files that the run has written,
+    which are columnar and pruned to key and rule columns. ``overwrite`` makes a repeated run replace its
     own rows, ``append`` adds them again. With ``tag_app`` and no ``app`` one run loads the folders of
     all apps of the day, each row tagged with its folder.
 
+    With the rule ``evolution_mergeschema`` the table gets the columns of the configuration that it lacks; a
+    day without files is empty unless the fallback settings say ``create_empty_if_missing = false``.
     ``manifest_path`` keeps the files that the run reads, listed before it reads them: what arrives in
     between may be read, but a purge will not take it for loaded.
     """
@@ -109,22 +111,21 @@ def run_bronze(
     declared = partition_columns(spark, table)
     partition = {name: value for name, value in partition.items() if name in declared}
 
+    if config.rule_is_true("evolution_mergeschema"):
+        evolve_table(spark, table, rows.drop(TYPE_ISSUE).schema)
     seen = insert_partitions(
-        rows, table, mode=mode, static=partition,
+        rows, table, mode=mode, static=partition, run_id=run_id,
         measure={"type_issues": F.count_if(TYPE_ISSUE)} if strict_types else None,
     )
-    if compact_after:
-        compact_table(spark, table, partition, cluster_by=config.zorder_columns)
-
     # Only the rows of this run: what the partition held before is not its doing.
-    written = spark.table(table)
+    written = own_rows(spark.table(table), run_id)
     for name, value in partition.items():
         written = written.filter(F.col(name) == F.lit(value))
-    if "ingestion_ts" in written.columns:
-        written = written.filter(F.col("ingestion_ts") == F.lit(run_ts or started).cast("timestamp"))
     keys = written.select(*[c for c in config.primary_key if c in written.columns])
     summary = settled(quality_summary(written, config.primary_key, config.required_columns,
                                       type_issues_seen=int(seen.get("type_issues") or 0)), keys)
+    if compact_after:
+        compact_table(spark, table, partition, cluster_by=config.zorder_columns)
     metrics = run_metrics(summary, owner_of(domain, project, "bronze", config.source_layer),
                           config.target_table, started, utc_now())
     return finish(RunResult(table, partition, metrics), metrics_path, day,

@@ -20,8 +20,8 @@ from reviewlake.operators import (
 )
 from reviewlake.operators.unify import EXTERNAL_SYSTEM, INTERNAL_SYSTEM
 from reviewlake.plans.run import RunResult, finish, owner_of, settled, utc_now, write_mode
-from reviewlake.sinks import compact, insert_partitions, stamp_month
-from reviewlake.sources import scan_days_back, select_tagged, table_location
+from reviewlake.sinks import compact, insert_partitions, new_run_id, own_rows, stamp_month
+from reviewlake.sources import scan_days_back, select_tagged
 from reviewlake.sources.tables import month_of
 
 # Columns the unification reads, where the configuration does not list them.
@@ -86,19 +86,15 @@ def run_silver(
     rows = silver_rows(spark.table(external_table), spark.table(internal_table), config, run_day,
                        external_name=external_table, internal_name=internal_table, **options)
     partition = {"date_load": month_of(run_day)}
-    seen = insert_partitions(rows, table, mode=mode, static=partition, measure={"rows": F.count("*")})
-    if compact_after and config.zorder_columns:
-        # AQE sizes the files of the write already; a rewrite only pays where it clusters.
-        compact(spark, table_location(spark, table), partition, cluster_by=config.zorder_columns)
-        spark.catalog.refreshTable(table)
-
-    # An append leaves earlier rows in the partition, an empty run all of them: neither are this run's.
-    written = rows if mode == "append" else spark.table(table).filter(
-        F.col("date_load") == F.lit(partition["date_load"]))
-    if not seen.get("rows"):
-        written = written.filter("false")
+    run_id = new_run_id()
+    insert_partitions(rows, table, mode=mode, static=partition, run_id=run_id)
+    # What the partition held before is not this run's.
+    written = own_rows(spark.table(table).filter(F.col("date_load") == F.lit(partition["date_load"])), run_id)
     keys = written.select(*[c for c in config.primary_key if c in written.columns])
     summary = settled(quality_summary(written, config.primary_key, config.required_columns), keys)
+    if compact_after and config.zorder_columns:
+        # AQE sizes the files of the write already; a rewrite only pays where it clusters.
+        compact(spark, table, partition, cluster_by=config.zorder_columns)
     metrics = run_metrics(summary, owner_of(domain, project, "silver", config.source_layer),
                           config.target_table, started, utc_now())
-    return finish(RunResult(table, partition, metrics), metrics_path, run_day)
+    return finish(RunResult(table, partition, metrics), metrics_path, run_day, run_id=run_id)

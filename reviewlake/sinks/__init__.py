@@ -1,7 +1,8 @@
 """Writers and table maintenance."""
 
-from reviewlake.sinks.catalog import TABLES, TableSpec, create_table
+from reviewlake.sinks.catalog import TABLES, TableSpec, create_table, evolve_table
 from reviewlake.sinks.export import export_documents
+from reviewlake.sinks.full import write_full
 from reviewlake.sinks.maintenance import (
     compact,
     compact_table,
@@ -16,8 +17,8 @@ from reviewlake.sinks.partitions import (
     append_metrics,
     insert_partitions,
     new_run_id,
+    own_rows,
     stamp_month,
-    write_full,
     write_partitions,
 )
 
@@ -25,6 +26,6 @@ __all__ = [
     "TABLES", "TableSpec", "append_manifest", "append_metrics", "compact",
     "compact_table", "create_table", "drop_partitions",
     "drop_table_partitions",
-    "export_documents", "insert_partitions", "list_files", "loaded_files", "new_run_id", "purge_loaded", "retain_days", "partition_location", "stamp_month",
+    "evolve_table", "export_documents", "insert_partitions", "list_files", "loaded_files", "new_run_id", "own_rows", "purge_loaded", "retain_days", "partition_location", "stamp_month",
     "write_full", "write_partitions", "zorder_key",
 ]

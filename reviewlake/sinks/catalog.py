@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from reviewlake import filesystem
 
@@ -60,6 +61,19 @@ def create_table(
     return name
 
 
+def evolve_table(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
+    """Add the columns that a table lacks, after those it has; returns their names.
+
+    Rows written before have NULL there. Columns are never dropped or changed in type.
+    """
+    known = {f.name.lower() for f in spark.table(table).schema.fields}
+    new = [f for f in schema.fields if f.name.lower() not in known]
+    if new:
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    return [f.name for f in new]
+
+
 def _parent(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[0]
 

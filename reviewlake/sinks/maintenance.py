@@ -76,11 +76,11 @@ def compact(
     if written != rows.get["n"] or _data_files(spark, folder) != listed:
         filesystem.delete(spark, fresh)
         raise RuntimeError(f"{folder} changed while it was rewritten")
-    _point_to(spark, table, partition, fresh)
+    point_to(spark, table, partition, fresh)
     for _ in range(ABSORBING):
         now = _data_files(spark, folder)
         if not listed.items() <= now.items():
-            _point_to(spark, table, partition, folder)
+            point_to(spark, table, partition, folder)
             raise RuntimeError(f"{folder} was replaced while it was rewritten")
         late = sorted(now.keys() - listed.keys())
         if not late:
@@ -119,12 +119,22 @@ def partition_location(spark: SparkSession, table: str, partition: Mapping[str,
     return next(row["data_type"] for row in told if row["col_name"] == "Location").rstrip("/")
 
 
-def _point_to(spark: SparkSession, table: str, partition: Mapping[str, str], folder: str) -> None:
+def point_to(spark: SparkSession, table: str, partition: Mapping[str, str], folder: str) -> None:
     spec = f" {partition_spec(partition)}" if partition else ""
     spark.sql(f"ALTER TABLE {table}{spec} SET LOCATION '{quoted(folder)}'")
     spark.catalog.refreshTable(table)
 
 
+def leaf_folders(spark: SparkSession, root: str, columns: Sequence[str]) -> list[tuple[dict[str, str], str]]:
+    """Values and folder of each partition below a folder that was written by ``columns``."""
+    found: list[tuple[dict[str, str], str]] = [({}, root.rstrip("/"))]
+    for name in columns:
+        found = [({**values, name: unescaped(spark, child.split(PARTITION_ROOT_MARK, 1)[1])}, f"{folder}/{child}")
+                 for values, folder in found for child in filesystem.child_names(spark, folder)
+                 if unescaped(spark, child).startswith(f"{name}=")]
+    return found
+
+
 def _data_files(spark: SparkSession, folder: str) -> dict[str, int]:
     return {n: size for n, size in filesystem.file_lengths(spark, folder).items() if not n.startswith(("_", "."))}
 

@@ -11,13 +11,16 @@ import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlake.operators.metrics import RUN_ID
-from reviewlake.session import TARGET_BYTES, session_conf, write_sizing
-from reviewlake.sources.tables import month_of, partition_columns, table_location
+from reviewlake.session import TARGET_BYTES, write_sizing
+from reviewlake.sources.tables import month_of, partition_columns
+
+# Names of the counts of values lost in casts.
+LOSSY = "__lossy_"
 
 
 def stamp_month(df: DataFrame, run_day: str) -> DataFrame:
@@ -73,85 +76,61 @@ def insert_partitions(
     rebalance: bool | None = None,
     file_bytes: int = TARGET_BYTES,
     measure: Mapping[str, Column] | None = None,
+    run_id: str | None = None,
+    on_bad: str = "raise",
 ) -> dict[str, Any]:
     """Write to a catalog table, matching columns by name and partitioning as the table declares.
 
     ``measure`` holds aggregates over the rows written. They are taken in the writing tasks, whose
-    results count once however often earlier stages are repeated. Returns their values.
+    results count once however often earlier stages are repeated. Returns their values. The files of a
+    write with a ``run_id`` bear its name, by which ``own_rows`` finds them again.
+
+    A value that its column's type cannot hold ends the write before anything is committed. With
+    ``on_bad="count"`` it becomes NULL, and ``lossy`` in the result has the number of such values for each
+    column that is cast.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode {mode!r}")
     spark = df.sparkSession
     target = spark.table(table).schema
     df = _arranged(df, partition_columns(spark, table), static or {}, rebalance)
-    measured = Observation("measured") if measure else None
-    if measured:
-        df = df.observe(measured, *[column.alias(name) for name, column in measure.items()])
-    # try_cast, so that one bad value of an untyped source does not fail the insert.
+    if on_bad not in ("raise", "count"):
+        raise ValueError(f"unknown treatment of values that cannot be cast: {on_bad!r}")
     given = {f.name: f.dataType for f in df.schema.fields}
-    ordered = df.select(*[
-        F.col(f.name) if given[f.name] == f.dataType
-        else F.col(f.name).try_cast(f.dataType).alias(f.name)
-        for f in target.fields
-    ])
+    cast = [f for f in target.fields if given[f.name] != f.dataType]
+    lossy = {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in cast}
+    counts = dict(measure or {})
+    if on_bad == "count":
+        counts |= {f"{LOSSY}{name}": F.count_if(bad) for name, bad in lossy.items()}
+    measured = Observation("measured") if counts else None
+    if measured:
+        df = df.observe(measured, *[column.alias(name) for name, column in counts.items()])
+
+    def fitted(f: T.StructField) -> Column:
+        if f.name not in lossy:
+            return F.col(f.name)
+        value = F.col(f.name).try_cast(f.dataType)
+        if on_bad == "raise":
+            told = F.concat(F.lit(f"{table}.{f.name} cannot hold "), F.left(F.col(f.name).cast("string"), F.lit(80)))
+            value = F.when(lossy[f.name], F.raise_error(told).cast(f.dataType)).otherwise(value)
+        return value.alias(f.name)
+
+    ordered = df.select(*map(fitted, target.fields))
     # The mode is an option of this one statement: as a session setting, a write in another thread
     # could lose it half-way and replace the whole table.
     verb = "OVERWRITE" if mode == "overwrite" else "INTO"
     with write_sizing(spark, ordered, file_bytes):
-        spark.sql(f"INSERT {verb} {table} WITH ('partitionOverwriteMode' = 'dynamic')"
+        named = f", 'mapreduce.output.basename' = '{run_id}'" if run_id else ""
+        spark.sql(f"INSERT {verb} {table} WITH ('partitionOverwriteMode' = 'dynamic'{named})"
                   " SELECT * FROM {rows}", rows=ordered)
-    return dict(measured.get) if measured else {}
-
-
-def _declares(spark: SparkSession, table: str, df: DataFrame) -> bool:
-    """Whether a table has just the columns and types of the rows, in any order."""
-    if not spark.catalog.tableExists(table):
-        return False
-    return sorted(spark.table(table).dtypes) == sorted(df.dtypes)
-
+    seen = dict(measured.get) if measured else {}
+    found = {name: int(seen.pop(f"{LOSSY}{name}") or 0) for name in lossy if on_bad == "count"}
+    return seen | ({"lossy": found} if on_bad == "count" else {})
 
-def write_full(
-    df: DataFrame,
-    target: str,
-    *,
-    mode: str = "overwrite",
-    file_format: str = "parquet",
-    partition_by: Sequence[str] = (),
-    as_table: bool = True,
-    on_empty: str = "skip",
-) -> bool:
-    """Replace a whole table; FALSE if empty input was skipped.
 
-    A table that has the columns of the input keeps its declaration (partitions, comments) and stays in
-    the catalog throughout; only for other columns it is replaced with its schema.
-
-    Meant for aggregates. The input is held while it is checked, so that the check and the write
-    share one computation; Spark recomputes what a lost executor held.
-    """
-    if on_empty not in ("skip", "write"):
-        raise ValueError(f"unknown treatment of empty input: {on_empty!r}")
-    spark = df.sparkSession
-    # Lets AQE merge the small partitions of held data too; else each becomes a file.
-    merging = session_conf(spark, spark__sql__optimizer__canChangeCachedPlanOutputPartitioning="true")
-    with merging, write_sizing(spark):
-        held = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if on_empty == "skip" and held.isEmpty():
-                return False
-            if as_table and mode == "overwrite" and not partition_by and _declares(spark, target, held):
-                spark.sql(f"INSERT OVERWRITE {target} WITH ('partitionOverwriteMode' = 'static') SELECT * FROM {{rows}}",
-                          rows=held.select(*spark.table(target).columns))
-                return True
-            writer = held.write.format(file_format).mode(mode)
-            # Replacing a table drops it; naming its folder keeps it where it was created.
-            if as_table and spark.catalog.tableExists(target):
-                writer = writer.option("path", table_location(spark, target))
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.saveAsTable(target) if as_table else writer.save(target)
-            return True
-        finally:
-            held.unpersist()
+def own_rows(df: DataFrame, run_id: str) -> DataFrame:
+    """The rows of a table that one run has written, until they are rewritten."""
+    return df.filter(F.col("_metadata.file_name").startswith(f"{run_id}-"))
 
 
 def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:

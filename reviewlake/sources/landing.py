@@ -88,9 +88,11 @@ def read_flow_source(
     *,
     path_column: str | None = None,
 ) -> DataFrame:
-    """The landing files that a flow declares."""
-    return read_landing(spark, config.source["format"], config.expected_schema, source_paths(config, root, days, apps),
-                        path_column=path_column)
+    """The landing files that a flow declares; none at all is empty, or an error if its fallback settings say so."""
+    paths = source_paths(config, root, days, apps)
+    if config.fallback.get("create_empty_if_missing", "true").strip().lower() == "false" and not existing_paths(spark, paths):
+        raise FileNotFoundError(f"none of the landing folders is there: {paths}")
+    return read_landing(spark, config.source["format"], config.expected_schema, paths, path_column=path_column)
 
 
 def source_paths(config: FlowConfig, root: str, days: str | Iterable[str], apps: Iterable[str] = ()) -> list[str]:

@@ -151,6 +151,21 @@ def test_compaction_of_a_catalog_partition_is_seen(spark, lake, tables, landed):
     assert spark.table(name).select("_metadata.file_path").distinct().count() == 1
 
 
+def test_a_missing_day_is_empty_unless_the_flow_says_otherwise(spark, lake, tables):
+    strict = replace(EXTERNAL_FLOW, fallback={"create_empty_if_missing": "false"})
+    args = dict(landing_root=f"{lake}/raw", day=DAY, app="alpha", tag_app=True, table=tables["external_reviews"])
+    with pytest.raises(FileNotFoundError):
+        run_bronze(spark, strict, **args)
+    assert run_bronze(spark, EXTERNAL_FLOW, **args).metrics.first().total_records == 0
+
+
+def test_appending_runs_with_one_time_stamp_count_their_own_rows(spark, lake, tables, landed):
+    stamp = datetime(2024, 2, 10, 6)
+    totals = [load_app(spark, lake, tables, "alpha", mode="append", run_ts=stamp, compact_after=again).metrics.first().total_records
+              for again in (True, False, True)]
+    assert totals == [3, 3, 3] and spark.table(tables["external_reviews"]).count() == 9
+
+
 def page(*entries):
     return {"feed": {"entry": [{"id": {"label": str(key)}, "im:rating": {"label": "5"}} for key in entries]}}
 

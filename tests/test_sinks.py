@@ -5,6 +5,7 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
@@ -19,9 +20,11 @@ from reviewlake.sinks import (
     create_table,
     drop_partitions,
     drop_table_partitions,
+    evolve_table,
     insert_partitions,
     list_files,
     new_run_id,
+    own_rows,
     partition_location,
     purge_loaded,
     retain_days,
@@ -121,8 +124,8 @@ def test_insert_matches_names_and_casts(spark, lake, database):
                     " '1' AS review_version, 'PF' AS segment, 'S' AS service_type,"
                     " '7' AS review_count, 'x' AS average_rating, 1 AS min_rating, 5 AS max_rating,"
                     " 0.5 AS nps_score")
-    measured = insert_partitions(row, name, measure={"n": F.count("*")})
-    assert measured == {"n": 1}
+    measured = insert_partitions(row, name, measure={"n": F.count("*")}, on_bad="count")
+    assert measured == {"n": 1, "lossy": {"review_count": 0, "average_rating": 1, "min_rating": 0, "max_rating": 0, "nps_score": 0}}
     assert rows(spark.table(name).select("review_year", "review_count", "average_rating",
                                          "app_reference")) == [("2024", 7, None, "A")]
     with pytest.raises(ValueError, match="mode"):
@@ -178,7 +181,8 @@ def test_full_write_replaces_the_schema(spark, lake, database):
     name = create_table(spark, database, "t", TABLES["review_kpis"], f"{lake}/t")
     assert write_full(spark.range(2), name)
     assert sorted(rows(spark.table(name))) == [(0,), (1,)]
-    assert table_location(spark, name).endswith(f"{lake}/t")
+    # The table is kept where it was declared, in a version of its folder; the old one is gone.
+    assert table_location(spark, name).rsplit("/", 1)[0].endswith(lake) and not os.path.exists(f"{lake}/t")
     assert not write_full(spark.range(0), name)
     assert spark.table(name).count() == 2
     assert write_full(spark.range(0), name, on_empty="write")
@@ -337,7 +341,7 @@ def test_compaction_loses_no_rows_added_meanwhile(spark, lake, database, monkeyp
     spark.sql(f"CREATE TABLE {database}.t (id BIGINT) USING parquet LOCATION '{lake}/t'")
     spark.range(1000, numPartitions=8).write.mode("append").insertInto(f"{database}.t")
     step, number = MOMENTS[moment]
-    listing, pointing, arranging = maintenance._data_files, maintenance._point_to, maintenance.version_folder
+    listing, pointing, arranging = maintenance._data_files, maintenance.point_to, maintenance.version_folder
     looks = []
 
     def add():  # by a writer that knows the old folder
@@ -362,7 +366,7 @@ def test_compaction_loses_no_rows_added_meanwhile(spark, lake, database, monkeyp
         return arranging(*args)
 
     monkeypatch.setattr(maintenance, "_data_files", list_files)
-    monkeypatch.setattr(maintenance, "_point_to", point)
+    monkeypatch.setattr(maintenance, "point_to", point)
     monkeypatch.setattr(maintenance, "version_folder", arrange)
     if moment in ("before the write", "after the write"):
         with pytest.raises(RuntimeError, match="changed"):
@@ -376,14 +380,14 @@ def test_compaction_loses_no_rows_added_meanwhile(spark, lake, database, monkeyp
 def test_a_partition_replaced_during_compaction_stays_replaced(spark, lake, scattered, monkeypatch):
     from reviewlake.sinks import maintenance
 
-    pointing, done = maintenance._point_to, []
+    pointing, done = maintenance.point_to, []
 
     def point(session, table, partition, folder):
         if not done:
             done.append(spark.createDataFrame([(1, "new", 5)], "v INT, s STRING, id BIGINT").write.mode("overwrite").parquet(f"{lake}/t/p=0"))
         pointing(session, table, partition, folder)
 
-    monkeypatch.setattr(maintenance, "_point_to", point)
+    monkeypatch.setattr(maintenance, "point_to", point)
     with pytest.raises(RuntimeError, match="replaced"):
         compact(spark, scattered, {"p": "0"})
     spark.catalog.refreshTable(scattered)
@@ -480,3 +484,66 @@ def test_purge_takes_what_finished_runs_have_read(spark, lake):
     run("a")
     assert purge() == 4
     assert sorted(os.listdir(day)) == ["b"]
+
+
+def test_bad_values_are_refused_or_counted(spark, lake, database):
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (n INT, d DATE, s STRING) USING parquet LOCATION '{lake}/t'")
+    rows_ = spark.createDataFrame([("1", "2024-01-01", "a"), ("x", None, "b"), (None, "y", "c"), ("99999999999", "z", "d")], "n STRING, d STRING, s STRING")
+    with pytest.raises(PySparkException, match="t.n cannot hold|t.d cannot hold"):
+        insert_partitions(rows_, f"{database}.t")
+    assert spark.table(f"{database}.t").isEmpty()
+    seen = insert_partitions(rows_, f"{database}.t", on_bad="count", measure={"rows": F.count("*")})
+    assert seen == {"rows": 4, "lossy": {"n": 2, "d": 2}}
+    assert spark.table(f"{database}.t").filter("n is not null").count() == 1
+    with pytest.raises(ValueError, match="unknown treatment"):
+        insert_partitions(rows_, f"{database}.t", on_bad="drop")
+
+
+def test_own_rows_of_runs(spark, lake, database):
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id BIGINT) USING parquet LOCATION '{lake}/t'")
+    runs = [new_run_id(), new_run_id()]
+    for run, n in zip(runs, (3, 5)):
+        insert_partitions(spark.range(n), f"{database}.t", mode="append", run_id=run)
+    assert [own_rows(spark.table(f"{database}.t"), run).count() for run in runs] == [3, 5]
+
+
+def test_full_write_leaves_no_gap(spark, lake, database, monkeypatch):
+    """A reader between any two steps sees rows, of the old table or of the new one; comments are kept."""
+    from reviewlake.sinks import full
+
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id BIGINT COMMENT 'the id', part STRING) USING parquet "
+              f"PARTITIONED BY (part) COMMENT 'a table' LOCATION '{lake}/t'")
+    name, seen = f"{database}.t", []
+
+    def look():
+        spark.catalog.refreshTable(name)
+        seen.append(spark.table(name).count())
+
+    point, written, delete = full.point_to, full._written, filesystem.delete
+    monkeypatch.setattr(full, "point_to", lambda *a: (look(), point(*a), look()))
+    monkeypatch.setattr(full, "_written", lambda *a: (look(), written(*a), look()))
+    monkeypatch.setattr(filesystem, "delete", lambda *a: (look(), delete(*a))[1])
+    write_full(spark.range(6).selectExpr("id", "string(id % 2) AS part"), name)
+    seen.clear()
+    write_full(spark.range(8).selectExpr("id", "string(id % 2 + 1) AS part"), name)
+    assert len(seen) > 4 and all(3 <= n <= 14 for n in seen)
+    assert sorted(map(tuple, spark.table(name).collect())) == sorted((i, str(i % 2 + 1)) for i in range(8))
+    write_full(spark.range(2).selectExpr("id", "id * 2 AS twice", "'a' AS part"), name)
+    told = {r.col_name: (r.data_type, r.comment) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert told["id"] == ("bigint", "the id") and told["Comment"][0] == "a table"
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["part=a"]
+    assert sorted(map(tuple, spark.table(name).collect())) == [(0, 0, "a"), (1, 2, "a")]
+
+
+def test_tables_gain_columns(spark, lake, database):
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{lake}/db'")
+    spark.sql(f"CREATE TABLE {database}.t (id BIGINT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{lake}/t'")
+    insert_partitions(spark.range(1).selectExpr("id", "'a' AS p"), f"{database}.t")
+    wider = spark.range(1).selectExpr("id", "'n' AS note", "struct(id) AS more", "'b' AS p")
+    assert evolve_table(spark, f"{database}.t", wider.schema) == ["note", "more"]
+    assert evolve_table(spark, f"{database}.t", wider.schema) == []
+    insert_partitions(wider, f"{database}.t")
+    assert sorted(map(tuple, spark.table(f"{database}.t").select("p", "note").collect())) == [("a", None), ("b", "n")]

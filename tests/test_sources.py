@@ -184,3 +184,12 @@ def test_the_app_lies_below_the_base(spark):
     df = spark.createDataFrame([(path,)], "path STRING")
     folder = app_folder(F.col("path"), "2024-02-10", "file:///lake/2024-02-10/feed/reviews")
     assert df.select(folder).first()[0] == "alpha"
+
+
+def test_checked_scans_prune_partitions(spark, sf_dir):
+    from __spark_entry__ import queries
+
+    for name in ("scan_month", "scan_days_pruned"):
+        plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+        assert "date_load" in filters and "cast" not in filters.lower()
