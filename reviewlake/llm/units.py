@@ -6,6 +6,7 @@ parts on end. The caches of a task have a fixed size, and a long text is taken i
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
@@ -31,16 +32,19 @@ class Parts:
 
     def of(self, parts: set[str]) -> dict:
         """A table that holds all of ``parts``, good until the next call."""
-        missing = []
-        for part in parts:
-            if part in self.new:
-                continue
-            known = self.old.get(part)
-            if known is None:
-                missing.append(part)
-            else:
-                self.new[part] = known
-        self.new.update(zip(missing, self.compute(missing), strict=True) if missing else ())
+        missing = list(parts.difference(self.new))
+        if self.old:
+            known = {p: v for p in missing if (v := self.old.get(p)) is not None}
+            self.new.update(known)
+            missing = [p for p in missing if p not in known]
+        if missing:
+            collects = gc.isenabled()
+            gc.disable()  # many small objects, none of them in a cycle
+            try:
+                self.new.update(zip(missing, self.compute(missing), strict=True))
+            finally:
+                if collects:
+                    gc.enable()
         table = self.new
         if len(table) > self.most:
             self.old = {k: v for k, v in table.items() if len(k) <= LONGEST} if len(table) <= 2 * self.most else {}
@@ -86,7 +90,8 @@ class WordIds:
     def _word_ids(self, words: list[str]) -> Iterator[bytes]:
         tokenize, letters = self.library.model.tokenize, self.letters
         for word in words:
-            spelt = word.encode().decode("latin-1").translate(letters)
+            plain = word.isascii() and word.isprintable()
+            spelt = word if plain else word.encode().decode("latin-1").translate(letters)
             yield array("I", [token.id for token in tokenize(spelt)]).tobytes()
 
     def _part_ids(self, parts: list[str]) -> list[bytes]:
