@@ -67,14 +67,13 @@ def land_feed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                 day=a.RUN_DAY, page_key="app", metrics_path=f"{root}/metrics", manifest_path=f"{root}/manifest")
     for _ in range(2):
         result = land_feed(spark, **args)
-    record = result.metrics.select(F.col("total_records").alias("total_pages"),
-                                   F.col("validation_results.type_consistency_check.count").alias("total_unreadable"))
-    runs = spark.read.parquet(f"{root}/manifest").agg(F.count_distinct("run_id").alias("listed_runs"))
+    record = result.metrics.select("total_records", "validation_results.type_consistency_check.count").first()
+    runs = spark.read.parquet(f"{root}/manifest").select("run_id").distinct().count()
     landed = spark.read.schema("review_id STRING, app STRING").json(f"{root}/landing/{a.RUN_DAY}").groupBy("app").agg(
         F.count("*").alias("reviews"))
     aside = spark.read.parquet(f"{root}/quarantine").groupBy("app").agg(F.count("page").alias("unreadable"))
-    # Both are one row.
-    return landed.join(aside, "app").join(F.broadcast(record.join(runs)))
+    told = {"total_pages": record[0], "total_unreadable": record[1], "listed_runs": runs}
+    return landed.join(aside, "app").withColumns({name: F.lit(n).cast("long") for name, n in told.items()})
 
 
 @checked("bronze_append_metrics", f"""
