@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlake import filesystem
 from reviewlake.checks import adapters as a
 from reviewlake.checks.projections import stamped, stamped_sql, unified
 from reviewlake.checks.registry import checked, table
@@ -27,7 +28,7 @@ from reviewlake.operators import (
 from reviewlake.plans import silver_rows
 from reviewlake.plans.run import owner_of
 from reviewlake.session import scratch_dir
-from reviewlake.sinks import append_metrics
+from reviewlake.sinks import append_metrics, fold_metrics, read_metrics
 
 KEY = ["client_identification", "app_reference"]
 REQUIRED = ["feedback_comment", "client_identification"]
@@ -223,6 +224,24 @@ def output_check_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@checked("metrics_fold", """
+WITH runs AS (SELECT DISTINCT o_custkey % 50 AS run FROM orders)
+SELECT CAST(run AS INT) AS run, CAST(run % 3 AS INT) AS day, 3::BIGINT AS folders, count(*) OVER () AS folded FROM runs""")
+def metrics_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of fifty runs over three days, folded into a folder a day: none is lost, none is there twice."""
+    path = scratch_dir(spark, "metrics-fold")
+    run = (F.col("o_custkey") % 50).cast("int")
+    runs = table(spark, sf_dir, "orders").select(run.alias("run")).distinct()
+    named = F.concat(F.lit("run-"), F.col("run").cast("string"))
+    records = runs.withColumns({"day": (F.col("run") % 3).cast("int"), "run_id": named, "run_batch": named,
+                                "run_day": F.concat(F.lit("2024-02-1"), (F.col("run") % 3).cast("string"))})
+    records.write.partitionBy("run_batch").parquet(path)
+    folded = sum(fold_metrics(spark, path, f"2024-02-1{day}") for day in range(3))
+    folders = [n for n in filesystem.child_names(spark, path) if "=" in n]
+    return read_metrics(spark, path).select("run", "day", F.lit(len(folders)).cast("long").alias("folders"),
+                                            F.lit(folded).cast("long").alias("folded"))
+
+
 @checked("ops_dashboard", f"""
 WITH {RUNS_SQL}
 SELECT CASE app_reference WHEN 'app_0' THEN 'gold' WHEN 'app_1' THEN 'silver' ELSE 'bronze' END

@@ -13,6 +13,8 @@ CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 # Partition column of the metrics table, not part of a record.
 RUN_ID = "run_id"
+# The folder that a record lies in: that of its run, or that of its day once the day is folded.
+RUN_BATCH = "run_batch"
 # What a record on file is of; not part of the record itself.
 RUN_DAY, RUN_APP = "run_day", "run_app"
 CHECKS = {
@@ -143,7 +145,7 @@ def metrics_payload(metrics: DataFrame) -> DataFrame:
         "app_id",
         "timestamp",
         "error_count",
-        F.to_json(F.struct(*[c for c in metrics.columns if c not in (RUN_ID, RUN_DAY, RUN_APP)])).alias("payload"),
+        F.to_json(F.struct(*[c for c in metrics.columns if c not in (RUN_ID, RUN_BATCH, RUN_DAY, RUN_APP)])).alias("payload"),
     )
 
 

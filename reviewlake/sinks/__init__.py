@@ -14,18 +14,18 @@ from reviewlake.sinks.maintenance import (
 )
 from reviewlake.sinks.purge import append_manifest, list_files, loaded_files, purge_loaded
 from reviewlake.sinks.partitions import (
-    append_metrics,
     insert_partitions,
     new_run_id,
     own_rows,
     stamp_month,
     write_partitions,
 )
+from reviewlake.sinks.records import append_metrics, fold_metrics, read_metrics
 
 __all__ = [
     "TABLES", "TableSpec", "append_manifest", "append_metrics", "compact",
     "compact_table", "create_table", "drop_partitions",
     "drop_table_partitions",
-    "evolve_table", "export_documents", "insert_partitions", "list_files", "loaded_files", "new_run_id", "own_rows", "purge_loaded", "retain_days", "partition_location", "stamp_month",
+    "evolve_table", "export_documents", "fold_metrics", "insert_partitions", "list_files", "loaded_files", "new_run_id", "own_rows", "purge_loaded", "read_metrics", "retain_days", "partition_location", "stamp_month",
     "write_full", "write_partitions", "zorder_key",
 ]

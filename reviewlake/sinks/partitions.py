@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.operators.metrics import RUN_ID
 from reviewlake.session import TARGET_BYTES, write_sizing
 from reviewlake.sources.tables import month_of, partition_columns
 
@@ -133,16 +132,5 @@ def own_rows(df: DataFrame, run_id: str) -> DataFrame:
     return df.filter(F.col("_metadata.file_name").startswith(f"{run_id}-"))
 
 
-def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
-    """Add run records to the metrics table; a handful of rows, so one file per run.
-
-    Every call fills a partition of its own, named by the run: runs of several apps end at the same
-    time, and plain appends to one folder share a work folder that the first to finish removes.
-    """
-    own = metrics.coalesce(1).withColumn(RUN_ID, F.lit(run_id or new_run_id()))
-    (own.write.mode("overwrite").partitionBy(RUN_ID)
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
-
-
 def new_run_id() -> str:
     return f"run-{uuid.uuid4().hex}"

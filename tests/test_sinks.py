@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
 from datetime import date
 
 import pytest
@@ -21,12 +22,14 @@ from reviewlake.sinks import (
     drop_partitions,
     drop_table_partitions,
     evolve_table,
+    fold_metrics,
     insert_partitions,
     list_files,
     new_run_id,
     own_rows,
     partition_location,
     purge_loaded,
+    read_metrics,
     retain_days,
     stamp_month,
     write_full,
@@ -547,3 +550,20 @@ def test_tables_gain_columns(spark, lake, database):
     assert evolve_table(spark, f"{database}.t", wider.schema) == []
     insert_partitions(wider, f"{database}.t")
     assert sorted(map(tuple, spark.table(f"{database}.t").select("p", "note").collect())) == [("a", None), ("b", "n")]
+
+
+def test_folded_days_keep_their_records(spark, lake):
+    path = f"{lake}/metrics"
+    for run in range(4):
+        append_metrics(spark.createDataFrame([(run, f"d{run % 2}"), (run + 10, f"d{run % 2}")], "n INT, run_day STRING"), path, f"run-{run}")
+    want = sorted(rows(read_metrics(spark, path).select("n", "run_day", "run_id")))
+    shutil.copytree(f"{path}/run_batch=run-0", f"{lake}/kept")
+    assert fold_metrics(spark, path, "d0") == 2 and fold_metrics(spark, path, "d9") == 0
+    assert sorted(rows(read_metrics(spark, path).select("n", "run_day", "run_id"))) == want
+    # A fold that died before it could delete a run's own folder.
+    shutil.copytree(f"{lake}/kept", f"{path}/run_batch=run-0")
+    assert sorted(rows(read_metrics(spark, path).select("n", "run_day", "run_id"))) == want
+    append_metrics(spark.createDataFrame([(7, "d0")], "n INT, run_day STRING"), path, "run-7")
+    assert fold_metrics(spark, path, "d0") == 2 and fold_metrics(spark, path, "d1") == 2
+    assert sorted(rows(read_metrics(spark, path).select("n", "run_day", "run_id"))) == sorted([*want, (7, "d0", "run-7")])
+    assert len([n for n in os.listdir(path) if "=" in n]) == 3
