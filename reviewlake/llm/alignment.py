@@ -26,7 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from reviewlake.llm.bpe import byte_letters, vocabulary
 from reviewlake.llm.common import cut, registered, row_but, table
