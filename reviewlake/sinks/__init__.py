@@ -23,9 +23,9 @@ from reviewlake.sinks.partitions import (
 from reviewlake.sinks.records import append_metrics, fold_metrics, read_metrics
 
 __all__ = [
-    "TABLES", "TableSpec", "append_manifest", "append_metrics", "compact",
-    "compact_table", "create_table", "drop_partitions",
-    "drop_table_partitions",
-    "evolve_table", "export_documents", "fold_metrics", "insert_partitions", "list_files", "loaded_files", "new_run_id", "own_rows", "purge_loaded", "read_metrics", "retain_days", "partition_location", "stamp_month",
-    "write_full", "write_partitions", "zorder_key",
+    "append_manifest", "append_metrics", "compact", "compact_table", "create_table", "drop_partitions",
+    "drop_table_partitions", "evolve_table", "export_documents", "fold_metrics", "insert_partitions",
+    "list_files", "loaded_files", "new_run_id", "own_rows", "partition_location", "purge_loaded",
+    "read_metrics", "retain_days", "stamp_month", "TABLES", "TableSpec", "write_full", "write_partitions",
+    "zorder_key",
 ]
