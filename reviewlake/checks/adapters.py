@@ -6,8 +6,6 @@ integer arithmetic and text only, so they agree to the last byte.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -295,14 +293,6 @@ GROUP BY ALL"""
 
 
 RUN_DAY = "2024-02-10"
-# Leaves about a third of the external reviews, and all internal ones.
-DAYS_BACK = 9000
-
-
-def recent_sql(source: str, target: str) -> str:
-    oldest = (date.fromisoformat(RUN_DAY) - timedelta(days=DAYS_BACK)).isoformat()
-    return f"{target} AS (SELECT * FROM {source} WHERE date_load >= '{oldest}')"
-
 
 # Configurations of the flows over the adapters.
 EXTERNAL_FLOW = FlowConfig(
@@ -361,7 +351,7 @@ SILVER_FLOW = FlowConfig(
     source_layer="bronze",
     target=(ColumnSpec("review_id", is_pk=True), ColumnSpec("client_id", is_pk=True),
             ColumnSpec("source_system", is_pk=True), ColumnSpec("app_reference", is_pk=True)),
-    rules=(Rule("min_value", "1"), Rule("max_value", "5"), Rule("days_back", str(DAYS_BACK))),
+    rules=(Rule("min_value", "1"), Rule("max_value", "5"), Rule("days_back", "all")),
 )
 
 GOLD_FLOW = FlowConfig(target_table="review_kpis", source_layer="silver")

@@ -30,6 +30,8 @@ EXTERNAL_COLUMNS = ("review_id", "author_name", "updated_at", "rating", "title",
 INTERNAL_COLUMNS = ("client_identification", "app_reference", "submission_date", "feedback_rating",
                     "feedback_comment", "source_id", "source_channel", "client_segment",
                     "service_type", "source_user_agent", "ingestion_ts")
+# Value of the rule ``days_back`` that looks back without an end.
+ALL_DAYS = "all"
 
 
 def silver_rows(
@@ -48,13 +50,14 @@ def silver_rows(
 ) -> DataFrame:
     """Unified, deduplicated, filtered and cleaned reviews of the look-back window.
 
-    One shuffle, by the review key; cleaning runs on what the rules leave.
+    The rule ``days_back = all`` takes every row, those without a load day too. One shuffle, by the review
+    key; cleaning runs on what the rules leave.
     """
-    as_of, days = date.fromisoformat(run_day), int(config.rule("days_back", "365"))
+    as_of, days = date.fromisoformat(run_day), config.rule("days_back", "365").strip().lower()
 
     def window(df: DataFrame, name: str, tag: str, default: Sequence[str]) -> DataFrame:
         columns = config.columns_tagged(tag) or default
-        return select_tagged(scan_days_back(df, as_of, days), columns, name)
+        return select_tagged(df if days == ALL_DAYS else scan_days_back(df, as_of, int(days)), columns, name)
 
     unified = union_sources(
         unify_external(window(external, external_name, EXTERNAL_SYSTEM, EXTERNAL_COLUMNS)),

@@ -270,3 +270,19 @@ def test_silver_reads_only_the_window(spark, lake, tables, landed):
     assert plan.count("Exchange") == 1
     assert "PythonUDF" not in plan and "ArrowEval" not in plan
     assert datetime.fromisoformat(DAY)
+
+
+def test_silver_flow_takes_reviews_of_every_day(spark, lake, tables, landed):
+    from reviewlake.plans import silver_rows
+    load_app(spark, lake, tables, "alpha")
+    external, internal = (spark.table(tables[f"{kind}_reviews"]) for kind in ("external", "internal"))
+    for day in ("1900-01-01", None):
+        old = external.withColumn("date_load", F.lit(day).cast("string"))
+        assert silver_rows(old, internal, SILVER_FLOW, DAY).count() == 2
+        assert silver_rows(old, internal, GOLD_FLOW, DAY).count() == 0  # 365 days back
+
+
+def test_flow_queries_read_the_oldest_load_days(spark, sf_dir):
+    from reviewlake.checks.registry import QUERIES, table
+    oldest = table(spark, sf_dir, "orders").agg(F.year(F.min("o_orderdate")).cast("string")).first()[0]
+    assert QUERIES["gold_flow"](spark, sf_dir).agg(F.min("review_year")).first()[0] == oldest
