@@ -282,7 +282,8 @@ def test_silver_flow_takes_reviews_of_every_day(spark, lake, tables, landed):
         assert silver_rows(old, internal, GOLD_FLOW, DAY).count() == 0  # 365 days back
 
 
-def test_flow_queries_read_the_oldest_load_days(spark, sf_dir):
+def test_silver_queries_read_the_oldest_load_days(spark, sf_dir):
     from reviewlake.checks.registry import QUERIES, table
     oldest = table(spark, sf_dir, "orders").agg(F.year(F.min("o_orderdate")).cast("string")).first()[0]
     assert QUERIES["gold_flow"](spark, sf_dir).agg(F.min("review_year")).first()[0] == oldest
+    assert QUERIES["silver_reviews"](spark, sf_dir).agg(F.min("review_date")).first()[0][:4] == oldest
