@@ -15,11 +15,14 @@ from reviewlake.checks.writes import scratch_database
 from reviewlake.config import Rule
 from reviewlake.plans import land_feed, run_bronze, run_gold, run_silver
 from reviewlake.plans.landing import APP_KEY
+from reviewlake.session import session_conf, write_sizing
 from reviewlake.sinks import TABLES, create_table, export_documents, insert_partitions
 
 RUN_TS = datetime(2024, 2, 10, 6, 30, tzinfo=timezone.utc)
 
 
+# One task that gathers pages takes about so many reviews, or bytes of them as shuffled.
+TASK_REVIEWS, PAGE_TASK_BYTES = 200_000, 32 << 20
 # Landing files come from pages, one folder for each app.
 PAGED_FLOW = replace(a.EXTERNAL_FLOW, source={**a.EXTERNAL_FLOW.source, "app_key": APP_KEY})
 
@@ -30,8 +33,12 @@ def _pages(spark: SparkSession, sf_dir: str, root: str) -> str:
     entry = feed_entry({name: F.col(name).cast("string") for name in FEED_COLUMNS})
     pages = reviews.groupBy(F.col("app_reference").alias("app"), F.floor(F.col("review_id").cast("bigint") / 50).alias("page")).agg(
         F.to_json(F.struct(F.struct(F.collect_list(entry).alias("entry")).alias("feed"))).alias("value"))
-    broken = pages.filter(F.col("page") % 3 == 0).select("app", F.substring("value", 1, 90).alias("value"))
-    pages.select("app", "value").union(broken).write.partitionBy("app").text(f"{root}/pages/{a.RUN_DAY}")
+    texts = F.when(F.col("page") % 3 == 0, F.array("value", F.substring("value", 1, 90))).otherwise(F.array("value"))
+    # Entries are far longer than the optimizer takes them for, so the tasks are counted by the reviews.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), reviews.count() // TASK_REVIEWS)
+    with write_sizing(spark), session_conf(spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(tasks),
+                                           spark__sql__adaptive__advisoryPartitionSizeInBytes=str(PAGE_TASK_BYTES)):
+        pages.select("app", F.explode(texts).alias("value")).write.partitionBy("app").text(f"{root}/pages/{a.RUN_DAY}")
     return f"{root}/pages"
 
 

@@ -567,3 +567,32 @@ def test_folded_days_keep_their_records(spark, lake):
     assert fold_metrics(spark, path, "d0") == 2 and fold_metrics(spark, path, "d1") == 2
     assert sorted(rows(read_metrics(spark, path).select("n", "run_day", "run_id"))) == sorted([*want, (7, "d0", "run-7")])
     assert len([n for n in os.listdir(path) if "=" in n]) == 3
+
+
+def test_partition_writes_do_not_sort_whole_tasks(spark, lake):
+    from reviewlake.session import write_sizing
+    spark.sql(f"CREATE TABLE unsorted (v BIGINT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{lake}/unsorted'")
+    try:
+        with write_sizing(spark):
+            plan = spark.sql("EXPLAIN INSERT OVERWRITE unsorted SELECT id, CAST(id % 3 AS STRING) FROM range(9)").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE unsorted")
+
+
+def test_a_task_with_more_partitions_than_open_files_loses_no_row(spark, lake):
+    many = spark.range(0, 1000, 1, 1).withColumn("p", (F.col("id") % 37).cast("string"))
+    for kind in ("json", "parquet"):
+        write_partitions(many, f"{lake}/{kind}", ["p"], file_format=kind, rebalance=False)
+        back = spark.read.schema("id BIGINT, p STRING").format(kind).load(f"{lake}/{kind}")
+        assert sorted(rows(back)) == sorted(rows(many))
+
+
+def test_feed_pages_are_gathered_in_one_pass(spark, lake, sf_dir, monkeypatch):
+    from reviewlake.checks import flows
+    monkeypatch.setattr(flows, "TASK_REVIEWS", 10)
+    pages = spark.read.text(flows._pages(spark, sf_dir, lake), recursiveFileLookup=True)
+    whole = pages.filter(F.get_json_object("value", "$.feed.entry[0].id.label").isNotNull())
+    texts = whole.select(F.size(F.from_json(F.get_json_object("value", "$.feed.entry"), "array<string>")).alias("n"))
+    assert texts.agg(F.sum("n")).first()[0] == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert pages.filter("length(value) = 90").count() > 0
