@@ -191,7 +191,7 @@ def zorder_key(
             continue
         kind = df.schema[name].dataType
         ranges = F.array(*[F.lit(start).cast(kind) for start in starts[name]])
-        step = F.when(F.col(name).isNull(), 0).otherwise(_reached(ranges, F.col(name))).cast("bigint")
+        step = F.when(F.col(name).isNull(), 0).otherwise(_reached(ranges, F.col(name), 1 << bits)).cast("bigint")
         for bit in range(bits):
             set_bit = F.shiftright(step, bit).bitwiseAND(F.lit(1))
             key = key.bitwiseOR(F.shiftleft(set_bit, bit * len(columns) + place))
@@ -217,7 +217,7 @@ def range_starts(
         row = df.agg(*[F.percentile_approx(c, shares, 64 * ranges).alias(f"q{i}") for i, c in enumerate(sketched)],
                      *[F.min(c).alias(f"m{i}") for i, c in enumerate(sketched)]).first()
         for i, name in enumerate(sketched):
-            found[name] = sorted(set(row[f"q{i}"] or ()) - {row[f"m{i}"]})
+            found[name] = sorted(set(row[f"q{i}"] or ()) - {row[f"m{i}"]}, key=lambda v: (v != v, v))  # NaN is last
     if sampled:
         chosen = df.select(*sampled).orderBy(F.xxhash64(F.monotonically_increasing_id() if position is None else position)).limit(sample).collect()
         for name in sampled:
@@ -226,9 +226,11 @@ def range_starts(
     return found
 
 
-def _reached(starts: Column, value: Column) -> Column:
-    """How many of the ranges start at or below the value."""
-    return F.size(F.filter(starts, lambda start: start <= value))
+def _reached(starts: Column, value: Column, ranges: int) -> Column:
+    """How many of the starts, sorted and fewer than ``ranges``, lie at or below the value: found by halving."""
+    leaps = [F.lit(1 << bit) for bit in reversed(range((ranges - 1).bit_length()))]
+    return F.aggregate(F.array(*leaps), F.lit(0), lambda found, leap: found + F.when(
+        F.get(starts, found + leap - 1) <= value, leap).otherwise(0))
 
 
 def drop_partitions(

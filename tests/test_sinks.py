@@ -596,3 +596,19 @@ def test_feed_pages_are_gathered_in_one_pass(spark, lake, sf_dir, monkeypatch):
     texts = whole.select(F.size(F.from_json(F.get_json_object("value", "$.feed.entry"), "array<string>")).alias("n"))
     assert texts.agg(F.sum("n")).first()[0] == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     assert pages.filter("length(value) = 90").count() > 0
+
+
+@pytest.mark.parametrize("starts", [[5.0], [1.0, 2.5, 7.0], [-3.0, 0.0, float("nan")], [float(n) for n in range(0, 510, 2)]])
+def test_ranges_are_found_by_halving(spark, starts):
+    from reviewlake.sinks.maintenance import _reached
+    array = F.array(*[F.lit(s) for s in starts])
+    values = spark.createDataFrame([(float(v),) for v in (*range(-5, 520), 2.5, "inf", "-inf", "nan")], "v DOUBLE")
+    found = values.select(_reached(array, F.col("v"), 256).alias("ours"),
+                          F.size(F.filter(array, lambda start: start <= F.col("v"))).alias("counted"))
+    assert found.filter("ours <> counted or ours is null").count() == 0
+
+
+def test_zorder_key_does_not_walk_all_ranges(spark, lake):
+    spread = spark.range(1000).select("id", (F.col("id") % 97).alias("v"))
+    plan = plan_of(spread.select(zorder_key(spread, ["id", "v"])))
+    assert "aggregate(" in plan and "filter(" not in plan
