@@ -612,3 +612,15 @@ def test_zorder_key_does_not_walk_all_ranges(spark, lake):
     spread = spark.range(1000).select("id", (F.col("id") % 97).alias("v"))
     plan = plan_of(spread.select(zorder_key(spread, ["id", "v"])))
     assert "aggregate(" in plan and "filter(" not in plan
+
+
+def test_two_partition_columns_are_written_without_a_sort_of_rows(spark, lake):
+    """As purge_app writes its table."""
+    from reviewlake.session import write_sizing
+    spark.sql(f"CREATE TABLE pairs (v BIGINT, p STRING, q STRING) USING parquet PARTITIONED BY (p, q) LOCATION '{lake}/pairs'")
+    try:
+        with write_sizing(spark):
+            plan = spark.sql("EXPLAIN INSERT OVERWRITE pairs SELECT id, CAST(id % 3 AS STRING), CAST(id % 2 AS STRING) FROM range(9)").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE pairs")
