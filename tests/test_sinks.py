@@ -624,3 +624,15 @@ def test_two_partition_columns_are_written_without_a_sort_of_rows(spark, lake):
         assert "WriteFiles" in plan and "Sort" not in plan
     finally:
         spark.sql("DROP TABLE pairs")
+
+
+def test_one_day_of_several_apps_is_written_without_a_sort_of_rows(spark, lake):
+    """As bronze_external loads all apps of a day."""
+    from reviewlake.session import write_sizing
+    spark.sql(f"CREATE TABLE day_apps (v BIGINT, day STRING, app STRING) USING parquet PARTITIONED BY (day, app) LOCATION '{lake}/day_apps'")
+    try:
+        with write_sizing(spark):
+            plan = spark.sql("EXPLAIN INSERT OVERWRITE day_apps SELECT id, '2024-02-10', CAST(id % 3 AS STRING) FROM range(9)").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE day_apps")
