@@ -5,7 +5,8 @@ entries whose symbols have changed since are skipped when they come up. Decoding
 strings of the ids together, separated by spaces as the vocabulary file declares no decoder.
 
 Every text is encoded whole and by itself, so the work splits over any number of tasks. A task keeps
-the encodings of recent words in a cache of fixed size.
+the ids of recent words in a cache of fixed size; a word that is all there is between white space has
+one entry, not two. Texts are decoded by their ids some at a time.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +32,11 @@ from reviewlake.llm.common import registered, row_but, table
 SPACE = r"\t-\r \x85\xa0  -     　"
 CHUNK = regex.compile(rf"[^{SPACE}]+")
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
-# Words, and chunks between white space, kept in each half of a task's caches.
-CACHED_WORDS, CACHED_CHUNKS = 250_000, 120_000
+# Kept in each half of a task's caches: words as the library spells them, and all other words with the
+# chunks between white space. Longer ones are not kept.
+CACHED_WORDS, CACHED_CHUNKS, LONGEST = 60_000, 250_000, 64
+# Texts encoded at once.
+ROWS = 256
 
 SCHEMA = "ids array<int>, decoded string"
 _ARROW = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
@@ -45,7 +51,7 @@ def byte_letters() -> list[str]:
 
 
 class Recent(dict):
-    """Results of a function for recent arguments: at most twice ``most`` of them."""
+    """Results of a function for recent short arguments: at most twice ``most`` of them."""
 
     def __init__(self, most: int, compute):
         super().__init__()
@@ -55,6 +61,8 @@ class Recent(dict):
         value = self.old.pop(key, None)
         if value is None:
             value = self.compute(key)
+        if len(key) > LONGEST:
+            return value
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
@@ -80,77 +88,96 @@ class WordBpe:
         # the library's own normaliser and split are asked.
         self.plain = regex.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
         self.word_pattern = regex.compile(pattern.replace(r"\s", SPACE))
-        # Pairs of ids in one number; what a merge makes is listed by rank.
-        self.ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
+        # For each left id the ranks of its merges by right id; what a merge makes is listed by rank.
+        none: dict[int, int] = {}
+        self.follow = [none] * (max(self.strings) + 1)
+        for rank, (a, b) in enumerate(model["merges"]):
+            if self.follow[vocab[a]] is none:
+                self.follow[vocab[a]] = {}
+            self.follow[vocab[a]][vocab[b]] = rank
         self.made = [vocab[a + b] for a, b in model["merges"]]
         letters = byte_letters()
         self.byte_of = {letter: i for i, letter in enumerate(letters)}
         self.inner, self.last = [vocab[c] for c in letters], [vocab[c + self.end] for c in letters]
+        self.spelt = pa.array([self.strings.get(i, "") for i in range(len(self.follow))], pa.string())
         self.words, self.chunks = Recent(words, self.merged), Recent(chunks, self.chunk)
 
-    def merged(self, word: str | bytes) -> list[int]:
-        """The ids of one word, or of its bytes."""
+    def merged(self, word: str | bytes) -> bytes:
+        """The ids of one word, or of its bytes, as 32-bit numbers on end."""
         data = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")
-        inner, ranks, made = self.inner, self.ranks.get, self.made
+        inner, follow, made = self.inner, self.follow, self.made
         ids = [inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
         n = len(ids)
         if n == 1:
-            return ids
+            return array("i", ids).tobytes()
+        # The rank of each symbol with the one after it; an entry of the heap that it no longer equals is stale.
+        ranks = [follow[a].get(b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+        ranks.append(-1)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         # A heap entry is a rank and the place of the left symbol in one number.
-        heap = [rank << 32 | i for i in range(n - 1) if (rank := ranks(ids[i] << 32 | ids[i + 1])) is not None]
+        shift = n.bit_length()
+        place = (1 << shift) - 1
+        heap = [rank << shift | i for i, rank in enumerate(ranks) if rank >= 0]
         heapify(heap)
         while heap:
             top = heappop(heap)
-            i, new = top & 0xFFFFFFFF, made[top >> 32]
-            j = after[i]
-            if j >= n or ids[i] < 0:
+            i, rank = top & place, top >> shift
+            if ranks[i] != rank:
                 continue
-            rank = ranks(ids[i] << 32 | ids[j])
-            if rank is None or made[rank] != new:  # stale: a neighbour has been merged meanwhile
-                continue
-            ids[i], ids[j] = new, -1
+            new, j = made[rank], after[i]
+            ids[i], ids[j], ranks[j] = new, -1, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                rank = ranks(new << 32 | ids[k])
-                if rank is not None:
-                    heappush(heap, rank << 32 | i)
+                rank = ranks[i] = follow[new].get(ids[k], -1)
+                if rank >= 0:
+                    heappush(heap, rank << shift | i)
+            else:
+                ranks[i] = -1
             h = before[i]
             if h >= 0:
-                rank = ranks(ids[h] << 32 | new)
-                if rank is not None:
-                    heappush(heap, rank << 32 | h)
-        return [x for x in ids if x >= 0]
+                rank = ranks[h] = follow[ids[h]].get(new, -1)
+                if rank >= 0:
+                    heappush(heap, rank << shift | h)
+        return array("i", [x for x in ids if x >= 0]).tobytes()
 
-    def chunk(self, text: str) -> tuple[bytes, str]:
-        """Ids, as 32-bit numbers on end, and decoded text of what stands between white space."""
+    def chunk(self, text: str) -> bytes:
+        """Ids of what stands between white space, as 32-bit numbers on end."""
         if not self.plain.fullmatch(text):
             byte_of, words = self.byte_of, self.words
             split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-            ids = [i for spelt, _ in split for i in words[bytes([byte_of[c] for c in spelt])]]
-        elif (plain := text.lower()).isalpha():
-            ids = self.words[plain]
-        else:
-            ids = [i for word in self.word_pattern.findall(plain) for i in self.words[word]]
-        return array("i", ids).tobytes(), self.decode(ids)
-
-    def decode(self, ids) -> str:
-        strings = self.strings
-        return " ".join([strings[i] for i in ids])
+            return b"".join([words[bytes([byte_of[c] for c in spelt])] for spelt, _ in split])
+        plain = text.lower()
+        words = [plain] if plain.isalpha() else self.word_pattern.findall(plain)
+        if words == [text]:
+            return self.merged(text)
+        chunks = self.chunks
+        return b"".join([chunks[word] for word in words])
 
-    def encode(self, text: str) -> tuple[bytes, str]:
+    def ids(self, text: str) -> bytes:
+        """Ids of a text, as 32-bit numbers on end."""
         chunks = self.chunks
         parts, at = [], 0
         for match in self.special_pattern.finditer(text) if "<" in text else ():
             parts += [chunks[c] for c in CHUNK.findall(text[at:match.start()])]
-            token = self.special[match.group()]
-            parts.append((array("i", [token]).tobytes(), self.strings[token]))
+            parts.append(array("i", [self.special[match.group()]]).tobytes())
             at = match.end()
         rest = text[at:] if at else text
-        parts += [chunks[c] for c in (CHUNK.findall(rest) if SEPARATORS.search(rest) else rest.split())]
-        return b"".join([ids for ids, _ in parts]), " ".join([decoded for _, decoded in parts])
+        some = CHUNK.findall(rest) if SEPARATORS.search(rest) else rest.split()
+        parts += itemgetter(*some)(chunks) if len(some) > 1 else [chunks[c] for c in some]
+        return b"".join(parts)
+
+    def encode_all(self, texts: list[str]) -> pa.StructArray:
+        """``ids`` and ``decoded`` of each text."""
+        done = [self.ids(text) for text in texts]
+        ends = pa.array(np.cumsum([0] + [len(ids) // 4 for ids in done]).astype(np.int32))
+        flat = pa.array(np.frombuffer(b"".join(done), np.int32))
+        decoded = pc.binary_join(pa.ListArray.from_arrays(ends, self.spelt.take(flat)), " ")
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, flat), decoded], names=["ids", "decoded"])
+
+    def encode(self, text: str) -> tuple[bytes, str]:
+        return self.ids(text), self.encode_all([text]).field("decoded")[0].as_py()
 
 
 @lru_cache(maxsize=2)
@@ -169,16 +196,9 @@ def encoded(text: Column, path: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path)
         for batch in batches:
-            pieces = []
             # Slices bound what a task holds at once, however long the batch.
-            for start in range(0, max(1, len(batch)), 256):
-                done = [bpe.encode(x.as_py() or "") for x in batch[start:start + 256]]
-                ends = np.cumsum([0] + [len(ids) // 4 for ids, _ in done]).astype(np.int32)
-                flat = np.frombuffer(b"".join([ids for ids, _ in done]), np.int32)
-                pieces.append(pa.StructArray.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                     pa.array([decoded for _, decoded in done], pa.string())], names=["ids", "decoded"]))
-            yield pa.concat_arrays(pieces)
+            for start in range(0, max(1, len(batch)), ROWS):
+                yield bpe.encode_all([x or "" for x in batch.slice(start, ROWS).to_pylist()])
 
     return encode(text)
 

@@ -252,6 +252,17 @@ def test_special_marks_and_odd_characters():
         assert ids == want.ids and decoded == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_a_task_remembers_little_more_than_ids():
+    bpe = WordBpe(vocabulary())
+    bpe.encode("weather Weather weather. " + "y" * 5000)
+    # Of every word and chunk the ids alone; a word that is a chunk has one entry, and a very long chunk none.
+    assert set(bpe.chunks) == {"weather", "Weather", "weather.", "."} and not bpe.words
+    assert {type(x) for x in bpe.chunks.values()} == {bytes}
+    bpe = WordBpe(vocabulary(), words=3, chunks=4)
+    bpe.encode(" ".join(f"word{chr(97 + i)} {chr(0x3b1 + i)}" for i in range(20)))
+    assert all(len(x) <= x.most and len(x.old) <= x.most for x in (bpe.chunks, bpe.words))
+
+
 def test_every_code_point_is_split_as_the_library_does():
     from tokenizers import Tokenizer
 
