@@ -287,3 +287,16 @@ def test_silver_queries_read_the_oldest_load_days(spark, sf_dir):
     oldest = table(spark, sf_dir, "orders").agg(F.year(F.min("o_orderdate")).cast("string")).first()[0]
     assert QUERIES["gold_flow"](spark, sf_dir).agg(F.min("review_year")).first()[0] == oldest
     assert QUERIES["silver_reviews"](spark, sf_dir).agg(F.min("review_date")).first()[0][:4] == oldest
+
+
+def test_keys_are_counted_in_tasks_of_bounded_size(spark):
+    """As bronze_external counts the keys of its run: more keys, more tasks."""
+    from types import SimpleNamespace
+
+    from reviewlake.plans.run import settled
+    name, seen = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", []
+    summary = SimpleNamespace(sparkSession=spark, schema="n INT",
+                              collect=lambda: seen.append(int(spark.conf.get(name))) or [(1,)])
+    for keys in (20_000_000, 200_000_000):
+        assert settled(summary, spark.range(keys)).count() == 1
+    assert seen[0] >= 19 and seen[1] >= 190
