@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
 import shutil
+import subprocess
+import sys
 from datetime import date
 
 import pytest
@@ -636,3 +639,32 @@ def test_one_day_of_several_apps_is_written_without_a_sort_of_rows(spark, lake):
         assert "WriteFiles" in plan and "Sort" not in plan
     finally:
         spark.sql("DROP TABLE day_apps")
+
+
+_SIX_IN_ONE_TASK = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from reviewlake.sinks import insert_partitions
+events, root = sys.argv[1:]
+conf = {"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "1", "spark.driver.host": "127.0.0.1",
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{events}", "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false", "spark.sql.warehouse.dir": root}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+spark.sql(f"CREATE TABLE six (v BIGINT, p STRING, q STRING) USING parquet PARTITIONED BY (p, q) LOCATION '{root}/six'")
+v = spark.range(0, 200_000, 1, 2)
+insert_partitions(v.select(F.col("id").alias("v"), (v.id % 3).cast("string").alias("p"), (v.id % 2).cast("string").alias("q")), "six")
+assert spark.table("six").count() == 200_000 and spark.table("six").select("p", "q").distinct().count() == 6
+"""
+
+
+def test_six_partitions_in_one_task_take_no_sorter(lake):
+    """As many as purge_app's table has. The sorter of a writing task shows in the on-heap peak only."""
+    events = f"{lake}/events"
+    os.makedirs(events)
+    subprocess.run([sys.executable, "-c", _SIX_IN_ONE_TASK, events, lake], check=True, timeout=300, cwd=lake,
+                   env=os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))})
+    with open(f"{events}/{os.listdir(events)[0]}") as log:
+        ends = [e["Task Metrics"] for e in map(json.loads, log) if e["Event"] == "SparkListenerTaskEnd"]
+    writing = [m for m in ends if m["Output Metrics"]["Records Written"]]
+    assert [m["Output Metrics"]["Records Written"] for m in writing] == [200_000]
+    assert writing[0]["Peak On Heap Execution Memory"] == 0
