@@ -5,24 +5,36 @@ subspace. A query probes every list whose cell its ball can reach, sums distance
 and keeps what may be near enough: the table distance is off by no more than the known error of the
 code, so nothing is lost before the exact cosines decide.
 
+Lists lie together on shelves of bounded size, and a vector goes once to each shelf that holds a list it
+probes. The shelves are served in rounds, each with about as many copies of vectors as there are
+vectors, so the disk in use grows with the table and not with the pairs.
+
 Vectors with equal values are one class. A group counts each query's links and passes on the links of
 its local components as stars, never all pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import cut, registered, table
+from reviewlake.llm.common import cut, cut_all, drop, registered, table
 from reviewlake.llm.graph import components
-from reviewlake.llm.vectors import dimension, k_means, list_count, matrix, meet, sample, squared, usable, with_lists
+from reviewlake.llm.vectors import dimension, k_means, list_count, matrix, sample, squared, usable, with_lists
 
 SUBSPACES, CODES = 8, 64
 # Rounding of table distances, which are kept in single precision.
 ROUNDING = 1e-3
+# Vectors that ask a shelf in one group: at least, at most, and a share of all between. A shelf holds twice as many.
+LEAST_ASKING, MOST_ASKING, ASKING_SHARE = 4_096, 16_384, 1 / 16
+# Copies of vectors that one round moves, as a multiple of the vectors, and how many are too few for a round.
+ROUND_COPIES, LEAST_COPIES = 3, 400_000
+# Pairs whose table distances are held at once.
+CELLS = 1 << 21
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -49,12 +61,12 @@ class Codebook:
     def home(self, x: np.ndarray) -> list[np.ndarray]:
         return [np.array([i]) for i in squared(unit(x), self.centres).argmin(1)]
 
-    def probes(self, x: np.ndarray, radius: float) -> list[np.ndarray]:
-        """Every list whose cell comes within ``radius``: beyond it lies the plane between two centres."""
-        far = squared(unit(x), self.centres)
+    def reached(self, x: np.ndarray, radius: float) -> np.ndarray:
+        """For unit vectors (rows), which lists have a cell within ``radius``: beyond it lies the plane between two centres."""
+        far = squared(x, self.centres)
         own = far.argmin(1)
         gap = (far - far[np.arange(len(far)), own][:, None]) / np.maximum(2 * self.between[own], 1e-12)
-        return [np.flatnonzero(row <= radius + 1e-9) for row in gap]
+        return gap <= radius + 1e-9
 
     def encode(self, residuals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes and how far each is from its residual."""
@@ -66,27 +78,59 @@ class Codebook:
         return codes, np.sqrt(error)
 
     def table_distances(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Distances of query residuals (rows) to decoded members (columns)."""
-        total = np.zeros((len(queries), len(codes)), np.float32)
+        """Squared distances of decoded members (rows) to query residuals (columns)."""
+        total = np.zeros((len(codes), len(queries)), np.float32)
+        part = np.empty_like(total)
         for m, (a, b) in enumerate(self.parts()):
-            total += squared(queries[:, a:b], self.words[m]).astype(np.float32)[:, codes[:, m]]
-        return np.sqrt(total)
+            distances = squared(self.words[m], queries[:, a:b]).astype(np.float32)
+            total += np.take(distances, codes[:, m], axis=0, out=part, mode="clip")
+        return total
+
+
+class Shelves:
+    """Where lists lie: neighbours in number share a shelf, a list beyond ``size`` vectors is dealt over several."""
 
+    def __init__(self, held: Mapping[int, int], lists: int, size: int):
+        self.first, self.pieces = np.zeros(lists, int), np.ones(lists, int)
+        shelf, filled = 0, 0
+        for i in range(lists):
+            n = held.get(i, 0)
+            if filled and filled + n > size:
+                shelf, filled = shelf + 1, 0
+            self.first[i], self.pieces[i] = shelf, max(1, -(-n // size))
+            shelf, filled = (shelf + self.pieces[i], 0) if n > size else (shelf, filled + n)
+        self.count = int((self.first + self.pieces).max())
+        self.holds = np.zeros((lists, self.count), np.float32)
+        for row, a, n in zip(self.holds, self.first, self.pieces, strict=True):
+            row[a:a + n] = 1
 
-def local_components(linked: np.ndarray) -> np.ndarray:
-    """For links between rows and columns, the component of each row and then of each column."""
-    n, m = linked.shape
-    rows, columns = np.nonzero(linked)
-    label = np.arange(n + m)
+    def of(self, reached: np.ndarray) -> list[np.ndarray]:
+        """The shelves of the lists that each row of ``reached`` has."""
+        return [np.flatnonzero(row) for row in reached.astype(np.float32) @ self.holds]
+
+
+def merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels of components, each the least node of its own, once nodes ``a`` are linked to nodes ``b``."""
     while True:
-        low = np.minimum(label[rows], label[n + columns])
-        new = label.copy()
-        np.minimum.at(new, rows, low)
-        np.minimum.at(new, n + columns, low)
-        new = new[new]
-        if (new == label).all():
+        p, q = label[a], label[b]
+        apart = p != q
+        if not apart.any():
             return label
-        label = new
+        np.minimum.at(label, np.maximum(p, q)[apart], np.minimum(p, q)[apart])
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _stars(ids: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A star for each component, from its least id to every other one."""
+    order = np.lexsort((ids, label))
+    ids, label = ids[order], label[order]
+    begins = np.ones(len(ids), bool)
+    begins[1:] = label[1:] != label[:-1]
+    head = ids[np.maximum.accumulate(np.where(begins, np.arange(len(ids)), 0))]
+    star = head != ids
+    star[1:] &= begins[1:] | (ids[1:] != ids[:-1])
+    return ids[star], head[star]
 
 
 def _found(book: Codebook, d: int, cosine: float):
@@ -95,38 +139,67 @@ def _found(book: Codebook, d: int, cosine: float):
     def work(members: pa.Table, queries: pa.Table) -> pa.Table:
         x, y = unit(matrix(queries["embedding"], d)), unit(matrix(members["embedding"], d))
         q_id, m_id = queries["head"].to_numpy(), members["head"].to_numpy()
-        u, v, n = [], [], []
-        if len(x) and len(y):
-            count, centre = members["n"].to_numpy(), book.centres[members["list"][0].as_py()]
-            codes, error = book.encode(y - centre)
-            for i in range(0, len(x), 512):
-                some = x[i:i + 512]
-                likely = book.table_distances(some - centre, codes) <= radius + error + ROUNDING
-                linked = np.zeros_like(likely)
-                rows, columns = np.nonzero(likely)
+        count, lists = members["n"].to_numpy(), members["list"].to_numpy()
+        linked, label = np.zeros(len(x), np.int64), np.arange(len(x) + len(y))
+        reached = [book.reached(x[i:i + 1024], radius) for i in range(0, len(x), 1024)]
+        reached = np.concatenate(reached) if reached else np.zeros((0, len(book.centres)), bool)
+        for own in np.unique(lists):
+            centre, held, asking = book.centres[own], np.flatnonzero(lists == own), np.flatnonzero(reached[:, own])
+            codes, error = book.encode(y[held] - centre)
+            near = ((radius + error + ROUNDING) ** 2).astype(np.float32)[:, None]
+            step = max(64, CELLS // len(held))
+            for i in range(0, len(asking), step):
+                some = asking[i:i + step]
+                columns, rows = np.nonzero(book.table_distances(x[some] - centre, codes) <= near)
                 for k in range(0, len(rows), 1 << 16):
-                    a, b = rows[k:k + (1 << 16)], columns[k:k + (1 << 16)]
-                    linked[a, b] = np.einsum("ij,ij->i", some[a], y[b]) >= cosine
-                u.append(q_id[i:i + 512])
-                v.append(np.full(len(some), -1))
-                n.append(linked @ count)
-                label, ids = local_components(linked), np.concatenate([q_id[i:i + 512], m_id])
-                # A star for each local component, from its least node.
-                order = np.lexsort((ids, label))
-                first = np.ones(len(order), bool)
-                first[1:] = label[order][1:] != label[order][:-1]
-                head = ids[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-                star = head != ids[order]
-                u.append(ids[order][star])
-                v.append(head[star])
-                n.append(np.full(int(star.sum()), -1))
-        join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-        nodes, links, counts = join(u), join(v), join(n)
+                    a, b = some[rows[k:k + (1 << 16)]], held[columns[k:k + (1 << 16)]]
+                    sure = np.einsum("ij,ij->i", x[a], y[b]) >= cosine
+                    a, b = a[sure], b[sure]
+                    np.add.at(linked, a, count[b])
+                    label = merged(label, a, len(x) + b)
+        u, v = _stars(np.concatenate([q_id, m_id]), label)
+        some = linked > 0
+        nodes = np.concatenate([q_id[some], u]).astype(np.int64)
+        links = np.concatenate([np.full(int(some.sum()), -1), v]).astype(np.int64)
+        counts = np.concatenate([linked[some], np.full(len(u), -1)]).astype(np.int64)
         return pa.table({"u": nodes, "v": pa.array(links, mask=counts >= 0), "n": pa.array(counts, mask=counts < 0)})
 
     return work
 
 
+def in_rounds(copies: list[int], most: int) -> Iterator[list[int]]:
+    """Shelves by round: as many as ``most`` copies allow, at least one."""
+    some, held = [], 0
+    for shelf, n in enumerate(copies):
+        if some and held + n > most:
+            yield some
+            some, held = [], 0
+        some, held = [*some, shelf], held + n
+    if some:
+        yield some
+
+
+def meetings(placed: DataFrame, shelves: int, n: int, work, schema: str) -> Iterator[DataFrame]:
+    """What ``work`` finds where vectors of a shelf meet those that ask it, round by round.
+
+    ``placed`` has the ``shelf`` of every vector and, in ``shelves``, all that it asks.
+    """
+    asking = min(MOST_ASKING, max(LEAST_ASKING, int(n * ASKING_SHARE)))
+    counted = lambda rows: {r[0]: r[1] for r in rows.groupBy("shelf").count().collect()}
+    held, asked = counted(placed), counted(placed.select(F.explode("shelves").alias("shelf")))
+    parts = [-(-asked.get(s, 0) // asking) for s in range(shelves)]
+    copies = [asked.get(s, 0) + held.get(s, 0) * parts[s] for s in range(shelves)]
+    keys = ["shelf", "part"]
+    for some in in_rounds(copies, max(LEAST_COPIES, ROUND_COPIES * n)):
+        # Into how many parts those that ask a shelf are dealt; 0 for shelves of other rounds.
+        of = F.get(F.lit([parts[s] if s in some else 0 for s in range(shelves)]), F.col("shelf"))
+        members = placed.filter(of > 0).select("shelf", "list", "head", "n", "embedding",
+                                               F.explode(F.sequence(F.lit(0), of - 1)).alias("part"))
+        queries = placed.select("k1", "head", "embedding", F.explode(F.array_intersect("shelves", F.lit(some))).alias("shelf")).select(
+            "shelf", F.pmod(F.xxhash64("k1"), of).cast("int").alias("part"), "head", "embedding")
+        yield members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(lambda m, q: work(m, q), schema)
+
+
 def near_duplicate_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``embeddings``.
 
@@ -151,11 +224,16 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataF
     if n:
         book = Codebook(unit(sample(classes, d)), list_count(n))
         radius = float(np.sqrt(2 - 2 * cosine))
-        members = with_lists(classes, d, book.home, "lists").select("k1", "head", "n", "embedding", F.explode("lists").alias("list"))
-        queries = with_lists(classes, d, lambda x: book.probes(x, radius), "lists").select(
-            "k1", "head", "embedding", F.explode("lists").alias("list"))
-        members, queries = cut(members, "vector-members"), cut(queries, "vector-queries")
-        found = cut(meet(members, queries, _found(book, d, cosine), "u long, v long, n long"), "vector-links")
+        homes = with_lists(classes, d, book.home, "homes").select(*classes.columns, F.col("homes")[0].alias("list"))
+        held = {r["list"]: r["count"] for r in homes.groupBy("list").count().collect()}
+        size = 2 * min(MOST_ASKING, max(LEAST_ASKING, int(n * ASKING_SHARE)))
+        shelves = Shelves(held, len(book.centres), size)
+        first, pieces = (F.get(F.lit(x.tolist()), F.col("list")) for x in (shelves.first, shelves.pieces))
+        placed = cut(with_lists(homes, d, lambda x: shelves.of(book.reached(unit(x), radius)), "shelves").withColumn(
+            "shelf", (first + F.pmod(F.xxhash64("k1"), pieces)).cast("int")), "vector-shelves")
+        drop(classes)
+        found = cut_all(meetings(placed, shelves.count, n, _found(book, d, cosine), "u long, v long, n long"), "vector-links")
+        classes = placed
     else:
         found = classes.select(F.col("head").alias("u"), F.col("head").alias("v"), "n")
     links = found.filter("n is not null").groupBy(F.col("u").alias("of")).agg((F.sum("n") - 1).alias("n_links"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from reviewlake.llm import products
 from reviewlake.llm.nearest import nearest
 from reviewlake.llm.products import near_duplicate_vectors
 from reviewlake.llm.queries import QUERIES
@@ -169,6 +171,49 @@ def test_links_of_odd_vectors(spark):
     assert near_duplicate_vectors(odd_vectors(spark).filter("vec_id = 4")).count() == 1
 
 
+def links_by_brute_force(x, cosine=0.95):
+    """n_links and component of every vector."""
+    x = x / np.sqrt((x * x).sum(1, keepdims=True))
+    linked = x @ x.T >= cosine
+    low = np.arange(len(x))
+    while True:
+        new = np.where(linked, low, len(x)).min(1)
+        if (new == low).all():
+            return linked.sum(1) - 1, low
+        low = new
+
+
+def test_links_over_several_shelves_and_rounds(spark, monkeypatch, tmp_path):
+    random = np.random.default_rng(3)
+    around = lambda n, width: random.standard_normal((1, 24)) + width * random.standard_normal((n, 24))
+    # A group that crowds one list, near copies, chains of links and vectors that lie anywhere.
+    x = np.concatenate([around(300, 0.1), *[around(4, 0.15) for _ in range(50)], random.standard_normal((500, 24))])
+    x = np.concatenate([x, x[::7]])[random.permutation(len(x) + len(x[::7]))]
+    monkeypatch.setattr(products, "LEAST_ASKING", 120)
+    monkeypatch.setattr(products, "LEAST_COPIES", 1)
+    tables, served, per_round = [], [], products.in_rounds
+    scratch = lambda spark, label: tables.append(f"{tmp_path}/{len(tables)}-{label}") or tables[-1]
+    monkeypatch.setattr("reviewlake.llm.common.scratch_dir", scratch)
+    monkeypatch.setattr(products, "in_rounds", lambda copies, most: served.extend(
+        (sum(copies[s] for s in some), most, len(some)) for some in per_round(copies, most)) or per_round(copies, most))
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_duplicate_vectors(vectors).collect()}
+    n, low = links_by_brute_force(x)
+    assert got == {i: (n[i], low[i], low[i] == i) for i in range(len(x))}
+    assert len(served) > 2 and all(held <= most or shelves == 1 for held, most, shelves in served)
+    # A vector lies on disk once, however many lists it probes.
+    kept = [spark.read.parquet(t) for t in tables if os.path.exists(t)]
+    assert [df.count() for df in kept if "embedding" in df.columns] == [len(np.unique(x, axis=0))]
+
+
+def test_shelves_hold_whole_lists_or_pieces_of_crowded_ones():
+    shelves = products.Shelves({0: 5, 1: 4, 2: 25, 4: 3, 5: 8}, 6, 10)
+    assert shelves.first.tolist() == [0, 0, 1, 4, 4, 5] and shelves.pieces.tolist() == [1, 1, 3, 1, 1, 1]
+    reached = np.array([[1, 1, 0, 0, 0, 0], [0, 0, 1, 0, 0, 1]], bool)
+    assert [s.tolist() for s in shelves.of(reached)] == [[0], [1, 2, 3, 5]]
+    assert list(products.in_rounds([3, 4, 9, 1, 1], 7)) == [[0, 1], [2], [3, 4]]
+
+
 def test_nearest_of_odd_vectors(spark):
     vectors = odd_vectors(spark)
     got = [tuple(r) for r in nearest(vectors, vectors.filter("vec_id in (1, 3, 4)"), k=2).orderBy("rank").collect()]
