@@ -15,7 +15,7 @@ from reviewlake.checks.writes import scratch_database
 from reviewlake.config import Rule
 from reviewlake.plans import land_feed, run_bronze, run_gold, run_silver
 from reviewlake.plans.landing import APP_KEY
-from reviewlake.session import session_conf, write_sizing
+from reviewlake.session import session_conf, shuffles_dropped, write_sizing
 from reviewlake.sinks import TABLES, create_table, export_documents, insert_partitions
 
 RUN_TS = datetime(2024, 2, 10, 6, 30, tzinfo=timezone.utc)
@@ -36,9 +36,11 @@ def _pages(spark: SparkSession, sf_dir: str, root: str) -> str:
     texts = F.when(F.col("page") % 3 == 0, F.array("value", F.substring("value", 1, 90))).otherwise(F.array("value"))
     # Entries are far longer than the optimizer takes them for, so the tasks are counted by the reviews.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), reviews.count() // TASK_REVIEWS)
-    with write_sizing(spark), session_conf(spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(tasks),
-                                           spark__sql__adaptive__advisoryPartitionSizeInBytes=str(PAGE_TASK_BYTES)):
-        pages.select("app", F.explode(texts).alias("value")).write.partitionBy("app").text(f"{root}/pages/{a.RUN_DAY}")
+    sizing = session_conf(spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum=str(tasks),
+                          spark__sql__adaptive__advisoryPartitionSizeInBytes=str(PAGE_TASK_BYTES))
+    with write_sizing(spark), sizing, shuffles_dropped(spark):
+        pages.select("app", F.explode(texts).alias("value")).write.partitionBy("app").text(
+            f"{root}/pages/{a.RUN_DAY}", compression="gzip")
     return f"{root}/pages"
 
 

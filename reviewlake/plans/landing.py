@@ -19,6 +19,8 @@ from reviewlake.sources.feed import CORRUPT, page_entries, review_fields
 # Folder name of an app among the landing files: ``app=<name>``, as Spark names partitions.
 APP_KEY = "app"
 FLOW = "landing"
+# Landing files are packed, so one task must read each as a whole; its rows take about so much when shuffled.
+LANDING_OPTIONS, LANDING_BYTES = {"compression": "gzip"}, 32 << 20
 
 
 @dataclass(frozen=True)
@@ -60,6 +62,7 @@ def land_feed(
     be repeated; apps without pages stay as they are. Unreadable pages go, with their app, to the day's
     partition of the quarantine table, which a run without any empties. The record of the run counts
     pages, and pages set aside as type issues. Pages directly in the day's folder are of app ``na``.
+    Landing files are JSON lines in gzip, as old and new ones lie side by side until a repeated run commits.
     """
     started, run_id, apps = utc_now(), new_run_id(), list(apps)
     paths = landing_paths(pages_root, day, apps, page_key)
@@ -76,7 +79,8 @@ def land_feed(
         seen = {name: int(value) for name, value in counts.get.items()}
         pages = spark.read.schema(parsed.schema).parquet(staged)
         reviews = pages.select(APP_KEY, F.explode("entries").alias("entry")).select(*review_fields(), APP_KEY)
-        write_partitions(reviews, f"{landing.rstrip('/')}/{day}", [APP_KEY], file_format="json")
+        write_partitions(reviews, f"{landing.rstrip('/')}/{day}", [APP_KEY], file_format="json",
+                         file_bytes=LANDING_BYTES, options=LANDING_OPTIONS)
         # A static overwrite of one partition: yesterday's pages of a mended day do not stay behind.
         aside = pages.filter("page is not null").select(APP_KEY, "page")
         aside.coalesce(max(1, seen["unreadable"] // 100_000)).write.mode("overwrite").parquet(

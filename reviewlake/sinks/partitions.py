@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.session import TARGET_BYTES, write_sizing
+from reviewlake.session import TARGET_BYTES, shuffles_dropped, write_sizing
 from reviewlake.sources.tables import month_of, partition_columns
 
 # Names of the counts of values lost in casts.
@@ -54,15 +54,16 @@ def write_partitions(
     file_format: str = "parquet",
     rebalance: bool | None = None,
     file_bytes: int = TARGET_BYTES,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Write to a partitioned folder.
 
     ``static`` names partition columns that hold one known value; columns absent from the data are
-    added from it.
+    added from it. ``options`` are those of the format.
     """
     df = _arranged(df, partition_by, static or {}, rebalance)
-    with write_sizing(df.sparkSession, df, file_bytes):
-        (df.write.format(file_format).mode(mode).partitionBy(*partition_by)
+    with write_sizing(df.sparkSession, df, file_bytes), shuffles_dropped(df.sparkSession):
+        (df.write.format(file_format).mode(mode).partitionBy(*partition_by).options(**(options or {}))
          .option("partitionOverwriteMode", "dynamic").save(path))
 
 

@@ -203,6 +203,33 @@ def test_pages_to_landing_to_bronze_to_purge(spark, lake, tables):
     assert (nothing.pages, nothing.metrics.first().total_records) == (0, 0)
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_landing_is_packed_and_leaves_no_shuffles(spark, lake, tables):
+    land(f"{lake}/pages/{DAY}/alpha/1.json", *[page(*range(50 * i, 50 * i + 50)) for i in range(40)])
+    land(f"{lake}/pages/{DAY}/beta/1.json", page("é 👍"))
+    # What a run before packing has left goes, too.
+    land(f"{lake}/raw/feed/reviews/{DAY}/app=alpha/part-0.json", review("old"))
+    before = shuffle_files(spark)
+    for _ in range(2):
+        assert land_feed(spark, pages_root=f"{lake}/pages", landing=f"{lake}/raw/feed/reviews", quarantine=f"{lake}/quarantine",
+                         day=DAY).reviews == 2001
+    assert not shuffle_files(spark) - before
+    landed = spark.read.json(f"{lake}/raw/feed/reviews/{DAY}")
+    assert {r["review_id"] for r in landed.collect()} == {"é 👍", *map(str, range(2000))} and landed.count() == 2001
+    lines = sum(len(json.dumps(r.asDict())) for r in landed.drop("app").toLocalIterator())
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{lake}/raw") for f in names if f.startswith("part-")]
+    assert sum(map(os.path.getsize, files)) < lines / 4
+    flow = replace(EXTERNAL_FLOW, source={**EXTERNAL_FLOW.source, "app_key": "app"})
+    run_bronze(spark, flow, landing_root=f"{lake}/raw", day=DAY, tag_app=True, table=tables["external_reviews"])
+    loaded = spark.table(tables["external_reviews"])
+    assert rows(loaded.groupBy("app_reference").count().orderBy("app_reference")) == [("alpha", 2000), ("beta", 1)]
+    assert loaded.filter("app_reference = 'beta'").first().review_id == "é 👍"
+
+
 def run_all(spark, lake, tables):
     for app in ("alpha", "beta"):
         load_app(spark, lake, tables, app)
