@@ -15,7 +15,7 @@ its local components as stars, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,9 @@ from reviewlake.llm.vectors import dimension, k_means, list_count, matrix, sampl
 SUBSPACES, CODES = 8, 64
 # Rounding of table distances, which are kept in single precision.
 ROUNDING = 1e-3
-# Vectors that ask a shelf in one group: at least, at most, and a share of all between. A shelf holds twice as many.
-LEAST_ASKING, MOST_ASKING, ASKING_SHARE = 4_096, 16_384, 1 / 16
+# Vectors that ask a shelf in one group: a share of all, so many at least, but with so many values at most. A shelf
+# holds twice as many.
+LEAST_ASKING, ASKING_SHARE, ASKING_VALUES = 4_096, 1 / 16, 1 << 20
 # Copies of vectors that one round moves, as a multiple of the vectors, and how many are too few for a round.
 ROUND_COPIES, LEAST_COPIES = 3, 400_000
 # Pairs whose table distances are held at once.
@@ -179,12 +180,16 @@ def in_rounds(copies: list[int], most: int) -> Iterator[list[int]]:
         yield some
 
 
-def meetings(placed: DataFrame, shelves: int, n: int, work, schema: str) -> Iterator[DataFrame]:
-    """What ``work`` finds where vectors of a shelf meet those that ask it, round by round.
+def asking_size(n: int, d: int) -> int:
+    return max(1, min(ASKING_VALUES // d, max(LEAST_ASKING, int(n * ASKING_SHARE))))
 
-    ``placed`` has the ``shelf`` of every vector and, in ``shelves``, all that it asks.
+
+def meetings(placed: DataFrame, shelves: int, n: int, asking: int, work: Callable[[pa.Table, pa.Table], pa.Table],
+             schema: str) -> Iterator[DataFrame]:
+    """What ``work`` finds where vectors of a shelf meet those that ask it, up to ``asking`` at once, round by round.
+
+    ``placed`` has the ``shelf`` of every one of ``n`` vectors and, in ``shelves``, all that it asks.
     """
-    asking = min(MOST_ASKING, max(LEAST_ASKING, int(n * ASKING_SHARE)))
     counted = lambda rows: {r[0]: r[1] for r in rows.groupBy("shelf").count().collect()}
     held, asked = counted(placed), counted(placed.select(F.explode("shelves").alias("shelf")))
     parts = [-(-asked.get(s, 0) // asking) for s in range(shelves)]
@@ -226,13 +231,14 @@ def near_duplicate_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataF
         radius = float(np.sqrt(2 - 2 * cosine))
         homes = with_lists(classes, d, book.home, "homes").select(*classes.columns, F.col("homes")[0].alias("list"))
         held = {r["list"]: r["count"] for r in homes.groupBy("list").count().collect()}
-        size = 2 * min(MOST_ASKING, max(LEAST_ASKING, int(n * ASKING_SHARE)))
-        shelves = Shelves(held, len(book.centres), size)
+        asking = asking_size(n, d)
+        shelves = Shelves(held, len(book.centres), 2 * asking)
         first, pieces = (F.get(F.lit(x.tolist()), F.col("list")) for x in (shelves.first, shelves.pieces))
         placed = cut(with_lists(homes, d, lambda x: shelves.of(book.reached(unit(x), radius)), "shelves").withColumn(
             "shelf", (first + F.pmod(F.xxhash64("k1"), pieces)).cast("int")), "vector-shelves")
         drop(classes)
-        found = cut_all(meetings(placed, shelves.count, n, _found(book, d, cosine), "u long, v long, n long"), "vector-links")
+        found = cut_all(meetings(placed, shelves.count, n, asking, _found(book, d, cosine), "u long, v long, n long"),
+                        "vector-links")
         classes = placed
     else:
         found = classes.select(F.col("head").alias("u"), F.col("head").alias("v"), "n")

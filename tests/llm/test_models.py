@@ -206,6 +206,10 @@ def test_links_over_several_shelves_and_rounds(spark, monkeypatch, tmp_path):
     assert [df.count() for df in kept if "embedding" in df.columns] == [len(np.unique(x, axis=0))]
 
 
+def test_groups_are_bounded_by_values():
+    assert [products.asking_size(n, d) for n, d in ((10, 64), (10**5, 64), (10**7, 64), (10**7, 1024))] == [4096, 6250, 16384, 1024]
+
+
 def test_shelves_hold_whole_lists_or_pieces_of_crowded_ones():
     shelves = products.Shelves({0: 5, 1: 4, 2: 25, 4: 3, 5: 8}, 6, 10)
     assert shelves.first.tolist() == [0, 0, 1, 4, 4, 5] and shelves.pieces.tolist() == [1, 1, 3, 1, 1, 1]
